@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from nearkin.functions.minhash import estimate_jaccard
+from nearkin.functions.shingles import exact_jaccard
 from nearkin.functions.stopwords import ENGLISH_STOP_WORDS
 from nearkin.operators.copies import copy_groups, copy_members, first_members
 from nearkin.operators.documents import text_signatures
@@ -231,3 +232,34 @@ def find_similar_to_texts(
         F.col("leader").alias("query"), F.col("book_id").alias("query_id")
     )
     return _numbered(askers.join(tops, "query").select("query_id", "hits"), params.top_k)
+
+
+def compare_ranking(
+    signatures: DataFrame, index: DataFrame, shingled: DataFrame, book_id
+) -> DataFrame:
+    """Every other document against one: ``book_id, jaccard, similarity, is_candidate``.
+
+    Ordered by exact Jaccard. The query's set and signature are single values, so the corpus is
+    read where it lies.
+    """
+    wanted = shingled.where(F.col("book_id") == F.lit(book_id))
+    asked = wanted.agg(F.min(F.sort_array("shingles")).alias("shingles")).scalar()
+    exact = (
+        shingled.where(F.col("book_id") != F.lit(book_id))
+        .withColumn("_asked", asked)
+        .where(F.col("_asked").isNotNull())
+        .select("book_id", exact_jaccard(F.col("shingles"), F.col("_asked")).alias("jaccard"))
+    )
+    buckets = index.where(F.col("book_id") == F.lit(book_id))
+    found = stored(candidates_of(index, buckets), "candidates").withColumn("_found", F.lit(True))
+    return (
+        exact.join(_estimates(signatures, signature_of(signatures, book_id)), "book_id")
+        .join(found, "book_id", "left")
+        .select(
+            "book_id",
+            "jaccard",
+            "similarity",
+            F.coalesce("_found", F.lit(False)).alias("is_candidate"),
+        )
+        .orderBy(F.desc("jaccard"), "book_id")
+    )
