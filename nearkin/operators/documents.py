@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.functions import text
-from nearkin.functions.binding import let
+from nearkin.functions.binding import let, with_computed
 from nearkin.functions.hashing import PRIME, hash_family, stable_hash, stable_hashes
 from nearkin.functions.minhash import sign
 from nearkin.functions.shingles import word_shingles
@@ -32,18 +32,19 @@ def preprocess_books(
 def tokenize(books: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
     """``(book_id, content)`` to ``(book_id, tokens)``; documents without tokens are dropped."""
     tokens = text.index_tokens(F.col("content"), stop_words)
-    return books.select("book_id", tokens.alias("tokens")).where(F.size("tokens") > 0)
+    return with_computed(books, "tokens", tokens).where(F.size("tokens") > 0).select(
+        "book_id", "tokens"
+    )
 
 
 def generate_shingles(tokens: DataFrame, k: int = DEV.shingle_k) -> DataFrame:
-    """``(book_id, tokens)`` to ``(book_id, shingles)``; fewer than ``k`` tokens drop the row.
+    """``(book_id, tokens)`` to ``(book_id, shingles)``; fewer than ``k`` tokens drop the row."""
+    return _shingled(tokens, word_shingles(F.col("tokens"), k))
 
-    The filter tests the tokens: one on the shingles would be pushed below the projection and
-    compute every shingle set twice.
-    """
-    return tokens.where(F.size("tokens") >= k).select(
-        "book_id", word_shingles(F.col("tokens"), k).alias("shingles")
-    )
+
+def _shingled(books: DataFrame, shingles: Column) -> DataFrame:
+    computed = with_computed(books, "shingles", shingles)
+    return computed.where(F.col("shingles").isNotNull()).select("book_id", "shingles")
 
 
 def words_of(content: Column, analyzer: str, stop_words: Sequence[str]) -> Column:
@@ -61,7 +62,7 @@ def shingle_texts(
 ) -> DataFrame:
     """``(book_id, content)`` straight to ``(book_id, shingles)``."""
     words = words_of(F.col("content"), analyzer, stop_words)
-    return generate_shingles(books.select("book_id", words.alias("tokens")), k)
+    return _shingled(books, word_shingles(words, k))
 
 
 def compute_signatures(

@@ -37,9 +37,11 @@ def build_lsh_index(
     """
     check_banding(bands * rows, bands, rows)
     kept = [c for c in signatures.columns if c != "signature"]
-    return signatures.select(
-        *kept, F.inline(_bands(F.col("signature").cast("array<int>"), bands, rows))
+    # The outer form keeps Spark from adding a filter that computes the buckets once more.
+    index = signatures.select(
+        *kept, F.inline_outer(_bands(F.col("signature").cast("array<int>"), bands, rows))
     )
+    return index.where(F.col("band_id").isNotNull())
 
 
 def find_candidate_pairs(index: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -28,7 +28,8 @@ SCALING_FACTORS = (1, 2, 3)
 
 def _books(spark: SparkSession, folder: str) -> DataFrame:
     table = spark.read.parquet(f"{folder}/documents.parquet")
-    return table.select(F.col("doc_id").alias("book_id"), F.col("text").alias("content"))
+    books = table.select(F.col("doc_id").alias("book_id"), F.col("text").alias("content"))
+    return corpus.spread(books)
 
 
 def _benchmark(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,7 +46,8 @@ def _shingles(spark, folder) -> DataFrame:
 
 
 def _exploded(df: DataFrame, values: str, value: str) -> DataFrame:
-    return df.select("book_id", F.explode(values).alias(value))
+    # No list here is empty, and the outer form does not test for it by computing it twice.
+    return df.select("book_id", F.explode_outer(values).alias(value))
 
 
 def _similarity_as_double(df: DataFrame) -> DataFrame:
@@ -82,7 +84,7 @@ def clean_text(spark, folder):
 
 def tokens(spark, folder):
     tokenized = documents.tokenize(_books(spark, folder))
-    return tokenized.select("book_id", F.posexplode("tokens").alias("position", "token"))
+    return tokenized.select("book_id", F.posexplode_outer("tokens").alias("position", "token"))
 
 
 def token_table(spark, folder):
@@ -119,7 +121,7 @@ def shingle_hashes(spark, folder):
 
 
 def _by_position(signatures: DataFrame) -> DataFrame:
-    return signatures.select("book_id", F.posexplode("signature").alias("position", "value"))
+    return signatures.select("book_id", F.posexplode_outer("signature").alias("position", "value"))
 
 
 def signatures(spark, folder):
