@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nearkin.session import stored
+
 # Fixed value: columns of the metadata file.
 METADATA_SCHEMA = "GutenbergID long, Title string, Author string, Bookshelf string, Link string"
 
@@ -30,10 +32,12 @@ def metadata_by_id(table: DataFrame) -> DataFrame:
 def enrich(result: DataFrame, metadata: DataFrame | None) -> DataFrame:
     """Add the metadata columns, null where unknown, and keep the best-first order.
 
-    Without metadata the result is returned as it is. The ids of the result cut the metadata
-    down before the outer join, which then moves no more rows than the result has.
+    Without metadata the result is returned as it is. Otherwise it is stored, so that the search
+    runs once, and its ids cut the metadata down before the outer join, which then moves no more
+    rows than the result has.
     """
     if metadata is None:
         return result
-    wanted = metadata.join(result.select("book_id"), "book_id", "left_semi")
-    return result.join(wanted, "book_id", "left").orderBy(F.desc("similarity"), "book_id")
+    hits = stored(result, "hits")
+    wanted = metadata.join(hits.select("book_id"), "book_id", "left_semi")
+    return hits.join(wanted, "book_id", "left").orderBy(F.desc("similarity"), "book_id")
