@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nearkin.operators.lsh import BUCKET, index_of
 from nearkin.params import LshParams
@@ -14,8 +15,12 @@ def _tables(folder: str) -> tuple[str, str]:
 
 
 def write_signatures(signatures: DataFrame, path: str) -> None:
-    """Sorted by id within range partitions: a lookup by id reads one row group."""
-    ranged = signatures.repartitionByRange("book_id").sortWithinPartitions("book_id")
+    """Sorted by id within range partitions: a lookup by id reads one row group.
+
+    Files without a number in their name share the id ``""``; the digest parts them.
+    """
+    order = [F.col("book_id"), F.xxhash64("signature")]
+    ranged = signatures.repartitionByRange(*order).sortWithinPartitions("book_id")
     ranged.write.mode("overwrite").parquet(path)
 
 

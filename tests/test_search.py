@@ -88,6 +88,7 @@ def test_query_table_finds_what_single_searches_find(spark, block_rows):
         assert got.get(query, []) == hits
 
 
+# Five short books whose nearest neighbours are known.
 TEXTS = {
     "pg001": "the quick brown fox jumps over the lazy dog near the river bank",
     "pg002": "the quick brown fox leaps over the lazy dog near the river",
