@@ -9,7 +9,13 @@ import tempfile
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from nearkin.operators import documents
+from nearkin.params import CLUSTER
+from nearkin.plans import evaluate, similar
+from nearkin.session import stored
+from nearkin.sources import corpus
 from workload.queries import QUERIES
 
 HEADLINE = (
@@ -30,6 +36,29 @@ HEADLINE = (
 )
 
 
+SCALING_FACTORS = (1, 2)
+
+
+def scaling(spark: SparkSession, folder: str) -> dict:
+    """Seconds from text to candidate pairs of the corpus and of its replicas, and the ratios."""
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    books = table.select(F.col("doc_id").alias("book_id"), F.col("text").alias("content"))
+    base, runs = books.count(), []
+    for factor in SCALING_FACTORS:
+        grown = corpus.spread(evaluate.replicate(books, base * factor))
+        start = time.perf_counter()
+        signatures = stored(documents.text_signatures(grown, CLUSTER), "signatures")
+        n_pairs = similar.candidate_pairs(signatures, CLUSTER).count()
+        taken = round(time.perf_counter() - start, 3)
+        runs.append({"size": base * factor, "seconds": taken, "n_candidates": n_pairs})
+    first, last = runs[0], runs[-1]
+    return {
+        "runs": runs,
+        "size_ratio": last["size"] / first["size"],
+        "time_ratio": round(last["seconds"] / first["seconds"], 3),
+    }
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -51,6 +80,11 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+    report = {}
+    if not sys.argv[1:]:
+        report["scaling"] = scaling(spark, folder)
+        # Both list all pairs of the whole corpus: like against like.
+        report["exact_over_lsh"] = round(seconds["truth_pairs"] / seconds["candidate_pairs"], 3)
     spark.stop()
     print(
         json.dumps(
@@ -60,6 +94,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+                **report,
             }
         )
     )
