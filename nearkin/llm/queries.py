@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, packing
+from nearkin.llm import bpe, fingerprints, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,14 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how near they are to each other."""
+    return fingerprints.with_next(documents(spark, folder)).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens, sources in the corpus's proportions."""
     pieces = packing.pack_documents(documents(spark, folder), tokenizer_path())
@@ -38,6 +46,7 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
     "op4_bpe": op4_bpe,
 }
