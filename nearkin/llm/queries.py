@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, fingerprints, packing
+from nearkin.llm import bpe, fingerprints, licences, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,10 +45,16 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_decode_digests(documents(spark, folder), tokenizer_path())
 
 
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices of every document."""
+    return licences.summary(licences.scan(documents(spark, folder)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
     "op4_bpe": op4_bpe,
+    "op7_licences": op7_licences,
 }
 
 SQL: dict[str, str] = {}
