@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, fingerprints, licences, packing
+from nearkin.llm import bpe, fingerprints, licences, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,11 +50,18 @@ def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.summary(licences.scan(documents(spark, folder)))
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document: exact patterns, and what the trained field adds."""
+    docs = documents(spark, folder)
+    return secrets.digests(secrets.find(docs, secrets.train(docs)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
     "op4_bpe": op4_bpe,
     "op7_licences": op7_licences,
+    "op9_secrets": op9_secrets,
 }
 
 SQL: dict[str, str] = {}
