@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, fingerprints, licences, packing, secrets
+from nearkin.llm import bpe, fingerprints, jaccard, licences, packing, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,11 @@ def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licences.summary(licences.scan(documents(spark, folder)))
 
 
+def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's component under shingle similarity of 0.8 or more."""
+    return jaccard.similar_groups(documents(spark, folder))[0]
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document: exact patterns, and what the trained field adds."""
     docs = documents(spark, folder)
@@ -61,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": op2_packing,
     "op4_bpe": op4_bpe,
     "op7_licences": op7_licences,
+    "op8_jaccard": op8_jaccard,
     "op9_secrets": op9_secrets,
 }
 
