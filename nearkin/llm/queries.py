@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, fingerprints, jaccard, licences, packing, secrets
+from nearkin.llm import bpe, chat, fingerprints, jaccard, licences, lines, packing, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,11 +40,23 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return chat.rendered(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of every document's ids and of the text they decode to."""
     return bpe.encode_decode_digests(documents(spark, folder), tokenizer_path())
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """What the quality rules see of every document, and their verdict."""
+    return quality.judged(documents(spark, folder)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases and notices of every document."""
     return licences.summary(licences.scan(documents(spark, folder)))
@@ -61,13 +73,21 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(secrets.find(docs, secrets.train(docs)))
 
 
+def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the lines whose template an earlier document has."""
+    return lines.drop_recurring(documents(spark, folder)).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
+    "op3_chat": op3_chat,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
     "op7_licences": op7_licences,
     "op8_jaccard": op8_jaccard,
     "op9_secrets": op9_secrets,
+    "op10_lines": op10_lines,
 }
 
 SQL: dict[str, str] = {}
