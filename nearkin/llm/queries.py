@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, chat, fingerprints, jaccard, licences, lines, packing, quality, secrets
+from nearkin.llm import bpe, chat, fingerprints, jaccard, licences, lines, packing, quality, secrets, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,14 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities of every document's toxicity categories, by a chain fitted on ``labels``."""
+    docs = documents(spark, folder)
+    chain = toxicity.train_on_labels(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    found = toxicity.predict(docs, chain)
+    return found.select("doc_id", *[F.round(c, 6).alias(c) for c in found.columns if c.startswith("p_")], "is_toxic")
+
+
 def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases and notices of every document."""
     return licences.summary(licences.scan(documents(spark, folder)))
@@ -84,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op3_chat": op3_chat,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
+    "op6_toxicity": op6_toxicity,
     "op7_licences": op7_licences,
     "op8_jaccard": op8_jaccard,
     "op9_secrets": op9_secrets,
