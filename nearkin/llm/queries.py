@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.llm import bpe, chat, fingerprints, jaccard, licences, lines, packing, quality, secrets, toxicity
+from nearkin.llm.oracle import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,5 +101,3 @@ QUERIES: dict[str, Query] = {
     "op9_secrets": op9_secrets,
     "op10_lines": op10_lines,
 }
-
-SQL: dict[str, str] = {}
