@@ -11,18 +11,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 CHUNK_BYTES = 2 << 20
 OUT_BYTES = 8 << 20
 
 
-def text_or_empty(name: str) -> Column:
-    """The text, empty where there is none."""
-    return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
-
-
 def batches_of_bytes(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import OUT_BYTES, batches_of_bytes, text_or_empty
+from nearkin.llm.arrow import OUT_BYTES, batches_of_bytes
+from nearkin.llm.columns import text_or_empty
 
 #: White space of the Unicode property White_Space; fixed by the tokenizer's splitter.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"

@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import CHUNK_BYTES, SPACES, batches_of_bytes, flat, grams, hashes, mix, runs, text_or_empty
+from nearkin.llm.arrow import CHUNK_BYTES, SPACES, batches_of_bytes, flat, grams, hashes, mix, runs
+from nearkin.llm.columns import text_or_empty
 
 #: Lanes of 64 bits that decide equality, summed modulo 2^64.
 EXACT_LANES = 16

@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import LOWER, OUT_BYTES, SPACES, batches_of_bytes, flat, grams, hashes, mix, runs, text_or_empty
+from nearkin.llm.arrow import LOWER, OUT_BYTES, SPACES, batches_of_bytes, flat, grams, hashes, mix, runs
+from nearkin.llm.columns import text_or_empty
 from nearkin.session import stored
 
 SHINGLE_WORDS = 5

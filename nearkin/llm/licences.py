@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import LOWER, NOT_WORD, batches_of_bytes, flat, grams, hashes, runs, text_or_empty
+from nearkin.llm.arrow import LOWER, NOT_WORD, batches_of_bytes, flat, grams, hashes, runs
+from nearkin.llm.columns import text_or_empty
 
 #: Words in a rolling window; two, so that a phrase of two words has one.
 K = 2

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.functions.binding import let
-from nearkin.llm.arrow import text_or_empty
+from nearkin.llm.columns import free_name, text_or_empty
 from nearkin.session import stored
 
 #: Leading tokens that choose a leaf, after the token count.
@@ -140,24 +140,25 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Columns named ``n_lines`` or ``n_dropped`` are replaced.
     """
     dropped = recurring_lines(docs, id_col, text_col).groupBy("row").agg(F.collect_set("line").alias("lines"))
-    dropped = dropped.select(F.col("row").alias("_row"), F.col("lines").alias("_lines"))
+    row, gone = free_name(docs, "row"), free_name(docs, "gone")
+    dropped = dropped.select(F.col("row").alias(row), F.col("lines").alias(gone))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    kept = docs.select(*[f"`{c}`" for c in columns], _row_of(id_col, text_col).alias("_row")).join(dropped, "_row", "left")
+    kept = docs.select(*[f"`{c}`" for c in columns], _row_of(id_col, text_col).alias(row)).join(dropped, row, "left")
     text = F.col(f"`{text_col}`")
     rest = let(
         F.split(text, "\n"),
         lambda lines: F.array_join(
             F.transform(
-                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_lines")), lambda i: F.get(lines, i)
+                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)), lambda i: F.get(lines, i)
             ),
             "\n",
         ),
     )
     return kept.select(
         *[
-            F.when(F.col("_lines").isNull(), text).otherwise(rest).alias(c) if c == text_col else F.col(f"`{c}`")
+            F.when(F.col(gone).isNull(), text).otherwise(rest).alias(c) if c == text_col else F.col(f"`{c}`")
             for c in columns
         ],
         F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -11,7 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import OUT_BYTES, batches_of_bytes, text_or_empty
+from nearkin.llm.arrow import OUT_BYTES, batches_of_bytes
+from nearkin.llm.columns import text_or_empty
 from nearkin.llm.bpe import codec
 from nearkin.session import stored
 

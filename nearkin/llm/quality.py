@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.functions.binding import let, with_computed
-from nearkin.llm.arrow import text_or_empty
+from nearkin.llm.columns import free_name, text_or_empty
 from nearkin.session import stored
 
 #: Rows, about, on which rules are timed and counted; they decide the order, not the verdict.
@@ -97,20 +97,20 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     A null text has no words. Lines are the parts between line feeds that hold a word.
     """
     text = text_or_empty(text_col)
-    rows = with_computed(docs, "_words", words_of(text))
-    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{_SPACE}]"))
+    words, lines = free_name(docs, "words"), free_name(docs, "lines")
+    rows = with_computed(docs, words, words_of(text))
+    spoken = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{_SPACE}]"))
     rows = with_computed(
-        rows, "_lines", let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct")))
+        rows, lines, let(spoken, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("distinct")))
     )
-    joined = F.array_join("_words", "")
     return rows.select(
         *[F.col(f"`{c}`") for c in docs.columns],
-        F.size("_words").cast("long").alias("n_words"),
-        F.char_length(joined).cast("long").alias("word_chars"),
+        F.size(words).cast("long").alias("n_words"),
+        F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
         F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        F.col("_lines.n").cast("long").alias("n_lines"),
-        (F.col("_lines.n") - F.col("_lines.distinct")).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("_words")).alias("n_repeat_words"),
+        F.col(f"{lines}.n").cast("long").alias("n_lines"),
+        (F.col(f"{lines}.n") - F.col(f"{lines}.distinct")).cast("long").alias("n_dup_lines"),
+        repeated_words(F.col(words)).alias("n_repeat_words"),
         F.regexp_count(text, F.lit("[A-Z]")).cast("long").alias("n_capitals"),
     )
 
@@ -158,5 +158,11 @@ def judged(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The documents that no rule rejects, as they came."""
-    return judged(docs.select("*"), order_rules(docs)).filter("kept").select(*[f"`{c}`" for c in docs.columns])
+    """The documents that no rule rejects, as they came.
+
+    Only the rules' own columns are computed, and of these what a document needs until one
+    rejects it. Columns named like a feature stay as they are.
+    """
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(own.alias("own"), text_or_empty("text").alias("text"))
+    return judged(rows, order_rules(docs)).filter("kept").select("own.*")

@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import LOWER, SPACES, batches_of_bytes, byte_table, chars_before, flat, hashes, runs, text_or_empty
+from nearkin.llm.arrow import LOWER, SPACES, batches_of_bytes, byte_table, chars_before, flat, hashes, runs
+from nearkin.llm.columns import text_or_empty
 
 # The exact patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(

@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import LOWER, NOT_WORD, batches_of_bytes, flat, hashes, runs, text_or_empty
+from nearkin.llm.arrow import LOWER, NOT_WORD, batches_of_bytes, flat, hashes, runs
+from nearkin.llm.columns import text_or_empty
 
 #: Labelled rows that train a chain, at most.
 TRAIN_ROWS = 20_000

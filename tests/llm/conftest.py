@@ -26,13 +26,13 @@ def docs_of(spark):
 @pytest.fixture(scope="session")
 def awkward_rows():
     """Null and empty texts, a long one, ties and repeated rows, white space, many alphabets."""
-    long_text = "\n".join(prose(900, s) for s in range(60))
+    long_text = "\n".join(prose(900, s) for s in range(60, 100))
     return [
-        (0, prose(120, 1)),
+        (0, prose(126, 1)),
         (1, None),
         (2, ""),
         (3, long_text),
-        (4, prose(120, 1)),
+        (4, prose(126, 1)),
         (5, "one two"),
         (5, "one two"),
         (6, " \t\n \r\n  "),
