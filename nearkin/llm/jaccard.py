@@ -132,7 +132,10 @@ def _prefixes(frequent, percent: int):
 
 
 def _postings(frequent):
-    """One row per shingle of a prefix: shingle, salt, document, size and place in the prefix."""
+    """One row per shingle of a prefix: shingle, salt, document, size and place in the prefix.
+
+    The lists of frequent shingles are parted by a salt; the others have the salt -1.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = frequent.value
@@ -146,7 +149,7 @@ def _postings(frequent):
             doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), lengths)
             size = np.repeat(batch.column("size").to_numpy(zero_copy_only=False), lengths)
             place = np.arange(len(shingle)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            salt = np.zeros(len(shingle), dtype=np.int64)
+            salt = np.full(len(shingle), -1, dtype=np.int64)
             if len(hot):
                 at = np.minimum(np.searchsorted(hot[:, 0], shingle), len(hot) - 1)
                 hit = np.flatnonzero(hot[at, 0] == shingle)
@@ -167,10 +170,10 @@ def _lists_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Of rows sorted by shingle, salt, size and document: those not alone, each with its hub.
 
     A hub is the first document of a list, and the first that is too long for the hub before it.
-    Lists run on from batch to batch; only the last row and its hub are carried.
+    Lists run on from batch to batch; only the last row and its hub are carried. A part of a
+    salted list, told by a salt from 0 on, stays even if alone, as other parts have rows.
     """
-    tail: pa.RecordBatch | None = None
-    tail_key, tail_alone, hub, hub_size = None, True, 0, 0
+    hub, hub_size = 0, 0
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
         names = ["shingle", "salt", "doc_id", "size_place", "hub"]
@@ -189,7 +192,8 @@ def _lists_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if held is not None and (same[0] or not held[5]) and len(shingle):
             out.append(held[:5])
         # Rows with a neighbour in their list; the last one waits for the next batch.
-        paired = np.flatnonzero(same[:-1] | same[1:])
+        salted = salt >= 0
+        paired = np.flatnonzero(same[:-1] | same[1:] | salted)
         last = len(shingle) - 1
         for i in paired.tolist():
             size = int(packed[i]) >> 24
@@ -198,9 +202,9 @@ def _lists_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if i != last:
                 out.append((int(shingle[i]), int(salt[i]), int(doc[i]), int(packed[i]), hub))
         if last >= 0:
-            if not (same[last] or same[last + 1]):
+            if not (same[last] or salted[last]):
                 hub, hub_size = int(doc[last]), int(packed[last]) >> 24
-            held = (int(shingle[last]), int(salt[last]), int(doc[last]), int(packed[last]), hub, not same[last])
+            held = (int(shingle[last]), int(salt[last]), int(doc[last]), int(packed[last]), hub, not (same[last] or salted[last]))
         if out:
             yield made(out)
     if held is not None and not held[5]:
@@ -325,7 +329,7 @@ def _first_pairs(lists: DataFrame) -> DataFrame:
     """Each document with the hub it shares most lists with, and hubs of one salted shingle."""
     shared = lists.filter("doc_id != hub").groupBy("doc_id", "hub").agg(F.count("*").alias("n"))
     best = shared.groupBy("doc_id").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("hub"))
-    hubs = lists.filter("salt > 0").select("shingle", "hub").distinct()
+    hubs = lists.filter("salt >= 0").select("shingle", "hub").distinct()
     across = hubs.join(hubs.groupBy("shingle").agg(F.min("hub").alias("least")), "shingle")
     across = across.filter("hub != least").select(*_pair("hub", "least"))
     return best.select(*_pair("doc_id", "hub")).union(across).distinct()
