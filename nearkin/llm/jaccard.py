@@ -22,8 +22,8 @@ PERCENT = 80
 FREQUENT = 500_000
 #: Postings of one n-gram that one task takes at most on average; a longer list is salted.
 LIST_ROWS = 5_000
-#: Levels to which the suffix filter halves the sets.
-SUFFIX_LEVELS = 2
+#: Equal ranges of the hash for which the suffix filter compares how many shingles two sets have.
+RANGES = 256
 #: N-grams of a document among which a task counts repeats before it hands them on.
 COUNT_BATCH = 4_000_000
 #: Bits of the table that leaves out documents without a candidate; its size is fixed.
@@ -100,11 +100,11 @@ def _prefixes(frequent, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = frequent.value
-        known, counts = table[:, 0].copy(), table[:, 1]
+        known, often_of = table[:, 0].copy(), table[:, 1]
         bits = np.zeros(1 << 24, dtype=bool)
         bits[(known.view(np.uint64) >> np.uint64(40)).astype(np.int64)] = True
         for batch in batches_of_bytes(batches, "text"):
-            sizes, digests, prefixes = [], [], []
+            sizes, digests, prefixes, counts = [], [], [], []
             for found in shingle_sets(batch.column("text")):
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
@@ -114,18 +114,21 @@ def _prefixes(frequent, percent: int):
                 if len(maybe):
                     at = np.minimum(np.searchsorted(known, values[maybe]), len(known) - 1)
                     hit = known[at] == values[maybe]
-                    often[maybe[hit]] = counts[at[hit]]
+                    often[maybe[hit]] = often_of[at[hit]]
                 # The sets are sorted by hash, and the sort by count keeps that order.
                 first = np.argsort(often, kind="stable")[: prefix_length(len(found), percent) if len(found) else 0]
                 prefixes.append(values[first].tobytes())
+                by_range = np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+                counts.append(np.minimum(by_range, 65535).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(prefixes, pa.binary()),
+                    pa.array(counts, pa.binary()),
                 ],
-                names=["doc_id", "size", "digest", "prefix"],
+                names=["doc_id", "size", "digest", "prefix", "counts"],
             )
 
     return run
@@ -240,13 +243,30 @@ def components(spark: SparkSession, edges: DataFrame, name: str = "components")
     return stored(stars.union(roots), name)
 
 
-def _suffix_bound(a: np.ndarray, b: np.ndarray, levels: int) -> int:
-    """The most that two sorted arrays can share, by halving both at the middle of the longer."""
-    if not levels or not len(a) or not len(b):
-        return min(len(a), len(b))
-    pivot = b[len(b) // 2] if len(b) >= len(a) else a[len(a) // 2]
-    i, j = np.searchsorted(a, pivot), np.searchsorted(b, pivot)
-    return _suffix_bound(a[:i], b[:j], levels - 1) + _suffix_bound(a[i:], b[j:], levels - 1)
+def shared_at_most(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The most that pairs of sets can share, from their counts by range of the hash, row by row.
+
+    As a suffix filter: parted at the same places of one order, two sets share in each part no
+    more than the smaller one has there.
+    """
+    return np.minimum(one, two).sum(axis=1, dtype=np.int64)
+
+
+def _plausible(percent: int):
+    """Pairs that the suffix filter leaves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, RANGES)
+                for c in ("counts_a", "counts_b")
+            )
+            both = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+            full = (one == 65535).any(axis=1) | (two == 65535).any(axis=1)
+            keep = full | ((100 + percent) * shared_at_most(one, two) >= percent * both)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
 
 
 def _verify(percent: int):
@@ -261,8 +281,6 @@ def _verify(percent: int):
                 both = len(one) + len(two)
                 # 100 * x >= percent * (both - x)
                 least = -(-percent * both // (100 + percent))
-                if _suffix_bound(one, two, SUFFIX_LEVELS) < least:
-                    continue
                 shared = len(np.intersect1d(one, two, assume_unique=True))
                 if shared >= least:
                     kept.append((a, b, shared, both - shared))
@@ -313,12 +331,29 @@ def _bits_of(ids: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _filtered(pairs: DataFrame, keyed: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sizes and counts let them be similar; what is joined to them is small."""
+    sides = [
+        keyed.select(F.col("doc_id").alias(x), F.col("size").alias(f"size_{x}"), F.col("counts").alias(f"counts_{x}"))
+        for x in ("a", "b")
+    ]
+    beside = pairs.join(sides[0], "a").join(sides[1], "b")
+    shorter, longer = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    return beside.filter(100 * shorter >= percent * longer).mapInArrow(_plausible(percent), "a long, b long").distinct()
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Stored pairs that are similar, each looked at once; sets are made again for their ends only."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    wanted = rows.sparkSession.sparkContext.broadcast(_bits_of(ends))
+    sets = (
+        rows.filter("doc_id is not null").filter(_may_be_in(wanted)("doc_id")).mapInArrow(_sets, "doc_id long, set binary")
+    )
     one = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(
         _verify(percent), "a long, b long, n_shared long, n_union long"
-    )
+    ).distinct()
 
 
 def _pair(one: str, two: str) -> list:
@@ -390,7 +425,7 @@ def similar_groups(
     rows = _rows(docs, id_col, text_col)
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows))
     keyed = stored(
-        rows.mapInArrow(_prefixes(frequent, percent), "doc_id long, size long, digest binary, prefix binary"),
+        rows.mapInArrow(_prefixes(frequent, percent), "doc_id long, size long, digest binary, prefix binary, counts binary"),
         "jaccard-prefixes",
     )
     linked = keyed.filter("size > 0 and doc_id is not null")
@@ -405,18 +440,11 @@ def similar_groups(
         .mapInArrow(_lists_of_two, "shingle long, salt int, doc_id long, size_place long, hub long"),
         "jaccard-lists",
     )
-    wanted = spark.sparkContext.broadcast(_bits_of(lists))
-    sets = stored(
-        rows.filter("doc_id is not null")
-        .filter(_may_be_in(wanted)("doc_id"))
-        .mapInArrow(_sets, "doc_id long, set binary"),
-        "jaccard-sets",
-    )
     first = stored(_first_pairs(lists), "jaccard-first-pairs")
-    links = stored(_verified(first, sets, percent), "jaccard-links")
+    links = stored(_verified(stored(_filtered(first, keyed, percent), "jaccard-pairs"), rows, percent), "jaccard-links")
     found = components(spark, links)
-    second = _other_pairs(lists, found, first, percent)
-    more = stored(_verified(second, sets, percent), "jaccard-more-links")
+    second = stored(_filtered(_other_pairs(lists, found, first, percent), keyed, percent), "jaccard-pairs")
+    more = stored(_verified(second, rows, percent), "jaccard-more-links")
     all_links = links.union(more)
     if more.limit(1).count():
         stars = found.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
