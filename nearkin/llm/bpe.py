@@ -232,10 +232,13 @@ def _assemble(path: str):
                     encoded = []
                     for text in part.column("text"):
                         words = own.words(text.as_py())
-                        # Only a re-read in another order could leave words out of the block.
-                        for word in set(words) - table.keys():
-                            table[word] = own.encode_words([word])[0]
-                        encoded.append(b"".join(map(table.__getitem__, words)))
+                        try:
+                            encoded.append(b"".join(map(table.__getitem__, words)))
+                        except KeyError:
+                            # Only a re-read in another order could leave words out of the block.
+                            new = [w for w in words if w not in table]
+                            table.update(zip(new, own.encode_words(new), strict=True))
+                            encoded.append(b"".join(map(table.__getitem__, words)))
                     yield pa.RecordBatch.from_arrays(
                         [part.column("doc_id"), pa.array(encoded, pa.binary())],
                         names=["doc_id", "ids"],
