@@ -11,30 +11,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nearkin.operators.pairing import BLOCK_ROWS, pairs_sharing_key
+from nearkin.operators.pairing import BLOCK_ROWS, matches_on_key, pairs_sharing_key
 
 
-def copy_groups(books: DataFrame, value: str) -> DataFrame:
-    """``book_id, n_copies, <value>``: one row per distinct array, led by its smallest id.
+def with_copy_key(books: DataFrame, value: str) -> DataFrame:
+    """Add ``copy_key``, a 128-bit digest of the array ``value``, by which copies are told.
 
-    Counted on the map side, so a hot group reaches the shuffle as one row per task. A set must
-    come sorted to be recognised.
+    The array is written out with its quotes and nulls, so no two arrays look the same. A set
+    must come sorted to be recognised.
     """
-    return books.groupBy(value).agg(
-        F.min("book_id").alias("book_id"), F.count(F.lit(1)).alias("n_copies")
-    ).select("book_id", "n_copies", value)
+    return books.withColumn("copy_key", F.md5(F.to_json(F.col(value))))
 
 
-def _keyed(books: DataFrame, value: str, *columns) -> DataFrame:
-    """``columns`` with a 128-bit digest of the array, which is cheaper to move than the array."""
-    joined = F.array_join(F.col(value).cast("array<string>"), "\u001f")
-    return books.select(*columns, F.md5(joined).alias("copy_key"))
+def copy_groups(keyed: DataFrame, value: str) -> DataFrame:
+    """``copy_key, first_id, n_copies, <value>``: one row per distinct array.
+
+    ``first_id`` is the smallest id of the group, which need not be the group's alone: ids may
+    repeat. Grouped by the digest and counted on the map side, so a hot group reaches the shuffle
+    as one row per task and no array is compared or sorted.
+    """
+    return keyed.groupBy("copy_key").agg(
+        F.min("book_id").alias("first_id"),
+        F.count(F.lit(1)).alias("n_copies"),
+        F.first(value).alias(value),
+    )
 
 
-def copy_members(books: DataFrame, groups: DataFrame, value: str) -> DataFrame:
-    """``leader, book_id`` for every document."""
-    leaders = _keyed(groups, value, F.col("book_id").alias("leader"))
-    return _keyed(books, value, "book_id").join(leaders, "copy_key").select("leader", "book_id")
+def copy_members(keyed: DataFrame) -> DataFrame:
+    """``leader, book_id``: every id of every group, named by the group's key."""
+    return keyed.select(F.col("copy_key").alias("leader"), "book_id").distinct()
 
 
 def first_members(members: DataFrame, count: int) -> DataFrame:
@@ -58,8 +63,9 @@ def expand_pairs(
 ) -> DataFrame:
     """Pairs of leaders to pairs of documents, with the pairs inside each group added.
 
-    ``leader_pairs`` has ``book_id_1, book_id_2`` and value columns; ``within`` gives the
-    values of a pair of copies. The result is the full list, so its size is that of the answer.
+    ``leader_pairs`` has ``book_id_1, book_id_2`` (keys of groups) and value columns, likeness
+    first; ``within`` gives the values of a pair of copies. The result is the full list, once
+    per two ids, so its size is that of the answer.
     """
     values = [c for c in leader_pairs.columns if c not in ("book_id_1", "book_id_2")]
     across = leader_pairs
@@ -67,12 +73,18 @@ def expand_pairs(
         of_side = members.select(
             F.col("leader").alias(f"book_id_{side}"), F.col("book_id").alias(f"_member_{side}")
         )
-        across = across.join(of_side, f"book_id_{side}")
+        # A group of many copies in many pairs is cut into blocks on both sides.
+        across = matches_on_key(across, of_side, [f"book_id_{side}"], block_rows)
     one, two = F.col("_member_1"), F.col("_member_2")
-    across = across.select(
+    across = across.where(one != two).select(
         F.least(one, two).alias("book_id_1"), F.greatest(one, two).alias("book_id_2"), *values
     )
     inside = pairs_sharing_key(members, ["leader"], "book_id", block_rows=block_rows).select(
         "book_id_1", "book_id_2", *[F.lit((within or {})[v]).alias(v) for v in values]
     )
-    return across.unionByName(inside)
+    pairs = across.unionByName(inside)
+    # An id that stands for several documents meets another more than once; the nearest counts.
+    if not values:
+        return pairs.distinct()
+    best = F.max(F.struct(*values)).alias("_best")
+    return pairs.groupBy("book_id_1", "book_id_2").agg(best).select("book_id_1", "book_id_2", "_best.*")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql.window import Window
 from nearkin.functions.minhash import estimate_jaccard
 from nearkin.functions.shingles import exact_jaccard
 from nearkin.functions.stopwords import ENGLISH_STOP_WORDS
-from nearkin.operators.copies import copy_groups, copy_members, first_members
+from nearkin.operators.copies import copy_groups, copy_members, first_members, with_copy_key
 from nearkin.operators.documents import text_signatures
 from nearkin.operators.lsh import BUCKET, index_of
 from nearkin.operators.pairing import BLOCK_ROWS, matches_on_key, pairs_sharing_key
@@ -19,16 +21,6 @@ from nearkin.operators.similarity import estimate_pairs
 from nearkin.params import DEV, LshParams
 from nearkin.session import stored
 
-# Rows up to which the query side of a lookup is sent to every task. One document has one row
-# per band, so only repeated ids come near it.
-BROADCAST_ROWS = 10_000
-
-
-def _broadcast_if_few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    few = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if few else df
-
-
 def _ranked(scored: DataFrame, top_k: int) -> DataFrame:
     """Most similar first; equal similarities by id, which the limit needs to be repeatable."""
     return (
@@ -47,10 +39,26 @@ def signature_of(signatures: DataFrame, book_id) -> DataFrame:
 
 def candidates_of(index: DataFrame, buckets: DataFrame) -> DataFrame:
     """Distinct ids with a bucket in common with ``buckets (band_id, bucket_hash)``."""
-    wanted = _broadcast_if_few(buckets.select(*BUCKET).distinct())
+    wanted = buckets.select(*BUCKET).distinct()
     return index.join(wanted, list(BUCKET), "left_semi").select("book_id").distinct()
 
 
+def in_buckets(index: DataFrame, signed: DataFrame, params: LshParams) -> DataFrame:
+    """Distinct ids that share a bucket with a signature of ``signed``, a frame of one document.
+
+    The buckets are computed from the signature, ``params.bands`` of them, and asked for by
+    value: equalities that reach the row groups of an index stored in order of its buckets.
+    """
+    asked = index_of(signed, params).select(*BUCKET).distinct().collect()
+    if not asked:
+        return index.where(F.lit(False)).select("book_id")
+    by_value = reduce(or_, [F.col("bucket_hash") == v for v in sorted({r.bucket_hash for r in asked})])
+    exact = reduce(
+        or_, [(F.col("band_id") == r.band_id) & (F.col("bucket_hash") == r.bucket_hash) for r in asked]
+    )
+    return index.where(by_value & exact).select("book_id").distinct()
+
+
 def _estimates(signatures: DataFrame, query: DataFrame) -> DataFrame:
     """``book_id, similarity`` of every signature to the one in ``query``, a one-row frame."""
     both = signatures.withColumn("_query", query.scalar()).where(F.col("_query").isNotNull())
@@ -67,15 +75,30 @@ def _score(candidates: DataFrame, signatures: DataFrame, query: DataFrame) -> Da
     return _estimates(found, query)
 
 
+def _candidates_of_book(
+    signatures: DataFrame, index: DataFrame, book_id, params: LshParams | None
+) -> DataFrame:
+    named = F.col("book_id") == F.lit(book_id)
+    if params is None:
+        return candidates_of(index, index.where(named))
+    return in_buckets(index, signatures.where(named).select("signature"), params)
+
+
 def find_similar_books(
-    signatures: DataFrame, index: DataFrame, book_id, top_k: int = DEV.top_k
+    signatures: DataFrame,
+    index: DataFrame,
+    book_id,
+    top_k: int = DEV.top_k,
+    params: LshParams | None = None,
 ) -> DataFrame:
     """The ``top_k`` most similar documents to one of the corpus: ``book_id, similarity``.
 
-    An unknown id gives no rows.
+    With the ``params`` that the index was built with, its buckets come from the one signature
+    and the index is read where they are; without, the index is searched for the id first. An
+    unknown id gives no rows.
     """
-    buckets = index.where(F.col("book_id") == F.lit(book_id))
-    candidates = candidates_of(index, buckets).where(F.col("book_id") != F.lit(book_id))
+    candidates = _candidates_of_book(signatures, index, book_id, params)
+    candidates = candidates.where(F.col("book_id") != F.lit(book_id))
     return _ranked(_score(candidates, signatures, signature_of(signatures, book_id)), top_k)
 
 
@@ -96,7 +119,7 @@ def find_similar_by_text(
     query = signatures.sparkSession.createDataFrame([("", text)], "book_id string, content string")
     # Of one row, and read twice: its buckets and its signature.
     signed = stored(text_signatures(query, params, analyzer, stop_words), "query")
-    candidates = candidates_of(index, index_of(signed, params))
+    candidates = in_buckets(index, signed.select("signature"), params)
     return _ranked(
         _score(candidates, signatures, signed.agg(F.min("signature").alias("signature"))),
         params.top_k,
@@ -115,7 +138,7 @@ def rank_all(signatures: DataFrame, book_id, top_k: int | None = None) -> DataFr
 
 
 def group_pairs(groups: DataFrame, params: LshParams, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Candidate pairs among copy-group leaders: ``book_id_1, book_id_2``."""
+    """Candidate pairs among groups of copies, by key: ``book_id_1, book_id_2``."""
     index = index_of(groups.select("book_id", "signature"), params)
     return pairs_sharing_key(index, BUCKET, "book_id", block_rows=block_rows).distinct()
 
@@ -123,17 +146,21 @@ def group_pairs(groups: DataFrame, params: LshParams, block_rows: int = BLOCK_RO
 def _top_members(linked: DataFrame, firsts: DataFrame, keep: int) -> DataFrame:
     """``query, hits``: the ``keep`` best members for each query, best first.
 
-    ``linked (query, leader, similarity)``. A group is worth its smallest id, so the first
-    ``keep`` members come out of the first ``keep`` groups; both cuts are exact.
+    ``linked (query, leader, first_id, similarity)``. A group is worth its smallest id, so the
+    first ``keep`` members come out of the first ``keep`` groups; both cuts are exact. An id that
+    stands for several documents counts once, by its nearest; then fewer hits may be left.
     """
-    best_groups = Window.partitionBy("query").orderBy(F.desc("similarity"), "leader")
+    best_groups = Window.partitionBy("query").orderBy(F.desc("similarity"), "first_id", "leader")
     best_members = Window.partitionBy("query").orderBy(F.desc("similarity"), "member")
+    same_member = Window.partitionBy("query", "member").orderBy(F.desc("similarity"))
     groups = linked.withColumn("_rank", F.row_number().over(best_groups)).where(
         F.col("_rank") <= keep
     )
     members = (
         groups.drop("_rank")
         .join(firsts, "leader")
+        .withColumn("_rank", F.row_number().over(same_member))
+        .where(F.col("_rank") == 1)
         .withColumn("_rank", F.row_number().over(best_members))
         .where(F.col("_rank") <= keep)
     )
@@ -142,14 +169,29 @@ def _top_members(linked: DataFrame, firsts: DataFrame, keep: int) -> DataFrame:
 
 
 def _numbered(hits: DataFrame, top_k: int) -> DataFrame:
-    """``query_id, rank, book_id, similarity`` from at most ``top_k`` hits of each query."""
-    cut = hits.select("query_id", F.posexplode(F.slice("hits", 1, top_k)).alias("_at", "hit"))
-    return cut.select(
-        "query_id",
-        (F.col("_at") + 1).alias("rank"),
-        F.col("hit.book_id").alias("book_id"),
-        F.col("hit.similarity").cast("float").alias("similarity"),
+    """``query_id, rank, book_id, similarity`` from the best ``hits`` of each asking document.
+
+    An id that stands for several documents asks for all of them; each hit counts once, by its
+    nearest. Both steps cut their rows before the shuffle.
+    """
+    each = hits.select("query_id", F.explode("hits").alias("hit"))
+    nearest = each.groupBy("query_id", F.col("hit.book_id").alias("book_id")).agg(
+        F.max("hit.similarity").alias("similarity")
     )
+    order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "book_id")
+    return (
+        nearest.withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= top_k)
+        .select("query_id", "rank", "book_id", F.col("similarity").cast("float").alias("similarity"))
+    )
+
+
+def _groups(signatures: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """``book_id (the group's key), first_id, n_copies, signature`` and ``leader, book_id``, stored."""
+    usable = signatures.where(F.size("signature") > 0).select("book_id", "signature")
+    keyed = stored(with_copy_key(usable, "signature"), f"{name}-keyed")
+    groups = stored(copy_groups(keyed, "signature").withColumnRenamed("copy_key", "book_id"), name)
+    return groups, stored(copy_members(keyed), f"{name}-members")
 
 
 def find_similar_to_all(
@@ -161,10 +203,9 @@ def find_similar_to_all(
     which leaves itself out, so a hot group costs its size and not its square.
     """
     keep = params.top_k + 1
-    usable = signatures.where(F.size("signature") > 0)
-    groups = stored(copy_groups(usable, "signature"), "groups")
-    members = stored(copy_members(usable, groups, "signature"), "members")
+    groups, members = _groups(signatures, "groups")
     pairs = stored(scored_leaders(groups, params, block_rows), "leader-pairs")
+    firsts = groups.select(F.col("book_id").alias("leader"), "first_id")
     linked = pairs.select(
         F.col("book_id_1").alias("query"), F.col("book_id_2").alias("leader"), "similarity"
     ).unionByName(
@@ -178,9 +219,13 @@ def find_similar_to_all(
             F.lit(1.0).alias("similarity"),
         )
     )
-    tops = _top_members(linked, first_members(members, keep), keep)
-    own = members.withColumnRenamed("book_id", "query_id").join(
-        tops.withColumnRenamed("query", "leader"), "leader"
+    tops = _top_members(linked.join(firsts, "leader"), first_members(members, keep), keep)
+    # One row of hits per group, and a group of many copies is cut into blocks to take it.
+    own = matches_on_key(
+        members.withColumnRenamed("book_id", "query_id"),
+        tops.withColumnRenamed("query", "leader"),
+        ["leader"],
+        block_rows,
     )
     others = F.filter("hits", lambda hit: hit["book_id"] != F.col("query_id"))
     return _numbered(own.select("query_id", others.alias("hits")), params.top_k)
@@ -204,10 +249,8 @@ def find_similar_to_texts(
     ``query_id, rank, book_id, similarity``. Ids are not compared: a query text that also
     stands in the corpus finds itself.
     """
-    asked = queries.where(F.size("signature") > 0)
-    query_groups = stored(copy_groups(asked, "signature"), "query-groups")
-    usable = signatures.where(F.size("signature") > 0)
-    groups = stored(copy_groups(usable, "signature"), "groups")
+    query_groups, askers = _groups(queries, "query-groups")
+    groups, members = _groups(signatures, "groups")
 
     def buckets(of: DataFrame, name: str) -> DataFrame:
         return index_of(of.select(F.col("book_id").alias(name), "signature"), params)
@@ -223,19 +266,22 @@ def find_similar_to_texts(
             ),
             "query",
         )
-        .join(groups.select(F.col("book_id").alias("leader"), "signature"), "leader")
-        .select("query", "leader", similarity.alias("similarity"))
+        .join(groups.select(F.col("book_id").alias("leader"), "first_id", "signature"), "leader")
+        .select("query", "leader", "first_id", similarity.alias("similarity"))
     )
-    members = copy_members(usable, groups, "signature")
     tops = _top_members(linked, first_members(members, params.top_k), params.top_k)
-    askers = copy_members(asked, query_groups, "signature").select(
-        F.col("leader").alias("query"), F.col("book_id").alias("query_id")
+    asked = askers.select(F.col("leader").alias("query"), F.col("book_id").alias("query_id"))
+    return _numbered(
+        matches_on_key(asked, tops, ["query"], block_rows).select("query_id", "hits"), params.top_k
     )
-    return _numbered(askers.join(tops, "query").select("query_id", "hits"), params.top_k)
 
 
 def compare_ranking(
-    signatures: DataFrame, index: DataFrame, shingled: DataFrame, book_id
+    signatures: DataFrame,
+    index: DataFrame,
+    shingled: DataFrame,
+    book_id,
+    params: LshParams | None = None,
 ) -> DataFrame:
     """Every other document against one: ``book_id, jaccard, similarity, is_candidate``.
 
@@ -250,8 +296,8 @@ def compare_ranking(
         .where(F.col("_asked").isNotNull())
         .select("book_id", exact_jaccard(F.col("shingles"), F.col("_asked")).alias("jaccard"))
     )
-    buckets = index.where(F.col("book_id") == F.lit(book_id))
-    found = stored(candidates_of(index, buckets), "candidates").withColumn("_found", F.lit(True))
+    candidates = _candidates_of_book(signatures, index, book_id, params)
+    found = stored(candidates, "candidates").withColumn("_found", F.lit(True))
     return (
         exact.join(_estimates(signatures, signature_of(signatures, book_id)), "book_id")
         .join(found, "book_id", "left")

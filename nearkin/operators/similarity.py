@@ -45,10 +45,12 @@ def _prefixes(shingled: DataFrame, min_jaccard: float) -> DataFrame:
     In one global order (rare first), two sets with J >= t share an element among the first
     ``n - ceil(t*n) + 1`` of each (prefix filtering: Chaudhuri et al. 2006; Xiao et al. 2008).
     Shingles of one document only come first in that order and meet nothing, so they count for
-    the position but are not joined.
+    the position but are not joined. ``shingle`` is a 64-bit hash: two shingles of one hash can
+    only add a candidate, and the candidates are compared by their sets.
     """
+    hashed = F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s)))
     postings = shingled.select(
-        "book_id", F.size("shingles").alias("n_shingles"), F.explode("shingles").alias("shingle")
+        "book_id", F.size("shingles").alias("n_shingles"), F.explode(hashed).alias("shingle")
     )
     frequent = (
         postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
@@ -64,7 +66,9 @@ def _prefixes(shingled: DataFrame, min_jaccard: float) -> DataFrame:
     prefix = n - F.ceil(n * min_jaccard - 1e-9).cast("int") + 1
     rare = n - F.size("ordered")
     taken = F.slice("ordered", F.lit(1), F.greatest(prefix - rare, F.lit(0)))
-    return ranked.select("book_id", "n_shingles", F.explode(taken.getField("shingle")).alias("shingle"))
+    return ranked.select(
+        "book_id", "n_shingles", F.posexplode(taken.getField("shingle")).alias("_at", "shingle")
+    ).drop("_at")
 
 
 def similar_sets(
@@ -84,18 +88,3 @@ def similar_sets(
     pairs = met.where(small >= large * min_jaccard - 1e-9).select("book_id_1", "book_id_2").distinct()
     return exact_pairs(pairs, shingled).where(F.col("jaccard") >= min_jaccard)
 
-
-def overlapping_sets(shingled: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """All pairs that share a shingle, with ``jaccard``, by counting shared shingles.
-
-    For corpora without common shingles: its size is that of all such pairs.
-    """
-    postings = shingled.select(
-        "book_id", F.size("shingles").alias("n_shingles"), F.explode("shingles").alias("shingle")
-    )
-    met = pairs_sharing_key(postings, ["shingle"], "book_id", ["n_shingles"], block_rows)
-    shared = met.groupBy("book_id_1", "book_id_2", "n_shingles_1", "n_shingles_2").agg(
-        F.count(F.lit(1)).alias("shared")
-    )
-    jaccard = jaccard_from_counts(F.col("shared"), F.col("n_shingles_1"), F.col("n_shingles_2"))
-    return shared.select("book_id_1", "book_id_2", jaccard.alias("jaccard"))

@@ -34,4 +34,3 @@ def check_banding(num_hashes: int, bands: int, rows: int) -> None:
 
 DEV = LshParams()
 CLUSTER = LshParams(num_hashes=100, bands=20)
-PROFILES = {"dev": DEV, "cluster": CLUSTER}

@@ -2,42 +2,51 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folders of the owners that are open, the innermost last.
+_owned: list[str] = []
+
 
 def get_session(app_name: str = "nearkin") -> SparkSession:
     """The active session, else a new one with settings from spark-defaults or spark-submit."""
     return SparkSession.getActiveSession() or SparkSession.builder.appName(app_name).getOrCreate()
 
 
-@functools.cache
-def _folder_of_local_session() -> str:
-    return tempfile.mkdtemp(prefix="nearkin-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names for intermediate tables; all executors must share it."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    if not folder:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+    return folder.rstrip("/")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names for intermediate tables.
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[str]:
+    """Own the intermediate tables written inside the block; leaving it deletes them.
 
-    Only a local session may do without the setting: it then gets a temporary folder, which
-    on a cluster would not be visible to every executor.
+    Results are read from these tables, so use or write them before the block ends.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    return _folder_of_local_session()
+    folder = f"{shared_folder(spark)}/owned-{uuid.uuid4().hex}"
+    _owned.append(folder)
+    try:
+        yield folder
+    finally:
+        _owned.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call returns."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in that of the open owner, that no other call returns."""
+    folder = _owned[-1] if _owned else shared_folder(spark)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

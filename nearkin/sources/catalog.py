@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Fixed value: columns of the catalogue file, in file order.
+from nearkin.sources.csv_columns import read_named
+
+# Fixed value: columns of the catalogue file.
 CATALOG_COLUMNS = (
     "Text#", "Type", "Issued", "Title", "Language", "Authors", "Subjects", "LoCC", "Bookshelves",
 )
@@ -14,12 +16,13 @@ CATALOG_COLUMNS = (
 
 def load_catalog(spark: SparkSession, path: str) -> DataFrame:
     """All columns as strings, missing values as ``""``. Compressed CSV is read as it is."""
-    schema = ", ".join(f"`{name}` string" for name in CATALOG_COLUMNS)
-    table = spark.read.csv(path, schema=schema, header=True, multiLine=True, escape='"')
-    return table.na.fill("")
+    return read_named(spark, path, CATALOG_COLUMNS).na.fill("")
 
 
-def _holds(column: str, wanted: Column) -> Column:
+def _holds(column: str, wanted: Column, pattern: bool = False) -> Column:
+    """Whether a column holds a text, or fits a pattern, in either case."""
+    if pattern:
+        return F.regexp_like(F.col(column), F.concat(F.lit("(?i)"), wanted))
     return F.lower(F.col(column)).contains(F.lower(wanted))
 
 
@@ -32,12 +35,15 @@ def _by_number() -> list[Column]:
 
 
 def select_bookshelf(
-    catalog: DataFrame, shelf: str, max_books: int = 30, language: str = "en"
+    catalog: DataFrame, shelf: str, max_books: int = 30, language: str = "en", pattern: bool = False
 ) -> DataFrame:
-    """The first ``max_books`` texts, by number, on a shelf whose name holds ``shelf``."""
+    """The first ``max_books`` texts, by number, on a shelf whose name holds ``shelf``.
+
+    With ``pattern``, ``shelf`` is a regular expression: ``"Fiction|Poetry"``.
+    """
     return (
         _texts(catalog, language)
-        .where(_holds("Bookshelves", F.lit(shelf)))
+        .where(_holds("Bookshelves", F.lit(shelf), pattern))
         .orderBy(*_by_number())
         .limit(max_books)
     )

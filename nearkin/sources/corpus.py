@@ -21,15 +21,3 @@ def write_tokens(tokens: DataFrame, path: str) -> DataFrame:
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
-
-def spread(scan: DataFrame, tasks_per_core: int = 2) -> DataFrame:
-    """Deal out the rows of a table scan that comes in fewer partitions than there are cores.
-
-    A small file may be one row group, and then all work on its texts would be one task. A table
-    that already fills the cores is left where it is: the shuffle never moves more than one scan
-    partition per core.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores * tasks_per_core)

@@ -7,20 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nearkin.session import stored
+from nearkin.sources.csv_columns import read_named
 
-# Fixed value: columns of the metadata file.
-METADATA_SCHEMA = "GutenbergID long, Title string, Author string, Bookshelf string, Link string"
+# Fixed value: the columns of the metadata file that are used.
+METADATA_COLUMNS = ("GutenbergID", "Title", "Author")
 
 
 def load_metadata(spark: SparkSession, path: str) -> DataFrame | None:
     """``(book_id, Title, Author)`` of one CSV file or of a folder of them; None if missing."""
     try:
-        table = spark.read.csv(
-            path, schema=METADATA_SCHEMA, header=True, pathGlobFilter="*.csv", escape='"'
-        )
+        table = read_named(spark, path, METADATA_COLUMNS, pathGlobFilter="*.csv")
     except AnalysisException:
         return None
-    return metadata_by_id(table)
+    number = F.expr("try_cast(GutenbergID AS bigint)")
+    return metadata_by_id(table.withColumn("GutenbergID", number))
 
 
 def metadata_by_id(table: DataFrame) -> DataFrame:

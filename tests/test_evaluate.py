@@ -61,28 +61,36 @@ def test_similar_sets_at_every_overlap(spark):
         assert {(r.book_id_1, r.book_id_2): r.jaccard for r in rows} == true_pairs(sets, t)
 
 
-def test_overlapping_sets(shingled, books):
-    rows = similarity.overlapping_sets(shingled).collect()
-    assert {(r.book_id_1, r.book_id_2): r.jaccard for r in rows} == true_pairs(books, 0)
-
-
 def test_threshold_must_be_positive(shingled):
     with pytest.raises(ValueError):
         similarity.similar_sets(shingled, 0)
 
 
-def expected_metrics(books, n, b, r, t=0.5):
-    signed = {k: signature(v, n) for k, v in books.items()}
-    found, truth = candidate_pairs(signed, b, r), set(true_pairs(books, t))
-    tp, fp, fn = len(found & truth), len(found - truth), len(truth - found)
-    tn = len(books) * (len(books) - 1) // 2 - tp - fp - fn
-    recall = tp / (tp + fn) if tp + fn else 0.0
-    precision = tp / (tp + fp) if tp + fp else 0.0
-    f1 = 2 * recall * precision / (recall + precision) if recall + precision else 0.0
-    return {
-        "n_candidates": len(found), "tp": tp, "fp": fp, "fn": fn, "tn": tn,
-        "recall": recall, "precision": precision, "f1": f1, "fpr": fp / (fp + tn) if fp + tn else 0.0,
-    }
+class Flags:
+    """Of every pair of documents, whether the index finds it and whether it is similar."""
+
+    def __init__(self, books, n, b, r, t=0.5):
+        found = candidate_pairs({k: signature(v, n) for k, v in books.items()}, b, r)
+        similar = set(true_pairs(books, t))
+        self.pairs = [(p in found, p in similar) for p in combinations(sorted(books), 2)]
+
+    def share(self, of, among):
+        """The share of pairs that meet ``of`` among those that meet ``among``."""
+        chosen = [pair for pair in self.pairs if among(*pair)]
+        return sum(of(*pair) for pair in chosen) / len(chosen) if chosen else 0.0
+
+    def check(self, row, digits=12):
+        both, either = lambda f, s: f and s, lambda f, s: f or s
+        overlap = self.share(both, either)
+        want = {
+            "n_candidates": sum(f for f, _ in self.pairs),
+            "recall": self.share(both, lambda f, s: s),
+            "precision": self.share(both, lambda f, s: f),
+            # F1 of the two sets of pairs, from their Jaccard similarity.
+            "f1": 2 * overlap / (1 + overlap),
+            "fpr": self.share(lambda f, s: f, lambda f, s: not s),
+        }
+        assert {k: row[k] for k in want} == pytest.approx({k: round(v, digits) for k, v in want.items()})
 
 
 @pytest.fixture(scope="module")
@@ -93,16 +101,23 @@ def prepared(spark, shingled):
 @pytest.mark.parametrize("b, r", [(10, 4), (20, 2), (1, 40)])
 def test_metrics_count_document_pairs(prepared, books, b, r):
     (row,) = ev.lsh_metrics(prepared, b, r).collect()
-    assert row.asDict() == pytest.approx(expected_metrics(books, 40, b, r))
+    flags = Flags(books, 40, b, r)
+    flags.check(row)
+    cells = [(True, True), (True, False), (False, True), (False, False)]
+    assert [row.tp, row.fp, row.fn, row.tn] == [flags.pairs.count(cell) for cell in cells]
+
+
+def test_ratios_of_a_worked_table(spark):
+    """Ten similar pairs of which six are found, among eight found and a hundred in all."""
+    counts = spark.createDataFrame([(6.0, 2.0, 4.0, 88.0)], "tp double, fp double, fn double, tn double")
+    row = ev.with_metrics(counts).first()
+    assert (row.recall, row.precision, row.f1, row.fpr) == pytest.approx((0.6, 0.75, 2 / 3, 2 / 90))
 
 
 def test_sweep_uses_prefixes_of_one_signature(prepared, books):
     rows = ev.sweep(prepared, [(20, 10, 2), (40, 20, 2)]).collect()
     for row in rows:
-        expected = expected_metrics(books, row.n, row.b, row.r)
-        assert row.n_candidates == expected["n_candidates"]
-        for m in ("recall", "precision", "f1", "fpr"):
-            assert row[m] == pytest.approx(round(expected[m], 4))
+        Flags(books, row.n, row.b, row.r).check(row, 4)
     best = ev.best_config(ev.sweep(prepared, [(20, 10, 2), (40, 20, 2)])).first()
     assert best.f1 == max(r.f1 for r in rows)
     with pytest.raises(ValueError):
@@ -112,9 +127,9 @@ def test_sweep_uses_prefixes_of_one_signature(prepared, books):
 def test_lsh_vs_exact(prepared, books):
     rows = {r.method: r for r in ev.lsh_vs_exact(prepared, 20, 2).collect()}
     total = len(books) * (len(books) - 1) / 2
-    expected = expected_metrics(books, 40, 20, 2)
+    n_found = sum(found for found, _ in Flags(books, 40, 20, 2).pairs)
     assert rows["BruteForce"].n_candidates == total
-    assert rows["LSH"].selectivity == pytest.approx(round(expected["n_candidates"] / total, 4))
+    assert rows["LSH"].selectivity == pytest.approx(round(n_found / total, 4))
 
 
 def test_ratios_without_denominator_are_zero(spark):

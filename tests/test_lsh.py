@@ -96,10 +96,12 @@ def test_blocked_join_is_the_join(spark, block_rows):
 def test_pairs_by_way_of_copy_groups_are_all_pairs(spark, block_rows):
     books = clustered()
     sigs = sigs_frame(spark, books)
-    groups = copies.copy_groups(sigs, "signature")
+    keyed = copies.with_copy_key(sigs, "signature")
+    groups = copies.copy_groups(keyed, "signature")
     assert groups.agg(F.sum("n_copies")).first()[0] == len(books) > groups.count()
-    members = copies.copy_members(sigs, groups, "signature")
-    leaders = lsh.find_candidate_pairs(lsh.build_lsh_index(groups.drop("n_copies"), 5, 2))
+    members = copies.copy_members(keyed)
+    index = lsh.build_lsh_index(groups.select(F.col("copy_key").alias("book_id"), "signature"), 5, 2)
+    leaders = lsh.find_candidate_pairs(index)
     expanded = copies.expand_pairs(leaders, members, block_rows=block_rows)
     assert pair_set(expanded) == candidate_pairs(books, 5, 2)
     assert copies.expand_pairs(leaders, members).columns == ["book_id_1", "book_id_2"]

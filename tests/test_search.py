@@ -1,31 +1,33 @@
 import random
 
 import pytest
-from definitions import candidate_pairs, estimate, shingle_set, signature
+from definitions import buckets, candidate_pairs, estimate, shingle_set, signature
 from pyspark.sql import functions as F
 from test_lsh import clustered, sigs_frame
 
 from nearkin.operators import documents, lookup
+from nearkin.operators.copies import copy_groups, with_copy_key
 from nearkin.operators.lsh import build_lsh_index
 from nearkin.params import LshParams
+from nearkin.plans import similar
+from nearkin.sources import index_tables
 from nearkin.sources.metadata import enrich
 
 SMALL = LshParams(num_hashes=10, bands=2, rows=5)
-FIVE = {
-    "doc_A": [1] * 10,
-    "doc_B": [1] * 10,
-    "doc_C": [1] * 5 + [2] * 5,
-    "doc_D": [2] * 10,
-    "doc_E": [1] * 7 + [2] * 3,
-}
+
+
+def stepped():
+    """Signatures that leave the first one's values one after the other, from the end."""
+    return {f"s{n}": [7] * (10 - n) + [100 + n] * n for n in (0, 0, 2, 4, 6, 10)} | {"twin": [7] * 10}
 
 
 def search(spark, books, book_id, top_k=10, params=SMALL):
     sigs = sigs_frame(spark, books)
     index = build_lsh_index(sigs, params.bands, params.rows)
-    found = lookup.find_similar_books(sigs, index, book_id, top_k)
-    assert found.schema.simpleString() == "struct<book_id:string,similarity:float>"
-    return [(r.book_id, round(r.similarity, 6)) for r in found.collect()]
+    by_id, by_bucket = (lookup.find_similar_books(sigs, index, book_id, top_k, p) for p in (None, params))
+    assert by_id.schema.simpleString() == "struct<book_id:string,similarity:float>"
+    assert by_id.collect() == by_bucket.collect()
+    return [(r.book_id, round(r.similarity, 6)) for r in by_bucket.collect()]
 
 
 def expected_hits(books, bands, rows, top_k):
@@ -38,15 +40,53 @@ def expected_hits(books, bands, rows, top_k):
     return hits
 
 
-def test_similar_to_one_book(spark):
-    # doc_E shares the first band; doc_D shares its second band only with doc_C.
-    assert search(spark, FIVE, "doc_A") == [("doc_B", 1.0), ("doc_E", 0.7), ("doc_C", 0.5)]
+@pytest.mark.parametrize("asked", ["s0", "s4", "s10", "twin"])
+@pytest.mark.parametrize("top_k", [1, 3, 100])
+def test_similar_to_one_book(spark, asked, top_k):
+    assert search(spark, stepped(), asked, top_k) == expected_hits(stepped(), 2, 5, top_k)[asked]
+
+
+def test_unknown_and_lonely_ids_find_nothing(spark):
+    assert search(spark, stepped(), "unknown") == []
+    assert search(spark, stepped(), "s10") == []
+    assert search(spark, {"only": [1] * 10, "none": []}, "none") == []
+
+
+def test_buckets_are_pushed_to_the_stored_index(spark, tmp_path):
+    sigs = sigs_frame(spark, clustered())
+    index_tables.write_search_tables(sigs, str(tmp_path), SMALL)
+    signatures, index = index_tables.read_search_tables(spark, str(tmp_path))
+    asked = signatures.where(F.col("book_id") == "b007").select("signature")
+    found = lookup.in_buckets(index, asked, SMALL)
+    (line,) = [x for x in found._jdf.queryExecution().executedPlan().toString().split("\n") if "PushedFilters" in x]
+    pushed = line.split("PushedFilters: ")[1]
+    assert all(f"EqualTo(bucket_hash,{value})" in pushed for _, value in buckets(clustered()["b007"], 2, 5))
 
 
-def test_top_k_unknown_and_lonely(spark):
-    assert search(spark, FIVE, "doc_A", top_k=2) == [("doc_B", 1.0), ("doc_E", 0.7)]
-    assert search(spark, FIVE, "nonexistent") == []
-    assert search(spark, {"doc_X": [1] * 10, "doc_Y": [9] * 10}, "doc_Y") == []
+def test_ids_that_repeat_are_listed_once(spark):
+    rows = [("", [1] * 10), ("", [1] * 10), ("pg1", [1] * 10), ("", [1] * 5 + [2] * 5)]
+    sigs = spark.createDataFrame(rows, "book_id string, signature array<bigint>")
+    pairs = similar.candidate_pairs(sigs, SMALL).collect()
+    assert [(r.book_id_1, r.book_id_2) for r in pairs] == [("", "pg1")]
+    assert [tuple(r) for r in similar.scored_pairs(sigs, SMALL).collect()] == [("", "pg1", 1.0)]
+    got = by_query(lookup.find_similar_to_all(sigs, SMALL))
+    assert got == {"": [("pg1", 1.0)], "pg1": [("", 1.0)]}
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_copies_are_grouped_by_a_digest(spark, kind):
+    sigs = spark.createDataFrame([(1, [1] * 10)], "book_id int, signature array<int>")
+    named = sigs.select(F.col("book_id").cast(kind), "signature")
+    groups = copy_groups(with_copy_key(named, "signature"), "signature")
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "key=[copy_key" in plan and "key=[signature" not in plan
+
+
+def test_values_that_look_alike_are_different_groups(spark):
+    rows = [("a", ["x\x1fy"]), ("b", ["x", "y"]), ("c", ["x", None, "y"]), ("d", ['x","y']), ("e", ["x", "y"])]
+    sets = spark.createDataFrame(rows, "book_id string, shingles array<string>")
+    sizes = [r.n_copies for r in copy_groups(with_copy_key(sets, "shingles"), "shingles").collect()]
+    assert sorted(sizes) == [1, 1, 1, 2]
 
 
 def test_ties_go_by_id(spark):
@@ -88,14 +128,15 @@ def test_query_table_finds_what_single_searches_find(spark, block_rows):
         assert got.get(query, []) == hits
 
 
-# Five short books whose nearest neighbours are known.
-TEXTS = {
-    "pg001": "the quick brown fox jumps over the lazy dog near the river bank",
-    "pg002": "the quick brown fox leaps over the lazy dog near the river",
-    "pg003": "the quick brown fox runs over the lazy dog near the lake shore",
-    "pg004": "a fast dark wolf runs across the sleepy cat by the stream",
-    "pg005": "machine learning algorithms process large datasets efficiently",
-}
+def made_text(seed, n=40, changed=0):
+    """Words drawn by a seed, the last ``changed`` of them drawn anew."""
+    rng, other = random.Random(seed), random.Random(seed + 1000)
+    words = [f"w{rng.randrange(5000)}" for _ in range(n)]
+    return " ".join(words[: n - changed] + [f"v{other.randrange(5000)}" for _ in range(changed)])
+
+
+TEXTS = {f"pg{10 * seed + c}": made_text(seed, changed=c) for seed in (1, 2) for c in (0, 2, 5)}
+LETTERS = {"pg91": "barge quay tide noon rope mast", "pg92": "lamp desk ink pen page seal"}
 
 
 @pytest.fixture(scope="module")
@@ -115,34 +156,36 @@ def text_hits(spark, corpus, text, **options):
 
 def test_similar_to_text(spark, raw_corpus):
     signed = {k: signature(shingle_set(v.split(), 3), 50) for k, v in TEXTS.items()}
-    asked = "The quick brown fox jumps over the lazy dog near a river bank"
-    signed["?"] = signature(shingle_set(asked.lower().split(), 3), 50)
-    hits = text_hits(spark, raw_corpus, asked)
-    assert hits == expected_hits(signed, 10, 5, 10)["?"] and hits[0][0] == "pg001"
+    asked = made_text(1, changed=3)
+    signed["?"] = signature(shingle_set(asked.split(), 3), 50)
+    hits = text_hits(spark, raw_corpus, asked.upper())
+    assert hits == expected_hits(signed, 10, 5, 10)["?"] and hits
     # A text of the corpus finds itself.
-    assert text_hits(spark, raw_corpus, TEXTS["pg001"])[0] == ("pg001", 1.0)
+    assert text_hits(spark, raw_corpus, TEXTS["pg20"])[0] == ("pg20", 1.0)
 
 
-def test_text_below_one_shingle_finds_nothing(spark, raw_corpus):
-    assert text_hits(spark, raw_corpus, "quick brown") == []
-    assert text_hits(spark, raw_corpus, "") == []
+@pytest.mark.parametrize("n_words", [0, 1, 2])
+def test_text_below_one_shingle_finds_nothing(spark, raw_corpus, n_words):
+    assert text_hits(spark, raw_corpus, made_text(1, n=n_words)) == []
 
 
 def test_analyzer_of_the_index(spark):
-    books = spark.createDataFrame(list(TEXTS.items()), "book_id string, content string")
+    books = spark.createDataFrame(list(LETTERS.items()), "book_id string, content string")
     sigs = documents.text_signatures(books)
     corpus = (sigs, build_lsh_index(sigs))
-    asked = "Quick, brown: fox! Jumps over LAZY dog near river bank"
-    assert text_hits(spark, corpus, asked, analyzer="index")[0] == ("pg001", 1.0)
+    asked = "The BARGE, a quay; tide -- noon of rope 12 mast"
+    assert text_hits(spark, corpus, asked, analyzer="index") == [("pg91", 1.0)]
     assert text_hits(spark, corpus, asked, analyzer="raw") == []
 
 
 def test_rank_all_needs_no_index(spark):
-    sigs = sigs_frame(spark, FIVE)
-    ranked = [(r.book_id, round(r.similarity, 6)) for r in lookup.rank_all(sigs, "doc_A").collect()]
-    assert ranked == [("doc_B", 1.0), ("doc_E", 0.7), ("doc_C", 0.5), ("doc_D", 0.0)]
-    assert lookup.rank_all(sigs, "doc_A", top_k=1).first().book_id == "doc_B"
-    assert lookup.rank_all(sigs, "nonexistent").count() == 0
+    books = stepped()
+    sigs = sigs_frame(spark, books)
+    ranked = [(r.book_id, round(r.similarity, 6)) for r in lookup.rank_all(sigs, "s2").collect()]
+    others = sorted((-estimate(books["s2"], sig), name) for name, sig in books.items() if name != "s2")
+    assert ranked == [(name, round(-s, 6)) for s, name in others]
+    assert lookup.rank_all(sigs, "s2", top_k=1).first().book_id == ranked[0][0]
+    assert lookup.rank_all(sigs, "unknown").count() == 0
 
 
 def test_metadata_is_added_in_order_or_left_out(spark):

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import struct
 
 import pytest
@@ -47,19 +48,15 @@ def test_band_vectors(spark, values):
         assert row[0] == expected
 
 
-def test_shingles(spark):
-    books = tokens_frame(
-        spark, tri=list("abcd"), dup=list("abcabc"), short=["a", "b"], none=[], null=None
-    )
-    got = by_id(d.generate_shingles(books, 3), "shingles")
-    assert set(got) == {"tri", "dup"}
-    assert set(got["tri"]) == {"a b c", "b c d"}
-    assert len(got["dup"]) == len(set(got["dup"])) == 3
-    (bigrams,) = d.generate_shingles(tokens_frame(spark, x=["x", "y", "z"]), 2).collect()
-    assert set(bigrams.shingles) == {"x y", "y z"}
-    assert d.generate_shingles(books, 3).schema.simpleString() == (
-        "struct<book_id:string,shingles:array<string>>"
-    )
+@pytest.mark.parametrize("k", [1, 2, 3, 5])
+def test_shingles_match_the_definition(spark, k):
+    rng = random.Random(k)
+    books = {f"n{n}": rng.choices(["barge", "quay", "tide"], k=n) for n in range(9)} | {"null": None}
+    found = d.generate_shingles(tokens_frame(spark, **books), k)
+    assert found.schema.simpleString() == "struct<book_id:string,shingles:array<string>>"
+    got = by_id(found, "shingles")
+    want = {name: shingle_set(words, k) for name, words in books.items() if words and len(words) >= k}
+    assert {name: sorted(v) for name, v in got.items()} == {name: sorted(v) for name, v in want.items()}
 
 
 def test_raw_shingles_keep_stop_words_and_marks(spark):
@@ -93,10 +90,14 @@ def estimate_of(spark, left, right, n=100):
     ).first()[0]
 
 
-def test_estimate(spark):
-    assert abs(estimate_of(spark, ["ab", "bc", "cd", "de"], ["ab", "bc", "cd", "ef"]) - 0.6) <= 0.15
-    assert estimate_of(spark, ["ab", "bc", "cd"], ["ab", "bc", "cd"]) == 1.0
-    assert estimate_of(spark, ["ab", "bc", "cd", "de", "ef"], ["gh", "hi", "ij", "jk", "kl"]) <= 0.15
+@pytest.mark.parametrize("shared", [0, 25, 60, 100])
+def test_estimate_is_near_the_overlap(spark, shared):
+    """Sets of 100 with a known number of common members; four deviations of 400 hashes."""
+    left = [f"item {i}" for i in range(100)]
+    right = [f"item {i}" for i in range(100 - shared, 200 - shared)]
+    exact = shared / (200 - shared)
+    error = abs(estimate_of(spark, left, right, 400) - exact)
+    assert error <= 4 * (exact * (1 - exact) / 400) ** 0.5
 
 
 @pytest.mark.parametrize("left, right", [([], []), ([1], []), ([1, 2], [1]), (None, [1])])
@@ -114,7 +115,7 @@ def test_exact_jaccard(spark):
 
 def test_one_pass_equals_the_steps(spark):
     books = spark.createDataFrame(
-        [("a", "Castle styria people mountains, castle!"), ("b", "the is a an"), ("c", None)],
+        [("a", "Barge, quay -- tide; barge at noon!"), ("b", "of and to"), ("c", None)],
         "book_id string, content string",
     )
     steps = d.compute_signatures(d.generate_shingles(d.tokenize(books)), DEV.num_hashes)

@@ -1,4 +1,5 @@
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from test_lsh import clustered, pair_set, sigs_frame
 from nearkin.operators import documents, lookup, lsh
 from nearkin.params import LshParams
 from nearkin.plans import explore
-from nearkin.session import get_session, scratch_path, shared_folder, stored
+from nearkin.session import get_session, intermediate_tables, scratch_path, shared_folder, stored
 from nearkin.sources import catalog, corpus, index_tables, metadata, results
 
 FILES = {
@@ -89,6 +90,37 @@ def test_metadata_file_folder_and_missing(spark, tmp_path):
     assert metadata.load_metadata(spark, str(tmp_path / "none")) is None
 
 
+def test_metadata_columns_go_by_name(spark, tmp_path):
+    path = tmp_path / "turned.csv"
+    path.write_text('Title,Rating,GutenbergID,Author\n"Two\nlines",5,15,Bo\nNone,4,not a number,Cy\n')
+    got = [tuple(r) for r in metadata.load_metadata(spark, str(path)).collect()]
+    assert got == [("pg15", "Two\nlines", "Bo"), (None, "None", "Cy")]
+    path.write_text("Title,Author\na,b\n")
+    with pytest.raises(ValueError, match="GutenbergID"):
+        metadata.load_metadata(spark, str(path))
+
+
+def test_intermediate_tables_go_with_their_owner(spark):
+    with intermediate_tables(spark) as folder:
+        table = stored(spark.range(5), "owned")
+        assert table.inputFiles()[0].removeprefix("file://").startswith(folder.removeprefix("file:"))
+        assert table.count() == 5 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    assert not stored(spark.range(1), "free").inputFiles()[0].startswith(folder)
+
+
+def test_a_session_without_a_shared_folder_is_an_error():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
 CATALOG = [
     ("10", "Text", "Science Fiction; Adventure", "en"),
     ("9", "Text", "SCIENCE FICTION", "en; fr"),
@@ -116,6 +148,8 @@ def test_catalog_selection(spark, books_catalog):
     assert ids(catalog.select_bookshelf(books_catalog, "science fiction")) == ["6", "9", "10"]
     assert ids(catalog.select_bookshelf(books_catalog, "Science Fiction", 2)) == ["6", "9"]
     assert ids(catalog.select_bookshelf(books_catalog, "(new)", language="en")) == ["6"]
+    assert ids(catalog.select_bookshelf(books_catalog, "detective|adventure", pattern=True)) == ["4", "10"]
+    assert ids(catalog.select_bookshelf(books_catalog, "detective|adventure")) == []
     many = catalog.select_bookshelves(books_catalog, ["Science Fiction", "Fiction", "None"], 2)
     got = {(r.shelf, r["Text#"]) for r in many.collect()}
     assert got == {("Science Fiction", "6"), ("Science Fiction", "9"), ("Fiction", "4"), ("Fiction", "6")}
@@ -144,15 +178,14 @@ def test_session_folder(spark):
 
 
 def stats_frame(spark, *words):
-    rows = [(f"b{i}", w, w * 5) for i, w in enumerate(words)]
+    rows = [(f"b{i}", w, w and w * 5) for i, w in enumerate(words)]
     return spark.createDataFrame(rows, "book_id string, num_words int, num_chars int")
 
 
-def test_corpus_stats(spark):
-    row = explore.corpus_stats(stats_frame(spark, 1, 2, 4)).first()
-    assert row.asDict() == {
-        "total_books": 3, "avg_words": 2, "min_words": 1, "max_words": 4, "avg_chars": 11, "total_words": 7,
-    }
+def test_corpus_summary(spark):
+    table = stats_frame(spark, 1, 2, 4, None)
+    got = {r.measure: tuple(r)[1:] for r in explore.corpus_summary(table, ["num_words", "num_chars"]).collect()}
+    assert got == {"num_words": (3, 7, 2.333, 1, 4), "num_chars": (3, 35, 11.667, 5, 20)}
 
 
 def test_histogram(spark):

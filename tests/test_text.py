@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,40 +8,37 @@ from nearkin.functions import text
 from nearkin.functions.stopwords import ENGLISH_STOP_WORDS
 from nearkin.operators.documents import preprocess_books
 
-MARKED = """
-*** START OF THIS VOLUME ***
-Chapter 1: the river barge, built in 1871, ran half-empty!
-Nobody on the quay waved goodbye.
-Its captain said “steady on” and left—slowly.
-*** END OF THIS VOLUME ***
-"""
-
-
 def apply(spark, function, *values):
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     out = rows.select("i", function(F.col("v")).alias("out")).orderBy("i").collect()
     return [r["out"] for r in out]
 
 
-def preprocess(spark, *rows):
-    return preprocess_books(spark.createDataFrame(list(rows), "path string, content string"))
+def preprocess(spark, *contents, stop_words=ENGLISH_STOP_WORDS):
+    """Tokens of each content, by the number in its file's name."""
+    files = [(f"file:///shelf/pg{i}.txt", c) for i, c in enumerate(contents)]
+    rows = preprocess_books(spark.createDataFrame(files, "path string, content string"), stop_words)
+    return {r.book_id: r.tokens for r in rows.collect()}
 
 
-def tokens_of(spark, content):
-    return [t for r in preprocess(spark, ("file:///x/pg99999.txt", content)).collect() for t in r.tokens]
-
-
-def test_start_marker_is_stripped_and_body_kept(spark):
-    (out,) = apply(spark, text.strip_boilerplate, MARKED)
-    assert "*** START OF" not in out
-    assert "the river barge" in out and "waved goodbye" in out
-    assert "*** END OF" in out  # before line 100, so not taken for the end
+def marked(before, body, after=()):
+    """A text whose body stands between the two markers, as a book file has it."""
+    return "\n".join([*before, "*** START OF VOLUME 9 ***", *body, "*** END OF VOLUME 9 ***", *after])
 
 
 BODY = [f"line {i}" for i in range(700)]
 HEAD = BODY[:100]
 
 
+@pytest.mark.parametrize("n_before, n_body, ends", [(0, 3, False), (5, 93, False), (5, 94, True), (120, 2, True)])
+def test_markers_count_by_where_they_stand(spark, n_before, n_body, ends):
+    # The end marker is looked for from line 100 on, or from the start marker if that is later.
+    (out,) = apply(spark, text.strip_boilerplate, marked(BODY[:n_before], BODY[:n_body], ["licence"]))
+    kept = BODY[:n_body] if ends else [*BODY[:n_body], "*** END OF VOLUME 9 ***", "licence"]
+    assert out == "\n".join(kept)
+
+
+
 @pytest.mark.parametrize(
     "lines, expected",
     [
@@ -97,48 +97,49 @@ def test_counts(spark):
     assert apply(spark, text.raw_words, " A b　C ", "") == [["a", "b", "c"], []]
 
 
-def test_book_id_extraction(spark):
-    assert preprocess(spark, ("file:///data/sample/pg12345.txt", "some text")).first().book_id == "pg12345"
-
-
-def test_tokens_are_lower_case_letters(spark):
-    tokens = tokens_of(spark, "Hello World! 123 Test-Case stuff")
-    assert tokens == ["hello", "world", "testcase", "stuff"]
-
-
-def test_tokens_split_on_whitespace(spark):
-    assert tokens_of(spark, "castle styria people mountains") == "castle styria people mountains".split()
+@pytest.mark.parametrize("number", [0, 7, 40_321, 10**12])
+def test_file_names_give_ids(spark, number):
+    path = f"s3://shelf-{number % 3}/pg{number}.txt"
+    assert apply(spark, text.file_id, path, path.upper(), f"{path}.gz.old") == [f"pg{number}", "", f"pg{number}"]
 
 
-def test_stop_words_removed_order_and_repeats_kept(spark):
-    assert tokens_of(spark, "the quick brown fox is a very lazy dog") == "quick brown fox lazy dog".split()
-    assert tokens_of(spark, "fox dog fox") == ["fox", "dog", "fox"]
+def index_tokens(content, stop_words):
+    """The definition: letters and white space only, lower case, long enough, no stop word."""
+    letters = re.sub(r"[^a-z \t\n\x0b\f\r]", "", content.lower())
+    return [t for t in re.split(r"[ \t\n\x0b\f\r]+", letters) if len(t) > 1 and t not in stop_words]
 
 
-def test_single_characters_removed(spark):
-    assert tokens_of(spark, "a i hello b world") == ["hello", "world"]
+def mixed_text(seed, n=60):
+    """Words in any case, stop words, single letters, numbers and marks, in any order."""
+    rng = random.Random(seed)
+    makers = [
+        lambda: "".join(rng.choices("bcdfglmnrstaeiou", k=rng.randint(2, 9))),
+        lambda: rng.choice(ENGLISH_STOP_WORDS).title(),
+        lambda: rng.choice("xyzI"),
+        lambda: str(rng.randint(0, 9999)),
+        lambda: "".join(rng.choices("aéZ-'’7", k=4)),
+    ]
+    return "".join(rng.choice(makers)() + rng.choice([" ", "  ", "\n", "\t", ", "]) for _ in range(n))
 
 
-def test_preprocess_schema(spark):
-    out = preprocess(spark, ("file:///test/pg99999.txt", "hello world example text"))
-    assert out.schema.simpleString() == "struct<book_id:string,tokens:array<string>>"
+def test_tokens_match_the_definition(spark):
+    contents = [mixed_text(seed) for seed in range(12)]
+    got = preprocess(spark, *contents)
+    assert got == {f"pg{i}": index_tokens(c, set(ENGLISH_STOP_WORDS)) for i, c in enumerate(contents)}
 
 
-def test_no_stop_word_in_any_output(spark):
-    out = preprocess(
-        spark,
-        ("file:///test/pg00001.txt", MARKED),
-        ("file:///test/pg00002.txt", "the and but or which shall not every"),
-    ).collect()
-    assert not {t for r in out for t in r.tokens} & set(ENGLISH_STOP_WORDS)
-    assert {r.book_id: r.tokens for r in out}["pg00002"] == ["shall", "every"]
+@pytest.mark.parametrize("n_stop", [0, 1, 3])
+def test_stop_words_are_those_given(spark, n_stop):
+    stop_words = ["barge", "quay", "the"][:n_stop]
+    content = "the quay: a barge at the quay"
+    assert preprocess(spark, content, stop_words=stop_words)["pg0"] == index_tokens(content, stop_words)
 
 
-def test_text_without_tokens_gives_no_row(spark):
-    assert preprocess(spark, ("file:///x/pg1.txt", "the is a an"), ("file:///x/pg2.txt", None)).count() == 0
+def test_body_of_a_marked_file_is_tokenised(spark):
+    got = preprocess(spark, marked(["cover"], ["barge"] * 120, ["licence"]), marked(BODY[:1], ["quay"]))
+    assert got == {"pg0": ["barge"] * 120, "pg1": ["quay", "end", "volume"]}
 
 
-def test_own_stop_words(spark):
-    books = spark.createDataFrame([("f/pg1.txt", "alpha the beta")], "path string, content string")
-    assert preprocess_books(books, ["alpha"]).first().tokens == ["the", "beta"]
-    assert preprocess_books(books, []).first().tokens == ["alpha", "the", "beta"]
+def test_files_without_tokens_give_no_row(spark):
+    some_stop_words = " ".join([w for w in ENGLISH_STOP_WORDS if w.isalpha()][::9])
+    assert preprocess(spark, some_stop_words, None, "", "1 2 3 - x") == {}

@@ -10,6 +10,10 @@ from nearkin.plans import evaluate
 from workload import queries as q
 
 JAVA_SPACE = r"[ \t\n\x0B\f\r]"
+NAMED = "SELECT 'pg' || doc_id AS book_id, text AS content FROM documents"
+FILES = """files AS (
+  SELECT doc_id, 'file:///corpus/' || doc_id || '/' ||
+    CASE WHEN doc_id % 5 = 0 THEN 'notes' ELSE 'pg' || doc_id END || '.txt' AS path FROM documents)"""
 DOCUMENTS = "SELECT doc_id AS book_id, text AS content FROM documents"
 BENCHMARK = "SELECT item_id AS book_id, text AS content FROM benchmark"
 
@@ -322,19 +326,39 @@ SQL: dict[str, str] = {
         *FULL_CHAIN, estimates(), EXACT,
     ),
     "exact_jaccard_pairs": script(
-        f"SELECT * FROM exact WHERE jaccard >= {q.EXACT_MIN_JACCARD}", *SHINGLED, EXACT
+        f"SELECT *, {q.EXACT_MIN_JACCARD}::DOUBLE AS min_jaccard FROM exact WHERE jaccard >= {q.EXACT_MIN_JACCARD}", *SHINGLED, EXACT
     ),
     "truth_pairs": script("SELECT * FROM truth", *SHINGLED, EXACT, TRUTH),
     "match_probability": script(
-        f"SELECT *, round(1 - pow(1 - pow(jaccard, {DEV.rows}), {DEV.bands}), 9) AS probability "
+        f"SELECT *, {q.EXACT_MIN_JACCARD}::DOUBLE AS min_jaccard, "
+        f"round(1 - pow(1 - pow(jaccard, {DEV.rows}), {DEV.bands}), 9) AS probability "
         f"FROM exact WHERE jaccard >= {q.EXACT_MIN_JACCARD}",
         *SHINGLED, EXACT,
     ),
     "similar_to_doc": script("SELECT * FROM hits", *WIDE_ESTIMATES, HITS_OF_ASKED),
     "similar_enriched": script(
         'SELECT book_id, similarity, lang AS "Title", source AS "Author" FROM hits '
-        "LEFT JOIN (SELECT * FROM documents WHERE doc_id % 3 <> 0) ON doc_id = book_id",
-        *WIDE_ESTIMATES, HITS_OF_ASKED,
+        "LEFT JOIN documents ON 'pg' || doc_id = book_id",
+        books(NAMED), *WIDE_ESTIMATES[1:], HITS_OF_ASKED.replace(f"= {q.ASKED_ID}", f"= 'pg{q.ASKED_ID}'")
+        .replace(f"WHERE {q.ASKED_ID}", f"WHERE 'pg{q.ASKED_ID}'"),
+    ),
+    "named_pairs": script(
+        "SELECT least(a.name, b.name) AS book_id_1, greatest(a.name, b.name) AS book_id_2, "
+        "round(max(similarity), 6) AS similarity FROM est JOIN names a ON a.book_id = book_id_1 "
+        "JOIN names b ON b.book_id = book_id_2 WHERE a.name <> b.name GROUP BY 1, 2",
+        *indexed(DEV), pair_table(), estimates(),
+        "names AS (SELECT book_id, CASE WHEN book_id % 50 = 0 THEN '' ELSE 'pg' || book_id END AS name FROM books)",
+    ),
+    "file_ids": script(
+        "SELECT path, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'pg' || doc_id END AS book_id, "
+        "split_part(path, '/', -1) AS filename, CASE WHEN doc_id % 5 = 0 THEN 'notes' "
+        "ELSE doc_id::VARCHAR END AS number FROM files", FILES,
+    ),
+    "preprocessed_files": script(
+        "SELECT CASE WHEN book_id % 5 = 0 THEN '' ELSE 'pg' || book_id END AS book_id, "
+        "array_to_string(tokens, ' ') AS tokens FROM toks WHERE len(tokens) > 0",
+        WRAPPED, STRIPPED,
+        TOKENS.replace("lower(content)", "lower(body)").replace("FROM books", "FROM stripped"),
     ),
     "similar_to_text": script(
         f"SELECT book_id, round(similarity, 6) AS similarity FROM (SELECT {q.ASKED_ID}::BIGINT AS "
@@ -388,10 +412,14 @@ SQL: dict[str, str] = {
     ),
     "doc_stats": script("SELECT * FROM stats", books(), TEXT_STATS),
     "corpus_stats": script(
-        "SELECT count(book_id) AS total_books, floor(avg(num_words))::INTEGER AS avg_words, "
-        "min(num_words) AS min_words, max(num_words) AS max_words, "
-        "floor(avg(num_chars))::INTEGER AS avg_chars, sum(num_words)::BIGINT AS total_words FROM stats",
-        books(), TEXT_STATS,
+        "SELECT measure, count(value) AS n_docs, sum(value)::BIGINT AS total, "
+        "round(avg(value), 3) AS mean, min(value) AS least, max(value) AS most FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS measure, {c}::BIGINT AS value FROM effect"
+            for c in ("raw_words", "cleaned_words", "raw_chars", "cleaned_chars")
+        )
+        + ") GROUP BY measure",
+        WRAPPED, STRIPPED, CLEANED, EFFECT,
     ),
     "word_histogram": script(
         "SELECT bin::INTEGER AS bin, round(low + bin * span / 30::DOUBLE, 6) AS bin_start, "

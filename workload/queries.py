@@ -28,8 +28,19 @@ SCALING_FACTORS = (1, 2, 3)
 
 def _books(spark: SparkSession, folder: str) -> DataFrame:
     table = spark.read.parquet(f"{folder}/documents.parquet")
-    books = table.select(F.col("doc_id").alias("book_id"), F.col("text").alias("content"))
-    return corpus.spread(books)
+    return table.select(F.col("doc_id").alias("book_id"), F.col("text").alias("content"))
+
+
+def _named_books(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents under ids as files have them: ``pg17``."""
+    return _books(spark, folder).withColumn("book_id", F.concat(F.lit("pg"), F.col("book_id")))
+
+
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as ``(path, content)`` files; every fifth has a name without a number."""
+    name = F.when(F.col("book_id") % 5 == 0, F.lit("notes")).otherwise(F.concat(F.lit("pg"), F.col("book_id")))
+    path = F.concat(F.lit("file:///corpus/"), F.col("book_id"), F.lit("/"), name, F.lit(".txt"))
+    return _wrapped(spark, folder).select(path.alias("path"), "content")
 
 
 def _benchmark(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,7 +110,21 @@ def token_stats(spark, folder):
 
 
 def top_token_docs(spark, folder):
-    return explore.top_by(token_table(spark, folder), "num_tokens")
+    tokenized = documents.tokenize(_books(spark, folder))
+    return explore.top_by(tokenized.select("book_id", F.size("tokens").alias("num_tokens")), "num_tokens")
+
+
+def file_ids(spark, folder):
+    path = F.col("path")
+    return _files(spark, folder).select(
+        "path", text.file_id(path).alias("book_id"), text.file_name(path).alias("filename"),
+        text.file_number(path).alias("number"),
+    )
+
+
+def preprocessed_files(spark, folder):
+    files = documents.preprocess_books(_files(spark, folder))
+    return files.select("book_id", F.array_join("tokens", " ").alias("tokens"))
 
 
 # Shingles, hashes and signatures
@@ -175,7 +200,18 @@ def estimate_error(spark, folder):
 
 
 def exact_jaccard_pairs(spark, folder):
-    return similar.exact_pairs_above(_shingles(spark, folder), EXACT_MIN_JACCARD)
+    """Pairs of exact similarity ``min_jaccard`` or more, which the result states."""
+    pairs = similar.exact_pairs_above(_shingles(spark, folder), EXACT_MIN_JACCARD)
+    return pairs.withColumn("min_jaccard", F.lit(EXACT_MIN_JACCARD))
+
+
+def named_pairs(spark, folder):
+    """Scored pairs under text ids, with files of one name among them."""
+    named = F.when(F.col("book_id") % 50 == 0, F.lit("")).otherwise(F.concat(F.lit("pg"), F.col("book_id")))
+    signed = stored(
+        documents.text_signatures(_books(spark, folder).withColumn("book_id", named), DEV), "signatures"
+    )
+    return _similarity_as_double(similar.scored_pairs(signed, DEV))
 
 
 def truth_pairs(spark, folder):
@@ -190,29 +226,31 @@ def match_probability(spark, folder):
 # Search
 
 
-def _search_tables(spark, folder, params=DEV):
-    signed = _signatures(spark, folder, params)
-    return signed, stored(lsh.index_of(signed, params), "index")
+def _search_tables(books, params=DEV):
+    """Both tables as searches read them: stored, in order of their keys."""
+    path = scratch_path(books.sparkSession, "search")
+    index_tables.write_search_tables(documents.text_signatures(books, params), path, params)
+    return index_tables.read_search_tables(books.sparkSession, path)
 
 
 def similar_to_doc(spark, folder):
-    found = lookup.find_similar_books(*_search_tables(spark, folder, WIDE), ASKED_ID, DEV.top_k)
-    return _similarity_as_double(found)
+    tables = _search_tables(_books(spark, folder), WIDE)
+    return _similarity_as_double(lookup.find_similar_books(*tables, ASKED_ID, DEV.top_k, WIDE))
 
 
 def similar_enriched(spark, folder):
-    found = lookup.find_similar_books(*_search_tables(spark, folder, WIDE), ASKED_ID, DEV.top_k)
+    tables = _search_tables(_named_books(spark, folder), WIDE)
+    found = lookup.find_similar_books(*tables, f"pg{ASKED_ID}", DEV.top_k, WIDE)
     table = spark.read.parquet(f"{folder}/documents.parquet").select(
-        F.col("doc_id").alias("book_id"), F.col("lang").alias("Title"), F.col("source").alias("Author")
+        F.col("doc_id").alias("GutenbergID"), F.col("lang").alias("Title"), F.col("source").alias("Author")
     )
-    # Every third document is unknown to the metadata.
-    return _similarity_as_double(metadata.enrich(found, table.where(F.col("book_id") % 3 != 0)))
+    return _similarity_as_double(metadata.enrich(found, metadata.metadata_by_id(table)))
 
 
 def similar_to_text(spark, folder):
     asked = _books(spark, folder).where(F.col("book_id") == ASKED_ID).first()["content"]
     found = lookup.find_similar_by_text(
-        *_search_tables(spark, folder, WIDE), asked, WIDE, analyzer="index"
+        *_search_tables(_books(spark, folder), WIDE), asked, WIDE, analyzer="index"
     )
     return _similarity_as_double(found)
 
@@ -237,7 +275,7 @@ def ranked_compare(spark, folder):
     shingled = stored(_shingles(spark, folder), "shingles")
     signed = stored(documents.compute_signatures(shingled, WIDE.num_hashes), "signatures")
     index = stored(lsh.index_of(signed, WIDE), "index")
-    return lookup.compare_ranking(signed, index, shingled, ASKED_ID)
+    return lookup.compare_ranking(signed, index, shingled, ASKED_ID, WIDE)
 
 
 # Evaluation
@@ -320,7 +358,8 @@ def doc_stats(spark, folder):
 
 
 def corpus_stats(spark, folder):
-    return explore.corpus_stats(doc_stats(spark, folder))
+    effect = explore.cleaning_effect(_wrapped(spark, folder))
+    return explore.corpus_summary(effect, ("raw_words", "cleaned_words", "raw_chars", "cleaned_chars"))
 
 
 def word_histogram(spark, folder):
@@ -410,7 +449,7 @@ QUERIES: dict[str, Query] = {
         strip_boilerplate, clean_text, tokens, token_table, token_stats, top_token_docs,
         shingles, raw_shingles, shingle_hashes, signatures, signatures_by_grouping,
         query_text_signatures, lsh_index, search_tables, shared_buckets, candidate_pairs,
-        index_pairs, scored_pairs, estimate_error, exact_jaccard_pairs, truth_pairs,
+        index_pairs, scored_pairs, named_pairs, file_ids, preprocessed_files, estimate_error, exact_jaccard_pairs, truth_pairs,
         match_probability, similar_to_doc, similar_enriched, similar_to_text, similar_batch,
         similar_to_texts, brute_force_rank, ranked_compare, candidate_stats, lsh_metrics,
         sweep_bands, sweep_hashes, best_config, lsh_vs_exact, experiment_results,
