@@ -34,7 +34,7 @@ _GENERAL = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Letter and number classes of these characters are the same in all versions of Unicode.
 _SETTLED = re.compile(r"[\x00-\u024f]*").fullmatch
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 WORDS_PER_BUCKET = 200_000
 CACHED_WORDS = 1_000_000
 
@@ -92,6 +92,11 @@ class Codec:
             table[i] = token.encode() if special else bytes(map(byte_of.__getitem__, token))
         return table
 
+    def decode(self, ids: bytes) -> str:
+        """Every id joined to its piece; bytes that are no UTF-8 become the replacement character."""
+        found = np.frombuffer(ids, "<u4").tolist()
+        return b"".join(map(self.pieces.__getitem__, found)).decode("utf-8", "replace")
+
     @functools.cached_property
     def _merges(self):
         """The same merges in tiktoken: every byte-level piece has its id as its rank."""
@@ -152,6 +157,18 @@ def _unpack(packed: bytes) -> list[str]:
     return json.loads(zstandard.ZstdDecompressor().decompress(packed))
 
 
+def _buckets(words: set[str], n_buckets: int) -> dict[int, list[str]]:
+    """The words in order, by bucket: the same from every task that has the same words."""
+    out: dict[int, list[str]] = {}
+    for word in sorted(words):
+        out.setdefault(zlib.crc32(word.encode()) % n_buckets, []).append(word)
+    return out
+
+
+def _check_of(words: list[str]) -> int:
+    return zlib.crc32("\0".join(words).encode(), len(words))
+
+
 def _distinct_words(path: str, n_buckets: int):
     def run(batches):
         words = codec(path).words
@@ -160,18 +177,15 @@ def _distinct_words(path: str, n_buckets: int):
             for batch in held:
                 for text in batch.column("text"):
                     seen.update(words(text.as_py()))
-            buckets: dict[int, list[str]] = {}
-            for word in sorted(seen):
-                buckets.setdefault(zlib.crc32(word.encode()) % n_buckets, []).append(word)
-            del seen
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(buckets), pa.int32()),
-                    pa.array([block] * len(buckets), pa.int64()),
-                    pa.array([_pack(ws) for ws in buckets.values()], pa.binary()),
-                ],
-                names=["bucket", "block", "words"],
-            )
+            for bucket, found in _buckets(seen, n_buckets).items():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket], pa.int32()),
+                        pa.array([block], pa.int64()),
+                        pa.array([_pack(found)], pa.binary()),
+                    ],
+                    names=["bucket", "block", "words"],
+                )
 
     return run
 
@@ -194,10 +208,11 @@ def _encode_buckets(path: str):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["block"]], pa.int64()),
-                        pa.array([row["words"]], pa.binary()),
+                        pa.array([bucket], pa.int32()),
+                        pa.array([_check_of(words)], pa.int64()),
                         pa.array([packed], pa.binary()),
                     ],
-                    names=["block", "words", "ids"],
+                    names=["block", "bucket", "check", "ids"],
                 )
 
     return run
@@ -216,52 +231,61 @@ def _pack_texts(batches):
         )
 
 
-def _assemble(path: str):
-    def run(batches_of_texts: pa.Table, words_of_block: pa.Table) -> Iterator[pa.RecordBatch]:
-        own, table = codec(path), {}
-        for words, ids in zip(words_of_block["words"], words_of_block["ids"], strict=True):
-            names = _unpack(words.as_py())
-            raw = zstandard.ZstdDecompressor().decompress(ids.as_py())
-            ends = np.cumsum(np.frombuffer(raw, "<u4", count=len(names)), dtype=np.int64) * 4
-            ends = (ends + 4 * len(names)).tolist()
-            starts = [4 * len(names), *ends[:-1]]
-            table.update((w, raw[a:b]) for w, a, b in zip(names, starts, ends, strict=True))
-        for packed in batches_of_texts["rows"]:
-            for batch in pa.ipc.open_stream(packed.as_py()):
-                for part in batches_of_bytes([batch], "text", OUT_BYTES):
-                    encoded = []
-                    for text in part.column("text"):
-                        words = own.words(text.as_py())
-                        try:
-                            encoded.append(b"".join(map(table.__getitem__, words)))
-                        except KeyError:
-                            # Only a re-read in another order could leave words out of the block.
-                            new = [w for w in words if w not in table]
-                            table.update(zip(new, own.encode_words(new), strict=True))
-                            encoded.append(b"".join(map(table.__getitem__, words)))
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id"), pa.array(encoded, pa.binary())],
-                        names=["doc_id", "ids"],
-                    )
-
-    def grouped(texts: pa.Table, words: pa.Table) -> pa.Table:
-        found = list(run(texts, words))
-        return pa.Table.from_batches(found) if found else empty(texts)
-
-    def empty(texts: pa.Table) -> pa.Table:
+def _assemble(path: str, n_buckets: int, with_text: bool):
+    """Every position of a block's texts looks up the ids of its word."""
+
+    def rows_of(packed: pa.ChunkedArray) -> Iterator[pa.RecordBatch]:
+        for rows in packed:
+            yield from batches_of_bytes(pa.ipc.open_stream(rows.as_py()), "text", OUT_BYTES)
+
+    def grouped(texts: pa.Table, found: pa.Table) -> pa.Table:
+        own, seen = codec(path), set()
+        for batch in rows_of(texts["rows"]):
+            for text in batch.column("text"):
+                seen.update(own.words(text.as_py()))
+        sent = {b: (c, i) for b, c, i in zip(*(found[n].to_pylist() for n in ("bucket", "check", "ids")), strict=True)}
+        table: dict[str, bytes] = {}
+        for bucket, words in _buckets(seen, n_buckets).items():
+            check, packed = sent.pop(bucket, (None, b""))
+            if check != _check_of(words):
+                # Only texts that were read in another order the second time come here.
+                table.update(zip(words, own.encode_words(words), strict=True))
+                continue
+            raw = zstandard.ZstdDecompressor().decompress(packed)
+            sizes = np.frombuffer(raw, "<u4", count=len(words)).astype(np.int64)
+            ends = (4 * (np.cumsum(sizes) + len(words))).tolist()
+            table.update((w, raw[a:b]) for w, a, b in zip(words, [4 * len(words), *ends], ends, strict=False))
+        del seen
+        ids = (pa.field("ids", pa.binary()), pa.field("decoded", pa.string()))
+        schema = pa.schema([texts_schema(texts), *ids[: 1 + with_text]])
+        out = []
+        for batch in rows_of(texts["rows"]):
+            encoded = [b"".join(map(table.__getitem__, own.words(t.as_py()))) for t in batch.column("text")]
+            columns = [batch.column("doc_id"), pa.array(encoded, pa.binary())]
+            if with_text:
+                columns.append(pa.array(map(own.decode, encoded), pa.string()))
+            out.append(pa.RecordBatch.from_arrays(columns, schema=schema))
+        return pa.Table.from_batches(out, schema)
+
+    def texts_schema(texts: pa.Table) -> pa.Field:
+        for rows in texts["rows"]:
+            return pa.ipc.open_stream(rows.as_py()).schema.field("doc_id")
         raise ValueError("words without texts: the documents changed between two reads")
 
     return grouped
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """``doc_id`` and ``ids`` of every document, as the file at ``path`` encodes it.
 
     ``ids`` are little-endian unsigned 32-bit integers in one binary. Blocks of documents list
     their distinct words; these meet in buckets by word, where each distinct word is encoded
     once; and the ids go back to their block, where every position looks up its word. Words and
-    ids travel as one compressed list per block and bucket. A null text is empty and has no ids,
-    rows may repeat, other columns are left out, and an empty table gives an empty one.
+    ids travel as one compressed list per block and bucket. With ``decoded`` the ids are decoded
+    in the same place, as by ``decode``. A null text is empty and has no ids, rows may repeat,
+    other columns are left out, and an empty table gives an empty one.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_or_empty(text_col).alias("text"))
@@ -271,14 +295,15 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         rows.mapInArrow(_distinct_words(path, n_buckets), "bucket int, block long, words binary")
         .repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_encode_buckets(path), "block long, words binary, ids binary")
+        .mapInArrow(_encode_buckets(path), "block long, bucket int, check long, ids binary")
     )
     texts = rows.mapInArrow(_pack_texts, "block long, rows binary")
     kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids binary" + ", decoded string" * decoded
     return (
         texts.groupBy("block")
         .cogroup(words.groupBy("block"))
-        .applyInArrow(_assemble(path), f"doc_id {kind}, ids binary")
+        .applyInArrow(_assemble(path, n_buckets, decoded), schema)
     )
 
 
@@ -293,13 +318,10 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     schema = ", ".join(f"`{n}` {encoded.schema[n].dataType.simpleString()}" for n in names)
 
     def run(batches):
-        pieces = codec(path).pieces
+        own = codec(path)
         for whole in batches:
             for batch in batches_of_bytes([whole], "ids", OUT_BYTES):
-                texts = []
-                for value in batch.column("ids"):
-                    ids = np.frombuffer(value.as_py() or b"", "<u4").tolist()
-                    texts.append(b"".join(map(pieces.__getitem__, ids)).decode("utf-8", "replace"))
+                texts = [own.decode(value.as_py() or b"") for value in batch.column("ids")]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(texts, pa.string())],
                     names=[*batch.schema.names, "decoded"],
@@ -310,8 +332,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def encode_decode_digests(docs: DataFrame, path: str) -> DataFrame:
     """One row per document with the digests of its ids and of the text they decode to."""
-    decoded = decode(encode(docs, path), path)
-    return decoded.select(
+    return encode(docs, path, decoded=True).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

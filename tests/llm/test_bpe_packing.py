@@ -52,6 +52,18 @@ def test_round_trip_of_awkward_rows(awkward, awkward_rows, monkeypatch):
     assert got == sorted(want)
 
 
+def test_decode_is_what_encode_can_add(awkward):
+    both = bpe.encode(awkward, PATH, decoded=True).collect()
+    apart = bpe.decode(bpe.encode(awkward, PATH), PATH).collect()
+    assert sorted(map(tuple, both)) == sorted(map(tuple, apart))
+
+
+def test_texts_read_in_another_order_are_encoded_anyway(awkward, awkward_rows, monkeypatch):
+    monkeypatch.setattr(bpe, "_encode_buckets", lambda path: lambda batches: iter(()))
+    got = sorted((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in bpe.encode(awkward, PATH).collect())
+    assert got == sorted((i, ids_of(t)) for i, t in awkward_rows)
+
+
 def test_decode_replaces_what_is_no_text(spark):
     ids = np.array([LIBRARY.encode("é").ids[0], *LIBRARY.encode("日").ids[:1]], "<u4").tobytes()[:8]
     frame = spark.createDataFrame([(1, bytearray(ids)), (2, None)], "doc_id long, ids binary")
