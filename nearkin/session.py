@@ -12,6 +12,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Folders of the owners that are open, the innermost last.
 _owned: list[str] = []
+# Folders that a caller has named, the valid one last.
+_named: list[str] = []
 
 
 def get_session(app_name: str = "nearkin") -> SparkSession:
@@ -19,11 +21,16 @@ def get_session(app_name: str = "nearkin") -> SparkSession:
     return SparkSession.getActiveSession() or SparkSession.builder.appName(app_name).getOrCreate()
 
 
+def use_folder(folder: str) -> None:
+    """Name the folder for intermediate tables of sessions that name none themselves."""
+    _named.append(folder)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the session names for intermediate tables; all executors must share it."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or (_named[-1] if _named else None)
     if not folder:
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share, or call use_folder")
     return folder.rstrip("/")
 
 
