@@ -36,7 +36,7 @@ _SETTLED = re.compile(r"[\x00-\u024f]*").fullmatch
 
 BLOCK_BYTES = 8 << 20
 WORDS_PER_BUCKET = 200_000
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 400_000
 
 
 def vocabulary(path: str) -> dict:
