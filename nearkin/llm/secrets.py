@@ -297,7 +297,7 @@ def _training_windows(batches):
             begins = np.flatnonzero(tags[a:b] == 1)
             others = np.flatnonzero(digits[a:b] & (tags[a:b] == 0))
             plain = np.arange(0, b - a, 500)
-            for rank, middle in enumerate([*begins[:8], *others[:8], *plain[:2]]):
+            for rank, middle in enumerate([*begins[:4], *others[:3], *plain[:1]]):
                 at = np.arange(middle - REACH, middle + REACH + 1) + a
                 inside = (at >= a) & (at < b)
                 rows = np.full((width, N_PER_TOKEN), PADDING, dtype=np.int32)
