@@ -7,10 +7,12 @@ UTF-8 sequence is ASCII, so a table of 256 entries decides what a byte is.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 CHUNK_BYTES = 2 << 20
 OUT_BYTES = 8 << 20
@@ -32,6 +34,18 @@ def batches_of_bytes(
             start = stop
 
 
+@contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs started inside the block send ``rows`` rows at most to Python at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, and where each begins, with the end as last entry."""
     column = column.cast(pa.large_binary())

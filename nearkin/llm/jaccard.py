@@ -6,12 +6,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import LOWER, OUT_BYTES, SPACES, batches_of_bytes, flat, grams, hashes, mix, runs
+from nearkin.llm.arrow import LOWER, OUT_BYTES, SPACES, batches_of_bytes, flat, grams, hashes, mix, rows_per_batch, runs
 from nearkin.llm.columns import text_or_empty
 from nearkin.session import stored
 
@@ -20,6 +19,8 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: The most frequent n-grams, which go last in the order of rarity; bounds what is broadcast.
 FREQUENT = 500_000
+#: Values that the average frequency of a document's shingles is cut to.
+SCORES = 1 << 22
 #: Postings of one n-gram that one task takes at most on average; a longer list is salted.
 LIST_ROWS = 5_000
 #: Equal ranges of the hash for which the suffix filter compares how many shingles two sets have.
@@ -28,6 +29,8 @@ RANGES = 256
 COUNT_BATCH = 4_000_000
 #: Bits of the table that leaves out documents without a candidate; its size is fixed.
 FILTER_BITS = 1 << 23
+#: Pairs that a task has in memory at a time with both sets.
+SETS_PER_BATCH = 500
 
 
 def shingle_sets(texts: pa.Array, k: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -104,7 +107,7 @@ def _prefixes(frequent, percent: int):
         bits = np.zeros(1 << 24, dtype=bool)
         bits[(known.view(np.uint64) >> np.uint64(40)).astype(np.int64)] = True
         for batch in batches_of_bytes(batches, "text"):
-            sizes, digests, prefixes, counts = [], [], [], []
+            sizes, digests, prefixes, counts, scores = [], [], [], [], []
             for found in shingle_sets(batch.column("text")):
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
@@ -115,6 +118,7 @@ def _prefixes(frequent, percent: int):
                     at = np.minimum(np.searchsorted(known, values[maybe]), len(known) - 1)
                     hit = known[at] == values[maybe]
                     often[maybe[hit]] = often_of[at[hit]]
+                scores.append(int(often.sum()) // max(1, len(found)))
                 # The sets are sorted by hash, and the sort by count keeps that order.
                 first = np.argsort(often, kind="stable")[: prefix_length(len(found), percent) if len(found) else 0]
                 prefixes.append(values[first].tobytes())
@@ -127,18 +131,22 @@ def _prefixes(frequent, percent: int):
                     pa.array(digests, pa.binary()),
                     pa.array(prefixes, pa.binary()),
                     pa.array(counts, pa.binary()),
+                    pa.array(scores, pa.int64()),
                 ],
-                names=["doc_id", "size", "digest", "prefix", "counts"],
+                names=["doc_id", "size", "digest", "prefix", "counts", "score"],
             )
 
     return run
 
 
-def _postings(frequent):
-    """One row per shingle of a prefix: shingle, salt, document, size and place in the prefix.
+def _postings(frequent, percent: int):
+    """One row per shingle of a prefix: shingle, salt, order, document, size and place in the prefix.
 
-    The lists of frequent shingles are parted by a salt; the others have the salt -1.
+    The lists of frequent shingles are parted by a salt; the others have the salt -1. A list is
+    ordered by class of size, within which two sizes may be similar, then by how common the
+    document's shingles are on average: the text that others were made from comes first.
     """
+    width = np.log(max(1.01, 100 / percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = frequent.value
@@ -152,6 +160,9 @@ def _postings(frequent):
             doc = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), lengths)
             size = np.repeat(batch.column("size").to_numpy(zero_copy_only=False), lengths)
             place = np.arange(len(shingle)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            score = np.minimum(batch.column("score").to_numpy(zero_copy_only=False), SCORES - 1)
+            sizes = np.maximum(batch.column("size").to_numpy(zero_copy_only=False), 1)
+            order = np.floor(np.log(sizes) / width).astype(np.int64) * SCORES + (SCORES - 1 - score)
             salt = np.full(len(shingle), -1, dtype=np.int64)
             if len(hot):
                 at = np.minimum(np.searchsorted(hot[:, 0], shingle), len(hot) - 1)
@@ -160,58 +171,66 @@ def _postings(frequent):
                 salt[hit] = (mix(doc[hit].astype(np.uint64)) % parts.astype(np.uint64)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(shingle), pa.array(salt.astype(np.int32)), pa.array(doc),
+                    pa.array(shingle), pa.array(salt.astype(np.int32)),
+                    pa.array(np.repeat(order, lengths).astype(np.int32)), pa.array(doc),
                     pa.array((size << 24) | np.minimum(place, (1 << 24) - 1)),
                 ],
-                names=["shingle", "salt", "doc_id", "size_place"],
+                names=["shingle", "salt", "place_in_list", "doc_id", "size_place"],
             )
 
     return run
 
 
 def _lists_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by shingle, salt, size and document: those not alone, each with its hub.
+    """Of rows in order of shingle, salt, list and document: those not alone, each with its hub.
 
-    A hub is the first document of a list, and the first that is too long for the hub before it.
-    Lists run on from batch to batch; only the last row and its hub are carried. A part of a
-    salted list, told by a salt from 0 on, stays even if alone, as other parts have rows.
+    A hub is the first document of its class of size in a list; its own hub is that of the class
+    below, so that a group that reaches over two classes hangs together. Lists run on from batch
+    to batch; only the last row and its hub are carried. A part of a salted list, told by a
+    salt from 0 on, stays even if alone, as other parts have rows.
     """
-    hub, hub_size = 0, 0
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["shingle", "salt", "doc_id", "size_place", "hub"]
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
-        names = ["shingle", "salt", "doc_id", "size_place", "hub"]
-        values = list(zip(*rows, strict=True)) if rows else [()] * 5
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=names)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+        )
 
+    hub, hub_class = 0, -1
     held: tuple | None = None
+    held_alone = False
     for batch in batches:
-        shingle, salt, doc, packed = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        shingle, salt, order, doc, packed = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+        if not len(shingle):
+            continue
+        size_class = order // SCORES
         same = np.zeros(len(shingle) + 1, dtype=bool)
         same[1:-1] = (shingle[1:] == shingle[:-1]) & (salt[1:] == salt[:-1])
-        if held is not None and len(shingle):
-            same[0] = held[0] == shingle[0] and held[1] == salt[0]
-        out = []
-        if held is not None and (same[0] or not held[5]) and len(shingle):
-            out.append(held[:5])
-        # Rows with a neighbour in their list; the last one waits for the next batch.
-        salted = salt >= 0
-        paired = np.flatnonzero(same[:-1] | same[1:] | salted)
+        same[0] = held is not None and held[0] == shingle[0] and held[1] == salt[0]
+        out = [held] if held is not None and (same[0] or not held_alone) else []
         last = len(shingle) - 1
-        for i in paired.tolist():
-            size = int(packed[i]) >> 24
-            if not same[i] or 100 * hub_size < PERCENT * size:
-                hub, hub_size = int(doc[i]), size
-            if i != last:
-                out.append((int(shingle[i]), int(salt[i]), int(doc[i]), int(packed[i]), hub))
-        if last >= 0:
-            if not (same[last] or salted[last]):
-                hub, hub_size = int(doc[last]), int(packed[last]) >> 24
-            held = (int(shingle[last]), int(salt[last]), int(doc[last]), int(packed[last]), hub, not (same[last] or salted[last]))
+        # Rows with a neighbour in their list; the last one waits for the next batch.
+        paired = same[:-1] | same[1:] | (salt >= 0)
+        paired[last] = True
+        for i in np.flatnonzero(paired).tolist():
+            of_row, own_class = int(doc[i]), int(size_class[i])
+            if not same[i]:
+                row_hub, hub, hub_class = of_row, of_row, own_class
+            elif own_class != hub_class:
+                row_hub = hub if own_class == hub_class + 1 else of_row
+                hub, hub_class = of_row, own_class
+            else:
+                row_hub = hub
+            row = (int(shingle[i]), int(salt[i]), of_row, int(packed[i]), row_hub)
+            if i == last:
+                held, held_alone = row, not (same[i] or salt[i] >= 0)
+            else:
+                out.append(row)
         if out:
             yield made(out)
-    if held is not None and not held[5]:
-        yield made([held[:5]])
+    if held is not None and not held_alone:
+        yield made([held])
 
 
 def components(spark: SparkSession, edges: DataFrame, name: str = "components") -> DataFrame:
@@ -292,22 +311,22 @@ def _verify(percent: int):
     return run
 
 
-def _may_be_in(wanted):
-    @F.pandas_udf("boolean")
-    def among(ids: pd.Series) -> pd.Series:
-        bits = np.frombuffer(wanted.value, np.uint8)
-        at = (mix(ids.to_numpy().astype(np.int64).astype(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
-        return pd.Series((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
-
-    return among
+def _sets_among(wanted):
+    """Sets of the documents that the bit table may name; others are skipped, not shingled."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(wanted.value, np.uint8)
+        for whole in batches:
+            ids = whole.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+            at = (mix(ids.astype(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+            chosen = whole.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+            for batch in batches_of_bytes([chosen], "text"):
+                sets = [s.tobytes() for s in shingle_sets(batch.column("text"))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "set"]
+                )
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches_of_bytes(batches, "text"):
-        sets = [s.tobytes() for s in shingle_sets(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sets, pa.binary())], names=["doc_id", "set"]
-        )
+    return run
 
 
 def _bits_of(ids: DataFrame) -> bytes:
@@ -346,14 +365,13 @@ def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """Stored pairs that are similar, each looked at once; sets are made again for their ends only."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
     wanted = rows.sparkSession.sparkContext.broadcast(_bits_of(ends))
-    sets = (
-        rows.filter("doc_id is not null").filter(_may_be_in(wanted)("doc_id")).mapInArrow(_sets, "doc_id long, set binary")
-    )
+    sets = rows.filter("doc_id is not null").mapInArrow(_sets_among(wanted), "doc_id long, set binary")
     one = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b").mapInArrow(
-        _verify(percent), "a long, b long, n_shared long, n_union long"
-    ).distinct()
+    beside = pairs.join(one, "a").join(two, "b").select("a", "b", "set_a", "set_b")
+    similar = beside.mapInArrow(_verify(percent), "a long, b long, n_shared long, n_union long")
+    with rows_per_batch(rows.sparkSession, SETS_PER_BATCH):
+        return stored(similar.distinct(), "jaccard-links")
 
 
 def _pair(one: str, two: str) -> list:
@@ -425,26 +443,29 @@ def similar_groups(
     rows = _rows(docs, id_col, text_col)
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows))
     keyed = stored(
-        rows.mapInArrow(_prefixes(frequent, percent), "doc_id long, size long, digest binary, prefix binary, counts binary"),
+        rows.mapInArrow(_prefixes(frequent, percent), "doc_id long, size long, digest binary, prefix binary, counts binary, score long"),
         "jaccard-prefixes",
     )
     linked = keyed.filter("size > 0 and doc_id is not null")
     sets_of = linked.groupBy("digest").agg(
-        F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("prefix").alias("prefix")
+        F.min("doc_id").alias("doc_id"),
+        *[F.first(c).alias(c) for c in ("size", "prefix", "score")],
     )
     lists = stored(
-        sets_of.select("doc_id", "size", "prefix")
-        .mapInArrow(_postings(frequent), "shingle long, salt int, doc_id long, size_place long")
+        sets_of.select("doc_id", "size", "prefix", "score")
+        .mapInArrow(
+            _postings(frequent, percent), "shingle long, salt int, place_in_list int, doc_id long, size_place long"
+        )
         .repartition("shingle", "salt")
-        .sortWithinPartitions("shingle", "salt", "size_place", "doc_id")
+        .sortWithinPartitions("shingle", "salt", "place_in_list", "doc_id")
         .mapInArrow(_lists_of_two, "shingle long, salt int, doc_id long, size_place long, hub long"),
         "jaccard-lists",
     )
     first = stored(_first_pairs(lists), "jaccard-first-pairs")
-    links = stored(_verified(stored(_filtered(first, keyed, percent), "jaccard-pairs"), rows, percent), "jaccard-links")
+    links = _verified(stored(_filtered(first, keyed, percent), "jaccard-pairs"), rows, percent)
     found = components(spark, links)
     second = stored(_filtered(_other_pairs(lists, found, first, percent), keyed, percent), "jaccard-pairs")
-    more = stored(_verified(second, rows, percent), "jaccard-more-links")
+    more = _verified(second, rows, percent)
     all_links = links.union(more)
     if more.limit(1).count():
         stars = found.select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))

@@ -50,6 +50,19 @@ def test_large_group_of_near_copies_gives_no_pairs_of_all(docs_of):
     assert links.count() < 3 * len(texts)
 
 
+def test_copies_that_only_the_original_joins(docs_of):
+    """Each copy is near the original and not near the other copies: a star, found in its hub."""
+    base = prose(150, 3).replace("\n", " ")
+    words = base.split(" ")
+    texts = [" ".join(f"c{i}x{j}" if j % 60 == i % 60 else w for j, w in enumerate(words)) for i in range(200)]
+    docs = docs_of([*texts, base])
+    want, links = definitions.components(list(enumerate([*texts, base])))
+    assert {c for _, c in want.values()} == {0} and len(links) < 20_000
+    groups, found = jaccard.similar_groups(docs)
+    assert {r.component_id for r in groups.collect()} == {0}
+    assert found.count() <= 2 * len(texts)
+
+
 def test_awkward_rows(awkward, awkward_rows, docs_of):
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_groups(awkward)[0].collect())
     want, _ = definitions.components([(i, t) for i, t in dict(awkward_rows).items()])
@@ -84,8 +97,11 @@ def test_lists_run_on_across_batches():
     size = np.repeat(10, 200)
     rows = sorted(zip(shingle.tolist(), [0] * 200, (size << 24).tolist(), range(200), strict=True))
     whole = pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows]), pa.array([-1] * 200, pa.int32()), pa.array([r[3] for r in rows]), pa.array([r[2] for r in rows])],
-        names=["shingle", "salt", "doc_id", "size_place"],
+        [
+            pa.array([r[0] for r in rows]), pa.array([-1] * 200, pa.int32()), pa.array([5] * 200, pa.int32()),
+            pa.array([r[3] for r in rows]), pa.array([r[2] for r in rows]),
+        ],
+        names=["shingle", "salt", "place_in_list", "doc_id", "size_place"],
     )
     for step in (1, 2, 7, 200):
         batches = [whole.slice(i, step) for i in range(0, 200, step)]
