@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from nearkin.llm import jaccard, lines, packing, quality, secrets
 from nearkin.llm.queries import tokenizer_path
-from nearkin.session import stored
+from nearkin.session import intermediate_tables, scratch_path, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,11 +29,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept(docs).select(*COLUMNS)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without recurring lines; those of which no text is left are dropped."""
-    left = lines.drop_recurring(docs)
+def _unless_emptied(left: DataFrame) -> DataFrame:
     emptied = (F.col("n_dropped") > 0) & ~F.col("text").rlike(r"[^ \t\n\x0B\f\r]")
-    return _with_length(left.filter(F.col("text").isNull() | ~emptied))
+    return left.filter(F.col("text").isNull() | ~emptied)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without recurring lines, then without recurring sentences of what is left.
+
+    Those of which no text is left are dropped. The tables of the first step go before the second.
+    """
+    path = scratch_path(spark, "lines-left")
+    with intermediate_tables(spark):
+        _unless_emptied(lines.drop_recurring(docs)).select(*COLUMNS).write.parquet(path)
+    left = spark.read.schema(docs.select(*COLUMNS).schema).parquet(path)
+    return _with_length(_unless_emptied(lines.drop_recurring(left, unit=lines.SENTENCE)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,21 @@ FIELD = r"[^ \t\x0B\f\r\n]*[0-9][^ \t\x0B\f\r\n]*"
 _SPACE = r" \t\x0B\f\r"
 
 
+class Unit(NamedTuple):
+    """What recurs: the pieces that a text is split into, and the least tokens of one looked at."""
+
+    ends: str
+    min_tokens: int
+
+
+LINE = Unit("\n", MIN_TOKENS)
+#: Within a line, between a full stop with closing quotes and white space, and what follows it. The
+#: short look back comes first, as it rules out most places.
+_WITHIN = r"""(?<=[ \t])(?=[^ \t\n])(?<=[.!?]["')\]]{0,2}[ \t]{1,4})"""
+#: Sentences end there or at a line's end. Short ones ("Thank you very much.") recur by chance and stay.
+SENTENCE = Unit(f"\n|{_WITHIN}", 8)
+
+
 def _row_of(id_col: str, text_col: str) -> Column:
     """What the tables of lines call a row; rows of equal id and text are one document."""
     return F.xxhash64(F.col(f"`{id_col}`").cast("string"), text_or_empty(text_col))
@@ -31,22 +48,27 @@ def _tokens_of(line: Column) -> Column:
     return F.filter(F.split(line, f"[{_SPACE}]+"), lambda t: t != "")
 
 
-def _masked_lines(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, FIELD, "<*>"), "\n")
+def _masked(text: Column, unit: Unit) -> Column:
+    if unit is LINE:
+        return F.split(F.regexp_replace(text, FIELD, "<*>"), "\n")
+    # A masked number would take the full stop after it along, so the text is split first.
+    return F.transform(F.split(text, unit.ends), lambda u: F.regexp_replace(u, FIELD, "<*>"))
 
 
 def _leaf(tokens: Column) -> Column:
     return F.xxhash64(F.size(tokens), F.slice(tokens, 1, LEADING))
 
 
-def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, row, line, n_tokens, leaf, whole`` of every line of MIN_TOKENS tokens or more.
+def line_keys(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE
+) -> DataFrame:
+    """``id, row, line, n_tokens, leaf, whole`` of every line, or other unit, of enough tokens.
 
     The first level of the tree is the token count, the next are the leading tokens; ``leaf``
     hashes the way to a leaf and ``whole`` all tokens, variable fields masked in both.
     """
     keys = F.transform(
-        _masked_lines(text_or_empty(text_col)),
+        _masked(text_or_empty(text_col), unit),
         lambda line: let(
             _tokens_of(line),
             lambda t: F.struct(F.size(t).alias("n_tokens"), _leaf(t).alias("leaf"), F.xxhash64(t).alias("whole")),
@@ -55,10 +77,24 @@ def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), _row_of(id_col, text_col).alias("row"), F.posexplode(keys).alias("line", "key")
     )
-    return rows.filter(F.col("key.n_tokens") >= MIN_TOKENS).select("id", "row", "line", "key.*")
+    return rows.filter(F.col("key.n_tokens") >= unit.min_tokens).select("id", "row", "line", "key.*")
 
 
-def _generalised(wholes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _of_templates(tokens: DataFrame) -> DataFrame:
+    """``whole, template`` of the lines that have enough of the constants of a group's template."""
+    constants = (
+        tokens.groupBy("template", "place", "token").agg(F.count("*").alias("n"), F.first("n_lines").alias("n_lines"))
+        .filter("2 * n > n_lines").select("template", "place", "token")
+    )
+    held = tokens.join(constants, ["template", "place", "token"], "left_semi")
+    return (
+        held.groupBy("template", "whole").agg(F.count("*").alias("n"), F.first("n_tokens").alias("n_tokens"))
+        .filter(f"100 * n >= {MIN_CONSTANT_PERCENT} * n_tokens")
+        .select("whole", "template")
+    )
+
+
+def _generalised(wholes: DataFrame, docs: DataFrame, id_col: str, text_col: str, unit: Unit) -> DataFrame:
     """``whole, leaf`` of the lines that share their leaf's template with another line.
 
     Of every leaf with several different lines, each different line votes once for its token at
@@ -76,7 +112,7 @@ def _generalised(wholes: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     texts = docs.select(_row_of(id_col, text_col).alias("row"), text_or_empty(text_col).alias("text")).join(per_row, "row")
     lines = texts.select(
         F.explode(
-            let(_masked_lines(F.col("text")), lambda all_lines: F.transform(
+            let(_masked(F.col("text"), unit), lambda all_lines: F.transform(
                 "chosen",
                 lambda c: F.struct(
                     c["leaf"].alias("leaf"), c["n_lines"].alias("n_lines"), c["n_tokens"].alias("n_tokens"),
@@ -87,24 +123,17 @@ def _generalised(wholes: DataFrame, docs: DataFrame, id_col: str, text_col: str)
     ).select("c.*").dropDuplicates(["whole"])
     tokens = stored(
         lines.select("leaf", "n_lines", "n_tokens", "whole", F.posexplode(_tokens_of(F.col("masked"))).alias("place", "token"))
-        .select("leaf", "n_lines", "n_tokens", "whole", "place", F.xxhash64("token").alias("token")),
+        .select(F.col("leaf").alias("template"), "n_lines", "n_tokens", "whole", "place", F.xxhash64("token").alias("token")),
         "line-tokens",
     )
-    constants = (
-        tokens.groupBy("leaf", "place", "token").agg(F.count("*").alias("n"), F.first("n_lines").alias("n_lines"))
-        .filter("2 * n > n_lines").select("leaf", "place", "token")
-    )
-    held = tokens.join(constants, ["leaf", "place", "token"], "left_semi")
-    return (
-        held.groupBy("leaf", "whole").agg(F.count("*").alias("n"), F.first("n_tokens").alias("n_tokens"))
-        .filter(f"100 * n >= {MIN_CONSTANT_PERCENT} * n_tokens")
-        .select("whole", F.col("leaf").alias("template"))
-    )
+    return _of_templates(tokens)
 
 
-def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``row, line`` of the lines whose template an earlier document has, in order of id."""
-    keys = stored(line_keys(docs, id_col, text_col), "line-keys")
+def recurring_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE
+) -> DataFrame:
+    """``row, line`` of the lines, or other units, whose template an earlier document has, in order of id."""
+    keys = stored(line_keys(docs, id_col, text_col, unit), "line-keys")
     wholes = stored(
         keys.groupBy("whole").agg(
             F.first("leaf").alias("leaf"),
@@ -116,7 +145,7 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ),
         "line-wholes",
     )
-    general = stored(_generalised(wholes, docs, id_col, text_col), "line-templates")
+    general = stored(_generalised(wholes, docs, id_col, text_col, unit), "line-templates")
     own = wholes.join(general, "whole", "left").withColumn("template", F.coalesce("template", "whole"))
     # A template of one line needs no further look; the others take the first of all their lines.
     alone = own.filter(F.col("template") == F.col("whole")).select("whole", "first", "low", "high")
@@ -129,7 +158,39 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return keys.join(recurring, "whole").filter("row != first_row").select("row", "line")
 
 
-def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _without(text: Column, gone: Column, unit: Unit) -> Column:
+    """``text`` without the units at the places ``gone``; a line that has none left goes, too."""
+    def left(n: Column) -> Column:
+        return F.array_except(F.sequence(F.lit(0), n - 1), gone)
+
+    if unit is LINE:
+        return let(
+            F.split(text, "\n"),
+            lambda lines: F.array_join(F.transform(left(F.size(lines)), lambda i: F.get(lines, i)), "\n"),
+        )
+    pieces = F.flatten(
+        F.transform(
+            F.split(text, "\n"),
+            lambda line, i: F.transform(F.split(line, _WITHIN), lambda u: F.struct(i.alias("line"), u.alias("piece"))),
+        )
+    )
+    kept = let(pieces, lambda every: F.transform(left(F.size(every)), lambda i: F.get(every, i)))
+    return let(
+        kept,
+        lambda own: F.array_join(
+            F.transform(
+                own,
+                lambda u, i: F.when((i > 0) & (F.get(own, i - 1)["line"] != u["line"]), F.concat(F.lit("\n"), u["piece"]))
+                .otherwise(u["piece"]),
+            ),
+            "",
+        ),
+    )
+
+
+def drop_recurring(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE
+) -> DataFrame:
     """``docs`` without the lines whose template an earlier document has; with ``n_lines, n_dropped``.
 
     A line is its tokens between white space; tokens with a digit are variable fields, and so are
@@ -138,27 +199,22 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of fewer than MIN_TOKENS tokens stay. Rows of equal id and text are one document and lose the
     same lines; null ids come first; a null text stays null; an empty table gives an empty one.
     Columns named ``n_lines`` or ``n_dropped`` are replaced.
+
+    With SENTENCE as ``unit`` the same holds for the sentences within lines, which both counts
+    then count; what is left of a line stays on a line of its own.
     """
-    dropped = recurring_lines(docs, id_col, text_col).groupBy("row").agg(F.collect_set("line").alias("lines"))
+    dropped = recurring_lines(docs, id_col, text_col, unit).groupBy("row").agg(F.collect_set("line").alias("lines"))
     row, gone = free_name(docs, "row"), free_name(docs, "gone")
     dropped = dropped.select(F.col("row").alias(row), F.col("lines").alias(gone))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     kept = docs.select(*[f"`{c}`" for c in columns], _row_of(id_col, text_col).alias(row)).join(dropped, row, "left")
     text = F.col(f"`{text_col}`")
-    rest = let(
-        F.split(text, "\n"),
-        lambda lines: F.array_join(
-            F.transform(
-                F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)), lambda i: F.get(lines, i)
-            ),
-            "\n",
-        ),
-    )
+    rest = _without(text, F.col(gone), unit)
     return kept.select(
         *[
             F.when(F.col(gone).isNull(), text).otherwise(rest).alias(c) if c == text_col else F.col(f"`{c}`")
             for c in columns
         ],
-        F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long").alias("n_lines"),
+        F.when(text.isNull(), 0).otherwise(F.size(F.split(text, unit.ends))).cast("long").alias("n_lines"),
         F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
     )

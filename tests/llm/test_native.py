@@ -139,3 +139,35 @@ def test_repeated_rows_are_one_document(docs_of):
 
 def test_lines_of_nothing(empty):
     assert lines.drop_recurring(empty).count() == 0
+
+
+def test_sentences_recur_within_edited_lines(docs_of):
+    one = "The first sentence of the passage has quite a few words in it."
+    two = 'And so "the whole second one, with number 12." comes right after it in every copy of it.'
+    three = "Does a third one, which ends the passage of the text, stay as well?"
+    texts = [
+        f"{one} {two} {three}\nAn own line stands here. ",
+        f"Well, then. {one} {two} {three}",
+        f"{one} An edit put in. {two.replace('12', '345')}\n\n{three}  Short one stays. Short one stays.\nlast",
+        f"{two}\n{three}\nNothing else",
+        None,
+        "",
+    ]
+    docs = docs_of(texts)
+    by_lines = {r.doc_id: r.text for r in lines.drop_recurring(docs).collect()}
+    assert by_lines[1] == texts[1] and one in by_lines[2]
+    got = {r.doc_id: r for r in lines.drop_recurring(docs, unit=lines.SENTENCE).collect()}
+    assert got[0].text == texts[0] and got[4].text is None and got[5].text == ""
+    assert got[1].text == "Well, then. "
+    assert got[2].text == "An edit put in. \n\nShort one stays. Short one stays.\nlast"
+    assert got[3].text == "Nothing else"
+    assert [got[i].n_dropped for i in range(6)] == [0, 4, 4, 3, 0, 0]
+
+
+def test_sentences_put_together_give_the_text(spark):
+    texts = ["", "\n", "a. b", "a.  b.\n", "\n\n x. \n y? z", "a.\tb!\r\nc. d\x0b.", "end. \n", "3. 4. 5.", '("a.") b ... c']
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    none = F.array().cast("array<int>")
+    back = frame.select("text", lines._without(F.col("text"), none, lines.SENTENCE).alias("back"), F.size(F.split("text", lines.SENTENCE.ends)).alias("n"))
+    for r in back.collect():
+        assert r.back == r.text

@@ -72,3 +72,10 @@ def test_registered_query_matches_its_sql(spark, name):
 def test_pipeline_runs_over_the_given_table(spark):
     pieces = corpus_pipeline.run(spark, SMALL).collect()
     assert pieces and len({p.sequence_id for p in pieces}) == max(p.sequence_id for p in pieces) + 1
+
+
+def test_line_stage_drops_sentences_of_edited_paragraphs(spark, docs_of):
+    passage = [f"{prose(12, s)}.".replace("\n", " ") for s in range(5)]
+    docs = docs_of([" ".join(passage), " ".join(["Put in.", *passage]), " ".join(passage[1:])])
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"]
+    assert {r.doc_id: r.text for r in stage(spark, docs, SMALL).collect()} == {0: " ".join(passage), 1: "Put in. "}
