@@ -41,9 +41,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     path = scratch_path(spark, "lines-left")
     with intermediate_tables(spark):
-        _unless_emptied(lines.drop_recurring(docs)).select(*COLUMNS).write.parquet(path)
+        _unless_emptied(lines.drop_recurring(docs, families=True)).select(*COLUMNS).write.parquet(path)
     left = spark.read.schema(docs.select(*COLUMNS).schema).parquet(path)
-    return _with_length(_unless_emptied(lines.drop_recurring(left, unit=lines.SENTENCE)))
+    return _with_length(_unless_emptied(lines.drop_recurring(left, unit=lines.SENTENCE, families=True)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

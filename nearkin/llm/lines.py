@@ -94,12 +94,40 @@ def _of_templates(tokens: DataFrame) -> DataFrame:
     )
 
 
-def _generalised(wholes: DataFrame, docs: DataFrame, id_col: str, text_col: str, unit: Unit) -> DataFrame:
+def _families(tokens: DataFrame) -> DataFrame:
+    """``whole, template`` of lines that the template of their leaf does not take, a row for each template.
+
+    The places after the leading ones are dealt into one block more than two lines may differ in,
+    so lines of a leaf that are similar enough have a block in common. The lines that share a
+    block vote for a template of their own; groups of the same lines are one.
+    """
+    blocks = (
+        tokens.filter(F.col("place") >= LEADING)
+        .withColumn("block", F.expr(f"place % (n_tokens * (100 - {MIN_CONSTANT_PERCENT}) div 100 + 1)"))
+        .groupBy("template", "whole", "block")
+        .agg(F.bit_xor(F.xxhash64("place", "token")).alias("key"))
+    )
+    groups = (
+        blocks.groupBy("template", "block", "key")
+        .agg(F.count("*").alias("n_members"), F.bit_xor(F.xxhash64("whole")).alias("members"))
+        .filter("n_members > 1")
+    )
+    members = blocks.join(groups, ["template", "block", "key"]).select(
+        "whole", F.xxhash64("template", "n_members", "members").alias("template"), F.col("n_members").alias("n_lines")
+    )
+    voters = tokens.drop("template", "n_lines").join(members.dropDuplicates(["whole", "template"]), "whole")
+    return _of_templates(stored(voters, "line-family-tokens"))
+
+
+def _generalised(
+    wholes: DataFrame, docs: DataFrame, id_col: str, text_col: str, unit: Unit, families: bool
+) -> DataFrame:
     """``whole, leaf`` of the lines that share their leaf's template with another line.
 
     Of every leaf with several different lines, each different line votes once for its token at
     every place. Tokens with more than half of the votes are the template's constants, the other
-    places its variable fields. A line belongs to it that has enough of its tokens constant.
+    places its variable fields. A line belongs to it that has enough of its tokens constant. With
+    ``families`` the lines left over are looked at again, and may have several templates.
     """
     mixed = (
         wholes.filter(F.col("n_tokens") >= MIN_TEMPLATE_TOKENS)
@@ -126,11 +154,15 @@ def _generalised(wholes: DataFrame, docs: DataFrame, id_col: str, text_col: str,
         .select(F.col("leaf").alias("template"), "n_lines", "n_tokens", "whole", "place", F.xxhash64("token").alias("token")),
         "line-tokens",
     )
-    return _of_templates(tokens)
+    general = _of_templates(tokens)
+    if not families:
+        return general
+    general = stored(general, "line-leaf-templates")
+    return general.union(_families(tokens.join(general, "whole", "left_anti").select(tokens.columns)))
 
 
 def recurring_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE, families: bool = False
 ) -> DataFrame:
     """``row, line`` of the lines, or other units, whose template an earlier document has, in order of id."""
     keys = stored(line_keys(docs, id_col, text_col, unit), "line-keys")
@@ -145,7 +177,7 @@ def recurring_lines(
         ),
         "line-wholes",
     )
-    general = stored(_generalised(wholes, docs, id_col, text_col, unit), "line-templates")
+    general = stored(_generalised(wholes, docs, id_col, text_col, unit, families), "line-templates")
     own = wholes.join(general, "whole", "left").withColumn("template", F.coalesce("template", "whole"))
     # A template of one line needs no further look; the others take the first of all their lines.
     alone = own.filter(F.col("template") == F.col("whole")).select("whole", "first", "low", "high")
@@ -189,7 +221,7 @@ def _without(text: Column, gone: Column, unit: Unit) -> Column:
 
 
 def drop_recurring(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE, families: bool = False
 ) -> DataFrame:
     """``docs`` without the lines whose template an earlier document has; with ``n_lines, n_dropped``.
 
@@ -201,9 +233,10 @@ def drop_recurring(
     Columns named ``n_lines`` or ``n_dropped`` are replaced.
 
     With SENTENCE as ``unit`` the same holds for the sentences within lines, which both counts
-    then count; what is left of a line stays on a line of its own.
+    then count; what is left of a line stays on a line of its own. A leaf has one template, or with
+    ``families`` more: one for each group of its lines that are similar and outvoted there.
     """
-    dropped = recurring_lines(docs, id_col, text_col, unit).groupBy("row").agg(F.collect_set("line").alias("lines"))
+    dropped = recurring_lines(docs, id_col, text_col, unit, families).groupBy("row").agg(F.collect_set("line").alias("lines"))
     row, gone = free_name(docs, "row"), free_name(docs, "gone")
     dropped = dropped.select(F.col("row").alias(row), F.col("lines").alias(gone))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]

@@ -171,3 +171,28 @@ def test_sentences_put_together_give_the_text(spark):
     back = frame.select("text", lines._without(F.col("text"), none, lines.SENTENCE).alias("back"), F.size(F.split("text", lines.SENTENCE.ends)).alias("n"))
     for r in back.collect():
         assert r.back == r.text
+
+
+@pytest.mark.parametrize("unit", [lines.LINE, lines.SENTENCE])
+def test_families_of_one_leaf_have_templates_of_their_own(docs_of, unit):
+    """Four outvoted families of lines that begin alike, each with a word that changes at another place."""
+    def family(f, changed):
+        words = ["all", "lines", "begin", "alike", *[f"f{'abcd'[f]}w{'klmnopqr'[i]}" for i in range(8)]]
+        return [" ".join([*words[: 4 + at], w, *words[5 + at :]]) for at, w in changed]
+
+    texts = [t for f in range(4) for t in family(f, [(f, "one"), (f + 2, "two"), (f, "other")])]
+    texts += ["all lines begin alike " + " ".join(f"alone{'abcdefgh'[i]}" for i in range(8))]
+    docs = docs_of(texts)
+    one = {r.doc_id for r in lines.drop_recurring(docs, unit=unit).filter("n_dropped > 0").collect()}
+    assert not one
+    got = {r.doc_id for r in lines.drop_recurring(docs, unit=unit, families=True).filter("n_dropped > 0").collect()}
+    assert got == {i for i in range(12) if i % 3}
+
+
+def test_families_do_not_change_what_one_template_takes(docs_of):
+    notice = "this notice stands in all {} of the pages that the {} has made so far today"
+    texts = [notice.format(a, b) for a, b in [("ten", "house"), ("few", "tool"), ("old", "man"), ("new", "maid")]]
+    texts += ["this notice stands in quite another line that has nothing of the others in it"]
+    docs = docs_of(texts)
+    kept = [{r.doc_id: r.text for r in lines.drop_recurring(docs, families=f).collect()} for f in (False, True)]
+    assert kept[0] == kept[1] == definitions.without_recurring_lines(list(enumerate(texts)))
