@@ -2,7 +2,10 @@
 
 import math
 import os
+import shutil
+import subprocess
 import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -60,3 +63,27 @@ def test_pair_queries_have_no_nested_loop(spark):
     for name in ("candidate_pairs", "similar_batch", "lsh_metrics", "sweep_bands"):
         plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan, name
+
+
+@needs_tables
+def test_the_rest_imports_and_runs_without_the_llm_folders(tmp_path):
+    root = Path(contract.__file__).resolve().parent
+    left_out = {root / "nearkin" / "llm", root / "tests" / "llm"}
+
+    def skipped(folder, names):
+        return [n for n in names if n in (".git", "__pycache__") or Path(folder, n) in left_out]
+
+    shutil.copytree(root, tmp_path / "repo", ignore=skipped)
+    code = (
+        "import __spark_entry__ as c, sys; assert 'pipeline' not in c.queries(); "
+        "assert not [n for n in c.queries() if n.startswith('op')]; "
+        "from pyspark.sql import SparkSession; "
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate(); "
+        f"print(c.queries()['doc_stats'](s, {FOLDER!r}).count())"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code], cwd=tmp_path / "repo", capture_output=True, text=True, timeout=240,
+        env=os.environ | {"PYTHONPATH": str(tmp_path / "repo")},
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout.split()[-1]) > 0
