@@ -134,9 +134,52 @@ SELECT documents.doc_id,
 FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
 """
 
+OP11_SEARCH = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), corpus AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM texts WHERE len(terms) > 0
+), postings AS (
+  SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(terms) AS term FROM texts)
+  WHERE term IN (SELECT term FROM asked) GROUP BY place, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+  FROM postings, corpus GROUP BY term, n_docs
+), lengths AS (
+  SELECT place, doc_id, 10 + (90 * len(terms)::BIGINT * n_docs) // n_terms AS m FROM texts, corpus
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (place)
+  GROUP BY item_id, place, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+OP12_EXACT = r"""
+WITH texts AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
+FROM texts
+WINDOW same AS (PARTITION BY text_sha256)
+"""
+
 SQL: dict[str, str] = {
     "op3_chat": OP3_CHAT,
     "op5_quality": OP5_QUALITY,
     "op8_jaccard": OP8_JACCARD,
     "op10_lines": OP10_LINES,
+    "op11_search": OP11_SEARCH,
+    "op12_exact": OP12_EXACT,
 }

@@ -8,8 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nearkin.llm import bpe, chat, fingerprints, jaccard, licences, lines, packing, quality, secrets, toxicity
+from nearkin.llm import (
+    bpe,
+    chat,
+    exact,
+    fingerprints,
+    jaccard,
+    licences,
+    lines,
+    packing,
+    quality,
+    repair,
+    search,
+    secrets,
+    toxicity,
+)
 from nearkin.llm.oracle import SQL
+from nearkin.session import stored
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -89,6 +104,23 @@ def op10_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_recurring(documents(spark, folder)).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op11_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    index = stored(search.build(documents(spark, folder)), "search-index")
+    return search.search(index, spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+def op12_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Which document stays of those with equal texts, for every document."""
+    return exact.deduplicated(documents(spark, folder))
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation, and the cheapest edits that repair it."""
+    conversations = spark.read.parquet(f"{folder}/conversations.parquet")
+    return repair.summary(repair.damaged(conversations), conversations)
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_packing": op2_packing,
@@ -100,4 +132,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_secrets": op9_secrets,
     "op10_lines": op10_lines,
+    "op11_search": op11_search,
+    "op12_exact": op12_exact,
+    "op13_repair": op13_repair,
 }

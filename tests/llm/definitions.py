@@ -1,6 +1,10 @@
 """What the operators compute, in plain Python over small lists."""
 
+import hashlib
+import itertools
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -106,3 +110,138 @@ def without_recurring_lines(rows, leading=4, min_tokens=4, min_template=8, perce
         ]
         out[i] = None if text is None else "\n".join(keep)
     return out
+
+
+def equal_texts(rows):
+    """Of (id, text) rows: (id, id that stays, group size, stays, digest), sorted as strings."""
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", text or "")].append(i)
+    out = []
+    for text, ids in groups.items():
+        ids.sort(key=lambda i: (i is None, i or 0))
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        out += [(i, ids[0], len(ids), place == 0, digest) for place, i in enumerate(ids)]
+    return sorted(out, key=repr)
+
+
+def terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def ranked(rows, items, top=10):
+    """``ranked_any``, sorted."""
+    return sorted(ranked_any(rows, items, top))
+
+
+def ranked_any(rows, items, top=10):
+    """Of (id, text) rows and items: (item, rank, id, score), scores computed for every document."""
+    found = [(i, Counter(terms(t))) for i, t in rows]
+    found = [(i, c) for i, c in found if c]
+    n_docs, n_terms = len(found), sum(sum(c.values()) for _, c in found)
+    df = Counter(t for _, c in found for t in c)
+    asked = defaultdict(set)
+    for item, text in items:
+        asked[item] |= set(terms(text))
+    out = []
+    for item, own in asked.items():
+        hits = []
+        for i, c in found:
+            m = 10 + 90 * sum(c.values()) * n_docs // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                for t in own if t in c
+            )
+            if score > 0:
+                hits.append((-score, i is None, i or 0, i))
+        out += [(item, rank + 1, h[3], -h[0]) for rank, h in enumerate(sorted(hits)[:top])]
+    return out
+
+
+def damage(rows):
+    """Of (conversation, turn, role, text) rows: those that stay, with faults by a checksum."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if v is None else v for v in (role, text))
+        fate = zlib.crc32(":".join(" " if v is None else str(v) for v in (conv, turn)).encode()) % 20
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        out += [(conv, turn, "user" if fate == 4 else role, text)] * {0: 0, 3: 2}.get(fate, 1)
+    return out
+
+
+def _ways(role, fault, state):
+    """State after, cost, letter and role of what may be done with one row."""
+    follows = {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+    yield state, 2, "D", None
+    if fault in ("blank", "duplicate"):
+        return
+    extra = 5 if fault == "truncated" else 0
+    if role[:1] and role[:1] in follows:
+        yield role[0], extra, "K", role
+    for name in ("user", "assistant"):
+        if name[0] in follows:
+            yield name[0], extra + 1, "R", name
+
+
+def faults(rows):
+    """The first fault of each of (role, text) rows, or None."""
+    seen, out = set(), []
+    for role, text in rows:
+        visible = re.sub(r"[\x20\x09-\x0D]", "", text)
+        out.append(
+            "blank" if not visible else "duplicate" if (role, text) in seen
+            else "truncated" if visible[-1] not in ".!?" else None
+        )
+        seen.add((role, text))
+    return out
+
+
+def all_edits(rows):
+    """Of (role, fault) rows: cost and audit of every way to a legal order, with up to two inserts in a row."""
+    def go(at, state, n_inserts):
+        if at == len(rows) and state in ("", "a"):
+            yield 0, ""
+        if n_inserts < 2:
+            role = "a" if state == "u" else "u"
+            for cost, audit in go(at, role, n_inserts + 1):
+                yield cost + 5, "I" + audit
+        if at < len(rows):
+            for after, cost, letter, _ in _ways(*rows[at], state):
+                for more, audit in go(at + 1, after, 0):
+                    yield cost + more, letter + audit
+
+    return go(0, "", 0)
+
+
+def repair(rows):
+    """Of one conversation's (turn, role, text) rows, after damage: what the query returns."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    fault = faults([(role, text) for _, role, text in rows])
+    turns = {t for t, _, _ in rows if t is not None}
+    pairs = [a[1][:1] + b[1][:1] for a, b in itertools.pairwise(rows)]
+    best = {"": (0, "", ())}
+
+    def with_inserts(found):
+        for _ in range(2):
+            for state, (cost, audit, out) in list(found.items()):
+                name = "assistant" if state == "u" else "user"
+                way = (cost + 5, audit + "I", (*out, f"{name}:"))
+                if name[0] not in found or way < found[name[0]]:
+                    found[name[0]] = way
+        return found
+
+    for (_, role, text), own in zip(rows, fault, strict=True):
+        after = {}
+        for state, (cost, audit, out) in with_inserts(best).items():
+            for to, extra, letter, name in _ways(role, own, state):
+                way = (cost + extra, audit + letter, out if name is None else (*out, f"{name}:{text}"))
+                if to not in after or way < after[to]:
+                    after[to] = way
+        best = after
+    cost, audit, out = min(way for state, way in with_inserts(best).items() if state in ("", "a"))
+    return (
+        max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+        *(fault.count(f) for f in ("blank", "duplicate", "truncated")),
+        sum(p not in ("su", "ua", "au") for p in pairs), cost, audit,
+        hashlib.sha256("\n".join(out).encode()).hexdigest(),
+    )

@@ -60,7 +60,7 @@ def test_registered_query_matches_its_sql(spark, name):
     if name not in queries.SQL:
         return
     con = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     want = con.sql(queries.SQL[name]).df()
     columns = sorted(found.columns)
