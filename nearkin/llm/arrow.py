@@ -6,7 +6,8 @@ UTF-8 sequence is ASCII, so a table of 256 entries decides what a byte is.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -46,6 +47,19 @@ def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, giving Arrow's free memory back at a task's end: Python workers live on and take the next."""
+
+    @functools.wraps(run)
+    def tidy(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return tidy
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, and where each begins, with the end as last entry."""
     column = column.cast(pa.large_binary())
@@ -97,7 +111,8 @@ def _power(base: np.uint64, count: int) -> np.ndarray:
         known = np.full(max(count, CHUNK_BYTES + 1), base, dtype=np.uint64)
         known[0] = 1
         np.multiply.accumulate(known, out=known)
-        if count <= 8 * CHUNK_BYTES:
+        # What a text longer than a chunk needs goes when it is done.
+        if count <= CHUNK_BYTES + 1:
             _powers[str(base)] = known
     return known[:count]
 
@@ -137,7 +152,3 @@ def chars_before(data: np.ndarray) -> np.ndarray:
     out = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=out[1:])
     return out
-
-
-def binary(slices: list[bytes]) -> pa.Array:
-    return pa.array(slices, type=pa.binary())

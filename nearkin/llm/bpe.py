@@ -36,7 +36,8 @@ _SETTLED = re.compile(r"[\x00-\u024f]*").fullmatch
 
 BLOCK_BYTES = 8 << 20
 WORDS_PER_BUCKET = 200_000
-CACHED_WORDS = 400_000
+#: Words that a process keeps with their ids, none longer than this: together some 100 MB at most.
+CACHED_WORDS, CACHED_CHARS = 400_000, 40
 
 
 def vocabulary(path: str) -> dict:
@@ -116,14 +117,15 @@ class Codec:
             pass
         if len(cache) > CACHED_WORDS:
             cache.clear()
-        merges = self._merges.encode_ordinary
+        merges, long = self._merges.encode_ordinary, {}
         for word in words:
-            if word not in cache:
+            if word not in cache and word not in long:
+                known = cache if len(word) <= CACHED_CHARS else long
                 if _SETTLED(word) and word not in self.added:
-                    cache[word] = array("I", merges(word)).tobytes()
+                    known[word] = array("I", merges(word)).tobytes()
                 else:
-                    cache[word] = self.encode_words([word])[0]
-        return b"".join(map(cache.__getitem__, words))
+                    known[word] = self.encode_words([word])[0]
+        return b"".join([cache[w] if w in cache else long[w] for w in words])
 
 
 @functools.lru_cache(maxsize=4)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
 from collections.abc import Iterator
 from fractions import Fraction
@@ -11,14 +12,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import OUT_BYTES, batches_of_bytes
+from nearkin.llm.arrow import CHUNK_BYTES, batches_of_bytes, tidied
 from nearkin.llm.columns import text_or_empty
 from nearkin.llm.bpe import codec
 from nearkin.session import stored
 
 SEQUENCE_TOKENS = 2048
 WINDOW_TOKENS = 32 * SEQUENCE_TOKENS
-MAX_SOURCES = 100_000
+#: Queues of a mixture; of more sources, those with the fewest tokens share SHARED_QUEUES of them.
+MAX_QUEUES, SHARED_QUEUES = 512, 64
+#: Counts that a schedule keeps of windows it has looked at: so many windows times queues.
+KEPT_COUNTS = 1_000_000
 
 
 def tokenise(
@@ -45,7 +49,7 @@ def tokenise(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, chunk = codec(path).encode, TaskContext.get().partitionId()
         served: dict[str, int] = {}
-        for batch in batches_of_bytes(batches, "text", OUT_BYTES):
+        for batch in batches_of_bytes(batches, "text", CHUNK_BYTES):
             ids, before = [], []
             for text, source in zip(batch.column("text"), batch.column("source").to_pylist(), strict=True):
                 ids.append(encode(text.as_py()) + end)
@@ -64,7 +68,7 @@ def tokenise(
             )
 
     return rows.mapInArrow(
-        run, f"doc_id {kind}, source string, chunk int, before long, n_tokens long, ids binary"
+        tidied(run), f"doc_id {kind}, source string, chunk int, before long, n_tokens long, ids binary"
     )
 
 
@@ -106,7 +110,13 @@ class Schedule:
             done = [d + t for d, t in zip(done, taken, strict=True)]
             left = [n - t for n, t in zip(left, taken, strict=True)]
         self.total = at
-        self._served = functools.lru_cache(maxsize=65536)(self._served_by)
+        #: Of each queue: the phases that take from it, and its first token in each.
+        self.own = [
+            [p for p, (_, _, _, taken) in enumerate(self.phases) if taken[i]] for i in range(len(self.sources))
+        ]
+        self.firsts = [[self.phases[p][2][i] for p in own] for i, own in enumerate(self.own)]
+        kept = max(16, KEPT_COUNTS // max(1, len(self.sources)))
+        self._served = functools.lru_cache(maxsize=kept)(self._served_by)
 
     def _served_by(self, phase: int, window: int) -> tuple[list[int], int]:
         """Tokens of every queue that come before a window of the phase, and their sum."""
@@ -128,10 +138,7 @@ class Schedule:
         queue, offset = self.place[source], 0
         while offset < count:
             token = first + offset
-            phase = next(
-                p for p, (_, _, done, taken) in enumerate(self.phases)
-                if done[queue] <= token < done[queue] + taken[queue]
-            )
+            phase = self.own[queue][bisect.bisect_right(self.firsts[queue], token) - 1]
             _, at, done, taken = self.phases[phase]
             token -= done[queue]
             whole, n = sum(taken), taken[queue]
@@ -148,6 +155,30 @@ class Schedule:
             offset += length
 
 
+#: What a queue's name begins with: that of one source, and a shared one.
+OWN, SHARED = "s", "t"
+
+
+def _queues(per_chunk: DataFrame, named: set[str]) -> DataFrame:
+    """``per_chunk`` with the ``queue`` that each source goes to."""
+    own = F.concat(F.lit(OWN), "source")
+    if per_chunk.select("source").distinct().count() <= MAX_QUEUES:
+        return per_chunk.withColumn("queue", own)
+    if len(named) > MAX_QUEUES - SHARED_QUEUES:
+        raise ValueError(f"a mixture names at most {MAX_QUEUES - SHARED_QUEUES} sources")
+    is_named = F.col("source").isin(*named) if named else F.lit(False)
+    by_source = per_chunk.groupBy("source").agg(F.sum("n").alias("total"))
+    largest = stored(
+        by_source.orderBy(is_named.desc(), F.desc("total"), "source").limit(MAX_QUEUES - SHARED_QUEUES)
+        .select("source", F.lit(True).alias("large")),
+        "packing-largest",
+    )
+    shared = F.concat(F.lit(SHARED), F.pmod(F.xxhash64("source"), F.lit(SHARED_QUEUES)))
+    return per_chunk.join(F.broadcast(largest), "source", "left").select(
+        *per_chunk.columns, F.when(F.col("large"), own).otherwise(shared).alias("queue")
+    )
+
+
 def pack(
     tokens: DataFrame,
     weights: dict[str, float] | None = None,
@@ -163,22 +194,25 @@ def pack(
     task and source. Sources that ``weights`` does not name follow after the named ones. Only
     the last sequence of all is not full; it is padded to the next power of two. Ties and
     repeated rows are documents of their own; a null source is the empty name; an empty table
-    packs to an empty one. The mixture names at most MAX_SOURCES sources, or this fails.
+    packs to an empty one. A mixture has MAX_QUEUES queues at most: of more sources, the smallest
+    that ``weights`` does not name share queues, in which they stand one after the other in each
+    task's part; all are packed.
     """
     per_chunk = stored(
         tokens.groupBy("chunk", "source").agg(F.sum("n_tokens").alias("n")), "packing-chunks"
     )
-    found = per_chunk.groupBy("source").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources in one mixture; group them first")
-    schedule_of = ({row["source"]: row["n"] for row in found}, weights, window_tokens)
-    earlier = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    queued = _queues(per_chunk, set(weights or ()))
+    earlier = Window.partitionBy("queue").orderBy("chunk", "source").rowsBetween(Window.unboundedPreceding, -1)
     queues = stored(
-        per_chunk.select(
-            "chunk", "source", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("chunk_start")
+        queued.select(
+            "chunk", "source", "queue", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("chunk_start")
         ),
         "packing-queues",
     )
+    # One row for each queue, of which there are MAX_QUEUES at most.
+    totals = {r["queue"]: r["n"] for r in queues.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    named = None if weights is None else {f"{OWN}{source}": share for source, share in weights.items()}
+    schedule_of = (totals, named, window_tokens)
     kind = tokens.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,11 +220,11 @@ def pack(
         full, rest = divmod(schedule.total, sequence_tokens)
         last = 1 << max(0, rest - 1).bit_length()
         names = ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "padded_to", "ids"]
-        for batch in batches_of_bytes(batches, "ids", OUT_BYTES):
+        for batch in batches_of_bytes(batches, "ids", CHUNK_BYTES):
             rows, source_rows = [], []
-            columns = [batch.column(c).to_pylist() for c in ("source", "queue_start", "n_tokens", "ids")]
-            for row, (source, first, count, ids) in enumerate(zip(*columns, strict=True)):
-                for offset, place, length in schedule.pieces(source, first, count):
+            columns = [batch.column(c).to_pylist() for c in ("queue", "queue_start", "n_tokens", "ids")]
+            for row, (queue, first, count, ids) in enumerate(zip(*columns, strict=True)):
+                for offset, place, length in schedule.pieces(queue, first, count):
                     while length:
                         sequence, inside = divmod(place, sequence_tokens)
                         part = min(length, sequence_tokens - inside)
@@ -208,11 +242,11 @@ def pack(
                 names=names,
             )
 
-    placed = tokens.join(queues, ["chunk", "source"]).select(
-        "doc_id", "source", (F.col("chunk_start") + F.col("before")).alias("queue_start"), "n_tokens", "ids"
+    placed = tokens.join(queues.drop("n"), ["chunk", "source"]).select(
+        "doc_id", "source", "queue", (F.col("chunk_start") + F.col("before")).alias("queue_start"), "n_tokens", "ids"
     )
     return placed.mapInArrow(
-        run,
+        tidied(run),
         f"doc_id {kind}, source string, start long, length long, doc_tokens long, "
         "sequence_id long, offset long, padded_to long, ids binary",
     )

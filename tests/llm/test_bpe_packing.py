@@ -147,7 +147,22 @@ def test_empty_table(empty):
     assert bpe.encode_decode_digests(empty, PATH).count() == 0
 
 
-def test_too_many_sources_fail(docs_of, monkeypatch):
-    monkeypatch.setattr(packing, "MAX_SOURCES", 2)
+def test_sources_beyond_the_largest_share_queues(docs_of, monkeypatch):
+    monkeypatch.setattr(packing, "MAX_QUEUES", 6)
+    monkeypatch.setattr(packing, "SHARED_QUEUES", 3)
+    texts = ["lorem ipsum " * (1 + i % 5) for i in range(90)]
+    docs = docs_of(texts, sources=["big" if i % 2 else f"rare{i % 31}" for i in range(90)]).repartition(4, "doc_id")
+    for weights in (None, {"big": 1.0, "rare4": 2.0}):
+        pieces = packing.pack_documents(docs, PATH, weights).collect()
+        check_layout(pieces, list(enumerate(texts)))
     with pytest.raises(ValueError, match="sources"):
-        packing.pack_documents(docs_of(["a"] * 3, sources=["x", "y", "z"]), PATH)
+        packing.pack_documents(docs, PATH, {f"rare{i}": 1.0 for i in range(9)})
+
+
+def test_long_words_are_not_kept(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_CHARS", 5)
+    own = bpe.Codec(PATH)
+    text = "short " + "x" * 300 + " 日本語日本語日本語 short " + "x" * 300
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == ids_of(text)
+    assert np.frombuffer(own.encode(text), "<u4").tolist() == ids_of(text)
+    assert max(map(len, own.cache)) <= 5 + 1
