@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nearkin.llm.arrow import LOWER, SPACES, batches_of_bytes, byte_table, chars_before, flat, hashes, runs
+from nearkin.llm.arrow import LOWER, SPACES, batches_of_bytes, byte_table, chars_before, flat, hashes, mix, runs, tidied
 from nearkin.llm.columns import text_or_empty
+from nearkin.session import stored
 
 # The exact patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(
@@ -40,9 +41,20 @@ FLAGS[byte_table(LETTERS_LOWER.upper())] = 2
 FLAGS[byte_table(DIGITS)] = 4
 FLAGS[SPACES] = 0
 
+#: Bytes of text that are looked at together: each takes some sixty bytes in tokens and sums.
+SCAN_BYTES = 512 << 10
 #: Rows whose windows train the model, and windows at most; both bound what training gathers.
 TRAIN_ROWS = 20_000
 TRAIN_WINDOWS = 3_000
+#: Windows that one document gives to training at most, by kind, drawn by a hash over all its
+#: places: around labelled spans, around other tokens with digits, around any other token.
+SPANS_PER_DOC, DIGITS_PER_DOC, PLAIN_PER_DOC = 8, 4, 2
+#: Labelled spans are also shown in other forms than the patterns know, this many times each.
+FORMS_PER_SPAN = 4
+#: Shares of the windows: labelled spans as they are, in other forms, and other places.
+SHARES = {"span": 0.2, "form": 0.4, "other": 0.4}
+#: Bytes to either side of a span that its other forms are shown with.
+CONTEXT = 200
 #: Tokens to either side of a training window's middle.
 REACH = 20
 ROUNDS = 100
@@ -66,10 +78,14 @@ class Tokens:
     first: np.ndarray
     owner: np.ndarray
     features: np.ndarray
+    file: np.ndarray
 
 
-def tokens(data: np.ndarray, bounds: np.ndarray) -> Tokens:
-    """Runs of word characters and runs of punctuation, described by shape, neighbours and file."""
+def tokens(data: np.ndarray, bounds: np.ndarray, file: np.ndarray | None = None) -> Tokens:
+    """Runs of word characters and runs of punctuation, described by shape, neighbours and file.
+
+    ``file`` tells what kind of file each text comes from, if the text is a part of one.
+    """
     n_texts = len(bounds) - 1
     words, marks = runs(CLASS[data] == 1, bounds), runs(CLASS[data] == 2, bounds)
     starts = np.concatenate([words[0], marks[0]])
@@ -78,7 +94,7 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> Tokens:
     first = np.searchsorted(starts, bounds)
     owner = np.repeat(np.arange(n_texts), np.diff(first))
     if not len(starts):
-        return Tokens(starts, ends, first, owner, np.zeros((0, N_PER_TOKEN), np.int32))
+        return Tokens(starts, ends, first, owner, np.zeros((0, N_PER_TOKEN), np.int32), np.zeros(n_texts, np.int32))
     sizes = ends - starts
     flags = FLAGS[data]
     kinds = np.bitwise_or.reduceat(flags, starts).astype(np.int32)
@@ -101,10 +117,12 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> Tokens:
         + (n_digits == sizes)
     ).astype(np.int32)
     names = (hashes(LOWER[data], starts, ends) % np.uint64(WORD_BUCKETS)).astype(np.int32)
-    counts = np.maximum(np.diff(first), 1)
-    dense = np.digitize(np.bincount(owner, weights=n_digits > 0, minlength=n_texts) / counts, (0.001, 0.01, 0.05))
-    dotted = np.bincount(owner, weights=mark, minlength=n_texts) / counts > 0.25
-    file = (dense * 2 + dotted).astype(np.int32)[owner] * 4 + (sizes >= 16) * 2 + (n_digits > 0)
+    if file is None:
+        counts = np.maximum(np.diff(first), 1)
+        dense = np.digitize(np.bincount(owner, weights=n_digits > 0, minlength=n_texts) / counts, (0.001, 0.01, 0.05))
+        dotted = np.bincount(owner, weights=mark, minlength=n_texts) / counts > 0.25
+        file = (dense * 2 + dotted).astype(np.int32)
+    in_file = file[owner] * 4 + (sizes >= 16) * 2 + (n_digits > 0)
 
     def shifted(values: np.ndarray, by: int, base: int) -> np.ndarray:
         out = np.full(len(values), PADDING, dtype=np.int32)
@@ -119,11 +137,11 @@ def tokens(data: np.ndarray, bounds: np.ndarray) -> Tokens:
     features = np.stack(
         [
             OWN_SHAPE + shape, DETAIL + detail, shifted(names, 1, BEFORE), shifted(names, 2, BEFORE2),
-            shifted(shape, 1, SHAPE_BEFORE), shifted(shape, -1, SHAPE_AFTER), (FILE + file).astype(np.int32),
+            shifted(shape, 1, SHAPE_BEFORE), shifted(shape, -1, SHAPE_AFTER), (FILE + in_file).astype(np.int32),
         ],
         axis=1,
     )
-    return Tokens(starts, ends, first, owner, features)
+    return Tokens(starts, ends, first, owner, features, file)
 
 
 def exact_spans(text: str) -> list[tuple[str, int, int, int]]:
@@ -284,60 +302,150 @@ def fit(features: np.ndarray, tags: np.ndarray, known: np.ndarray, rounds: int =
     return Model(emit, move)
 
 
+#: What may stand between a name and a secret where the patterns see none.
+JOINTS = (" ~ ", " -> ", " is ", " ", " | ", " #")
+_BASE62 = DIGITS + LETTERS_LOWER.upper() + LETTERS_LOWER
+
+
+def other_form(name: str, value: str, seed: int) -> tuple[str, str]:
+    """What stands before a secret and the secret, in a form that no pattern knows.
+
+    The name is left out in half of the forms and joined otherwise; the value's letters become
+    capitals, are drawn anew from all letters and digits or from capitals behind a prefix, or
+    the value is cut. Drawn by ``seed``, so a row gives the same forms each time.
+    """
+    draw = np.random.default_rng(seed)
+    before = "" if draw.random() < 0.5 else name + JOINTS[draw.integers(len(JOINTS))]
+    quote = ("", "", '"', "'")[draw.integers(4)]
+    length = int(draw.integers(16, 41))
+    kind = draw.integers(5)
+    if kind == 0:
+        value = value.upper() if value.lower() != value.upper() else value
+    elif kind == 1:
+        value = "".join(draw.choice(list(_BASE62), length))
+    elif kind == 2:
+        value = "".join(draw.choice(list(_BASE62[10:36]), 4)) + "".join(draw.choice(list(_BASE62[:36]), length - 4))
+    elif kind == 3:
+        value = "".join(draw.choice(list(DIGITS + "abcdef"), int(draw.integers(14, HEX_CHARS))))
+    else:
+        value = value[: max(12, len(value) // 2)]
+    return before + quote, value
+
+
+def _forms(text: str, span: tuple[str, int, int, int], seed: int) -> list[tuple[str, str, str]]:
+    """Text before, secret, and text after it, of the other forms of a labelled span."""
+    kind, start, end, value = span
+    name = re.split(r"[^A-Za-z_]", text[start:value], maxsplit=1)[0] if kind == "assign" else ""
+    left, right = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
+    out = []
+    for i in range(FORMS_PER_SPAN):
+        before, secret = other_form(name, text[value:end], seed + i)
+        if any(c.isdigit() for c in secret):
+            out.append((f"{left.rstrip()} {before}" if left else before, secret, right if right[:1] in " \n\"'.,;)" else f" {right}"))
+    return out
+
+
+def _drawn(places: np.ndarray, count: int, key: np.uint64) -> list[int]:
+    """``count`` of the places, drawn by a hash of each, so that all parts of a text are seen."""
+    if len(places) <= count:
+        return places.tolist()
+    rank = mix(places.astype(np.uint64) * np.uint64(2654435761) + key)
+    return places[np.argsort(rank, kind="stable")[:count]].tolist()
+
+
+def _window(own: Tokens, tags: np.ndarray, i: int, middle: int) -> tuple[list[int], list[int]]:
+    """Features and tags of the tokens around one; -1 where the text has none."""
+    a, b = int(own.first[i]), int(own.first[i + 1])
+    at = np.arange(middle - REACH, middle + REACH + 1)
+    inside = (at >= a) & (at < b)
+    rows = np.full((len(at), N_PER_TOKEN), PADDING, dtype=np.int32)
+    rows[inside] = own.features[at[inside]]
+    keep = np.full(len(at), -1, dtype=np.int32)
+    keep[inside] = tags[at[inside]]
+    return rows.ravel().tolist(), keep.tolist()
+
+
+def _form_windows(texts: list[str], scanned: Scanned) -> list[tuple[str, list[int], list[int]]]:
+    """Windows around the other forms of labelled spans."""
+    made, file = [], []
+    for i, spans in enumerate(scanned.spans):
+        for at in _drawn(np.arange(len(spans)), SPANS_PER_DOC, np.uint64(len(texts[i]))):
+            seed = int(mix(np.array([spans[at][1], len(texts[i])], np.uint64)).sum() >> np.uint64(1))
+            found = _forms(texts[i], spans[at], seed)
+            made += found
+            file += [int(scanned.tokens.file[i])] * len(found)
+    if not made:
+        return []
+    data, bounds = flat(pa.array(["".join(parts) for parts in made], pa.string()))
+    own = tokens(data, bounds, np.array(file, np.int32))
+    tags = np.zeros(len(own.starts), np.int8)
+    out = []
+    for i, (before, secret, _) in enumerate(made):
+        start = bounds[i] + len(before.encode())
+        end = start + len(secret.encode())
+        a, b = int(own.first[i]), int(own.first[i + 1])
+        inside = np.flatnonzero((own.starts[a:b] >= start) & (own.ends[a:b] <= end)) + a
+        if not len(inside):
+            continue
+        tags[inside] = 2
+        tags[inside[0]] = 1
+        out.append(("form", *_window(own, tags, i, int(inside[0]))))
+    return out
+
+
 def _training_windows(batches):
-    """Around every begin tag, every token with digits, and some plain tokens: tags and features."""
-    width = 2 * REACH + 1
-    for batch in batches_of_bytes(batches, "text"):
+    """``kind, features, tags`` of windows around spans, their other forms, and other tokens."""
+    for batch in batches_of_bytes(batches, "text", SCAN_BYTES):
         scanned = scan_texts(batch.column("text"))
         own, tags = scanned.tokens, _tags(scanned)
         digits = (own.features[:, 0] & 4) > 0 if len(tags) else np.zeros(0, bool)
-        keys, feature_rows, tag_rows = [], [], []
+        windows = _form_windows(batch.column("text").to_pylist(), scanned)
         for i in range(len(scanned.spans)):
             a, b = int(own.first[i]), int(own.first[i + 1])
-            begins = np.flatnonzero(tags[a:b] == 1)
-            others = np.flatnonzero(digits[a:b] & (tags[a:b] == 0))
-            plain = np.arange(0, b - a, 500)
-            for rank, middle in enumerate([*begins[:4], *others[:3], *plain[:1]]):
-                at = np.arange(middle - REACH, middle + REACH + 1) + a
-                inside = (at >= a) & (at < b)
-                rows = np.full((width, N_PER_TOKEN), PADDING, dtype=np.int32)
-                rows[inside] = own.features[at[inside]]
-                keep = np.full(width, -1, dtype=np.int8)
-                keep[inside] = tags[at[inside]]
-                # Begins first, then others: a bounded sample holds all of the rare kind it can.
-                keys.append(0 if middle in begins else 1)
-                feature_rows.append(rows.ravel())
-                tag_rows.append(keep)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys, pa.int32()),
-                pa.array([r.tolist() for r in feature_rows], pa.list_(pa.int32())),
-                pa.array([r.tolist() for r in tag_rows], pa.list_(pa.int32())),
-            ],
-            names=["kind", "features", "tags"],
-        )
+            key = np.uint64(b - a)
+            spans = a + np.flatnonzero(tags[a:b] == 1)
+            others = a + np.flatnonzero(digits[a:b] & (tags[a:b] == 0))
+            plain = a + np.flatnonzero(~digits[a:b] & (tags[a:b] == 0))
+            drawn = [(k, m) for k, places, n in (
+                ("span", spans, SPANS_PER_DOC), ("other", others, DIGITS_PER_DOC), ("other", plain, PLAIN_PER_DOC)
+            ) for m in _drawn(places, n, key)]
+            windows += [(kind, *_window(own, tags, i, middle)) for kind, middle in drawn]
+        if windows:
+            kinds, features, marks = zip(*windows, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kinds), pa.array(features, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int32()))],
+                names=["kind", "features", "tags"],
+            )
 
 
 def train(docs: DataFrame, text_col: str = "text", rows: int = TRAIN_ROWS, windows: int = TRAIN_WINDOWS) -> Model | None:
     """A model whose labels are the exact spans of a bounded sample; None where it has none.
 
-    About ``rows`` rows, chosen by a hash of the text, give up to ``windows`` windows, half of
-    them around labelled spans and half around other tokens.
+    About ``rows`` rows, drawn by a hash of the text, give windows, of which about ``windows``
+    different ones, drawn by their hash, are gathered in the shares of SHARES. Labelled spans
+    come as they are and in forms that the patterns do not know, so that shape and surroundings
+    have to carry them; the other windows are around tokens that are no secret.
     """
     named = docs.select(text_or_empty(text_col).alias("text"))
     total = named.count()
     if total > rows:
         part = int(rows / total * (1 << 30))
         named = named.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < part)
-    found = named.mapInArrow(_training_windows, "kind int, features array<int>, tags array<int>")
-    key = F.xxhash64("features")
-    halves = [found.filter(F.col("kind") == k).orderBy(key).limit(windows // 2) for k in (0, 1)]
-    taken = [r for half in halves for r in half.select("features", "tags").collect()]
+    found = named.mapInArrow(tidied(_training_windows), "kind string, features array<int>, tags array<int>")
+    # Copies of a text give the same windows, which count once.
+    different = stored(found.dropDuplicates(["kind", "features"]), "secret-windows")
+    counts = {r["kind"]: r["count"] for r in different.groupBy("kind").count().collect()}
+    if not counts.get("span"):
+        return None
+    drawn = F.pmod(F.xxhash64("features"), F.lit(1 << 30))
+    wanted = F.lit(False)
+    for kind, share in SHARES.items():
+        part = int(min(1.0, share * windows / max(1, counts.get(kind, 0))) * (1 << 30))
+        wanted = wanted | ((F.col("kind") == kind) & (drawn < part))
+    taken = stored(different.filter(wanted).orderBy(drawn), "secret-sample").limit(2 * windows).collect()
     width = 2 * REACH + 1
     features = np.array([r["features"] for r in taken], dtype=np.int32).reshape(-1, width, N_PER_TOKEN)
     tags = np.array([r["tags"] for r in taken], dtype=np.int64).reshape(-1, width)
-    if not (tags == 1).any():
-        return None
     return fit(features, np.maximum(tags, 0), tags >= 0)
 
 
@@ -375,7 +483,7 @@ def find(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col:
     fields = [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]
 
     def run(batches):
-        for batch in batches_of_bytes(batches, "text"):
+        for batch in batches_of_bytes(batches, "text", SCAN_BYTES):
             found = _found(scan_texts(batch.column("text")), model)
             spans = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in own] for own in found]
             yield pa.RecordBatch.from_arrays(
@@ -383,14 +491,14 @@ def find(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col:
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, spans array<struct<kind: string, start: long, end: long>>")
+    return rows.mapInArrow(tidied(run), f"doc_id {kind}, spans array<struct<kind: string, start: long, end: long>>")
 
 
 def redact(docs: DataFrame, model: Model | None, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans by one. Nulls stay null."""
     def run(batches):
         for whole in batches:
-            for batch in batches_of_bytes([whole], text_col):
+            for batch in batches_of_bytes([whole], text_col, SCAN_BYTES):
                 place = batch.schema.get_field_index(text_col)
                 texts = batch.column(place)
                 filled = texts.fill_null("")
@@ -406,7 +514,7 @@ def redact(docs: DataFrame, model: Model | None, text_col: str = "text", mark: s
                 columns[place] = pa.array(changed, texts.type)
                 yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def digests(found: DataFrame) -> DataFrame:
