@@ -108,13 +108,58 @@ def test_field_learns_to_tag_values_and_leaves_the_rest_alone(docs_of):
     assert not any(rows[20 + i] for i in range(20))
 
 
+def planted(rng, n):
+    """Names that no pattern has, values of five forms, and what is between them."""
+    letters = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    forms = (("", letters[:16], 32), ("ASIA", letters[:36], 16), ("ghp_", letters, 36), ("", "0123456789abcdef", 20), ("", letters + "+/", 40))
+    names = ("passphrase ", "credential -> ", "Authorization Bearer ", "key ~ ", "auth ")
+    prefix, alphabet, length = forms[n % 5]
+    return names[n // 5 % 5], prefix + "".join(rng.choice(list(alphabet), length))
+
+
+def test_field_finds_forms_no_pattern_knows_and_leaves_clean_documents_alone(spark):
+    """Trained on one half of the given documents, asked about the other half."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").repartition(8)
+    model = secrets.train(docs.filter("doc_id % 2 = 0"))
+    held = docs.filter("doc_id % 2 = 1 AND text IS NOT NULL")
+    added = secrets.find(held, model).selectExpr("filter(spans, s -> s.kind = 'crf') AS spans")
+    n_docs, n_false = added.count(), added.selectExpr("sum(size(spans))").first()[0]
+    assert n_docs > 4000 and 1000 * n_false <= n_docs
+    rng, rows, places = np.random.default_rng(11), [], []
+    for n, r in enumerate(held.filter("length(text) > 200").orderBy("doc_id").limit(300).collect()):
+        words = r.text.split(" ")
+        name, value = planted(rng, n)
+        before = " ".join(words[: len(words) // 2]) + f" {name}"
+        rows.append((n, f"{before}{value} " + " ".join(words[len(words) // 2 :])))
+        places.append((len(before), len(before) + len(value)))
+    found = {r.doc_id: r.spans for r in secrets.find(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    caught = [any(s.kind == "crf" and s.start <= a + 4 and s.end >= b for s in found[n]) for n, (a, b) in enumerate(places)]
+    assert sum(caught) >= 0.9 * len(caught)
+
+
+def test_training_gathers_a_bounded_number_of_different_windows(docs_of, monkeypatch):
+    text = prose(90, 2) + " password=abc123def456abc123 " + prose(90, 3) + " 10.0.0.1 and 555-1234"
+    seen = []
+    monkeypatch.setattr(secrets, "fit", lambda features, tags, known: seen.append((features, tags)))
+    secrets.train(docs_of([text] * 200 + [prose(40, s) for s in range(40)]), windows=60)
+    ((features, tags),) = seen
+    assert len(features) <= 120 and len({f.tobytes() for f in features}) == len(features)
+    assert (tags == 1).any()
+
+
+def test_places_are_drawn_from_the_whole_text():
+    places = np.arange(10_000)
+    drawn = secrets._drawn(places, 8, np.uint64(7))
+    assert len(drawn) == 8 and max(drawn) > 5_000 and drawn == secrets._drawn(places, 8, np.uint64(7))
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(3)
     model = secrets.Model(rng.normal(size=(secrets.N_FEATURES, 3)), rng.normal(size=(3, 3)))
     model.emit[:, 0] += 0.3
     for length in (1, 2, 5, 7):
         features = rng.integers(0, secrets.N_FEATURES, size=(length, secrets.N_PER_TOKEN)).astype(np.int32)
-        own = secrets.Tokens(np.arange(length), np.arange(length) + 1, np.array([0, length]), np.zeros(length, int), features)
+        own = secrets.Tokens(np.arange(length), np.arange(length) + 1, np.array([0, length]), np.zeros(length, int), features, np.zeros(1, np.int32))
         scores = model.scores(features)
         paths = np.array(np.meshgrid(*[range(3)] * length, indexing="ij")).reshape(length, -1).T
         total = scores[np.arange(length), paths].sum(axis=1) + model.move[paths[:, :-1], paths[:, 1:]].sum(axis=1)
@@ -126,7 +171,7 @@ def test_gradient_reaches_what_the_tags_say():
     tags = rng.integers(0, 3, size=(40, 9))
     features = np.repeat((tags * 10 + rng.integers(0, 3, tags.shape))[..., None], secrets.N_PER_TOKEN, axis=2).astype(np.int32)
     model = secrets.fit(features, tags, np.ones(tags.shape, bool))
-    own = secrets.Tokens(np.arange(9), np.arange(9) + 1, np.array([0, 9]), np.zeros(9, int), features[0])
+    own = secrets.Tokens(np.arange(9), np.arange(9) + 1, np.array([0, 9]), np.zeros(9, int), features[0], np.zeros(1, np.int32))
     assert model.decode(own).tolist() == tags[0].tolist()
 
 
