@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import functools
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -16,8 +18,14 @@ from nearkin.llm.columns import text_or_empty
 
 #: Lanes of 64 bits that decide equality, summed modulo 2^64.
 EXACT_LANES = 16
-#: Lanes of 16 bits that measure likeness, summed modulo 2^16.
-LIKENESS_LANES = 256
+#: Lanes of 32 bits that measure likeness, summed modulo 2^32.
+LIKENESS_LANES = 512
+#: A piece's likeness vector is a stretch of so many drawn values that begins where its hash says.
+DRAWN = 1 << 21
+#: A lane's value for a piece is a Cauchy variable times this, as an integer.
+SCALE = 8
+#: Pieces whose vectors are added up at a time.
+PIECES_AT_ONCE = 256
 #: Words in the pieces of a paragraph that the likeness lanes count.
 PIECE_WORDS = 3
 ROWS_PER_RANGE = 500
@@ -28,18 +36,19 @@ class Fingerprint:
     """The sum of the vectors of a multiset of paragraphs; a value that can be added and taken away.
 
     A paragraph's vector has two parts. The exact lanes are an extendable hash of its bytes,
-    so that two multisets differ in them but for chance. The likeness lanes count the
-    paragraph's word pieces, each in the lane and with the sign that its hash names, so that the
-    length of the difference of two sums estimates how many pieces differ. Sums do not depend
-    on the order of paragraphs, and a paragraph is inserted or deleted by adding or subtracting
-    its vector.
+    so that two multisets differ in them but for chance. The likeness lanes add up, for each of
+    the paragraph's word pieces, a vector of Cauchy variables that its hash names: in every lane
+    of the difference of two sums stands a Cauchy variable whose scale is the sum of the absolute
+    differences of the pieces' counts, so that pieces which repeat count as often as they do.
+    Sums do not depend on the order of paragraphs, and a paragraph is inserted or deleted by
+    adding or subtracting its vector.
     """
 
     __slots__ = ("exact", "likeness", "pieces")
 
     def __init__(self, exact=None, likeness=None, pieces: int = 0):
         self.exact = np.zeros(EXACT_LANES, np.uint64) if exact is None else exact
-        self.likeness = np.zeros(LIKENESS_LANES, np.uint16) if likeness is None else likeness
+        self.likeness = np.zeros(LIKENESS_LANES, np.uint32) if likeness is None else likeness
         self.pieces = pieces
 
     def __add__(self, other: Fingerprint) -> Fingerprint:
@@ -52,33 +61,60 @@ class Fingerprint:
             self.exact - other.exact, self.likeness - other.likeness, self.pieces - other.pieces
         )
 
-    def to_hex(self) -> str:
-        return (
+    def to_text(self) -> str:
+        """All lanes in base 64; equal for equal multisets only."""
+        return base64.b64encode(
             self.exact.astype("<u8").tobytes()
-            + self.likeness.astype("<u2").tobytes()
+            + self.likeness.astype("<u4").tobytes()
             + self.pieces.to_bytes(8, "little")
-        ).hex()
+        ).decode("ascii")
 
     @classmethod
-    def from_hex(cls, text: str) -> Fingerprint:
-        raw = bytes.fromhex(text)
+    def from_text(cls, text: str) -> Fingerprint:
+        raw = base64.b64decode(text)
         cut = EXACT_LANES * 8
         return cls(
             np.frombuffer(raw[:cut], "<u8").copy(),
-            np.frombuffer(raw[cut:-8], "<u2").copy(),
+            np.frombuffer(raw[cut:-8], "<u4").copy(),
             int.from_bytes(raw[-8:], "little"),
         )
 
     def near(self, other: Fingerprint) -> float:
         """Estimated Jaccard likeness of the two multisets of pieces, from 0 to 1; 1 if equal."""
-        if np.array_equal(self.exact, other.exact):
-            return 1.0
-        both = self.pieces + other.pieces
-        if not both:
-            return 0.0
-        apart = (self.likeness - other.likeness).astype(np.int16).astype(np.float64)
-        differing = min(float(both), float(apart @ apart))
-        return (both - differing) / (both + differing)
+        return likeness([self], [other])[0]
+
+
+def _scales(lanes: np.ndarray) -> np.ndarray:
+    """The likeliest scale of the Cauchy variables in each row."""
+    squares = lanes.astype(np.float64) ** 2
+    scale = np.median(np.abs(lanes), axis=1).astype(np.float64) ** 2
+    some = scale > 0
+    for _ in range(12):
+        shares = scale[some, None] / (scale[some, None] + squares[some])
+        scale[some] *= lanes.shape[1] / 2 / shares.sum(axis=1)
+    return np.sqrt(scale)
+
+
+def likeness(left: list[Fingerprint], right: list[Fingerprint]) -> list[float]:
+    """``near`` of many pairs at once."""
+    if not left:
+        return []
+    apart = np.stack([a.likeness - b.likeness for a, b in zip(left, right, strict=True)]).astype(np.int32)
+    both = np.array([a.pieces + b.pieces for a, b in zip(left, right, strict=True)], np.float64)
+    least = np.array([abs(a.pieces - b.pieces) for a, b in zip(left, right, strict=True)], np.float64)
+    differing = np.clip(_scales(apart) / SCALE, least, both)
+    found = np.divide(both - differing, both + differing, out=np.zeros(len(both)), where=both > 0)
+    return [
+        1.0 if np.array_equal(a.exact, b.exact) else float(x) for a, b, x in zip(left, right, found, strict=True)
+    ]
+
+
+@functools.cache
+def _piece_vectors() -> np.ndarray:
+    """All stretches of the drawn values, by where they begin; the same in every process."""
+    drawn = np.random.default_rng(20_011).standard_cauchy(DRAWN) * SCALE
+    # The rare large values carry the scale of long sums and must not be cut.
+    return np.lib.stride_tricks.sliding_window_view(np.rint(drawn).astype(np.int32), LIKENESS_LANES)
 
 
 def _vectors(texts: list[str]) -> Iterator[Fingerprint]:
@@ -100,18 +136,21 @@ def _vectors(texts: list[str]) -> Iterator[Fingerprint]:
     at = np.concatenate([words[0][piece_at], starts[short]])
     piece = np.concatenate([piece, short_hash])
     owner = np.searchsorted(bounds, at, side="right") - 1
-    lane = (piece % np.uint64(LIKENESS_LANES)).astype(np.int64)
-    sign = 1 - 2 * ((piece >> np.uint64(40)) & np.uint64(1)).astype(np.int64)
-    counts = np.bincount(owner * LIKENESS_LANES + lane, weights=sign, minlength=len(texts) * LIKENESS_LANES)
-    likeness = counts.astype(np.int64).astype(np.uint16).reshape(len(texts), LIKENESS_LANES)
-    pieces = np.bincount(owner, minlength=len(texts))
+    order = np.argsort(owner, kind="stable")
+    vectors = _piece_vectors()
+    which = (piece % np.uint64(len(vectors))).astype(np.int64)[order]
+    ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
     for i, text in enumerate(texts):
         exact = np.zeros(EXACT_LANES, np.uint64)
         if text:
             for paragraph in text.split("\n"):
                 digest = hashlib.shake_128(paragraph.encode("utf-8")).digest(EXACT_LANES * 8)
                 exact += np.frombuffer(digest, "<u8")
-        yield Fingerprint(exact, likeness[i], int(pieces[i]))
+        a, b = int(ends[i - 1]) if i else 0, int(ends[i])
+        lanes = np.zeros(LIKENESS_LANES, np.int64)
+        for at in range(a, b, PIECES_AT_ONCE):
+            lanes += vectors[which[at : min(b, at + PIECES_AT_ONCE)]].sum(axis=0, dtype=np.int64)
+        yield Fingerprint(exact, lanes.astype(np.uint32), b - a)
 
 
 def of_paragraphs(paragraphs: Iterable[str]) -> Fingerprint:
@@ -128,7 +167,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches):
         for batch in batches_of_bytes(batches, "text"):
-            made = [f.to_hex() for f in _vectors(batch.column("text").to_pylist())]
+            made = [f.to_text() for f in _vectors(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(made, pa.string())], names=["doc_id", "fingerprint"]
             )
@@ -148,14 +187,14 @@ def merged(fingerprints: DataFrame, *keys: str) -> DataFrame:
         for batch in batches:
             for row in batch.select([*keys, "fingerprint"]).to_pylist():
                 key = tuple(row[k] for k in keys)
-                sums[key] = sums.get(key, Fingerprint()) + Fingerprint.from_hex(row["fingerprint"])
+                sums[key] = sums.get(key, Fingerprint()) + Fingerprint.from_text(row["fingerprint"])
                 if len(sums) > 50_000:
                     yield from flush(sums)
                     sums = {}
         yield from flush(sums)
 
     def flush(sums):
-        rows = [dict(zip(keys, k, strict=True)) | {"fingerprint": f.to_hex()} for k, f in sums.items()]
+        rows = [dict(zip(keys, k, strict=True)) | {"fingerprint": f.to_text()} for k, f in sums.items()]
         if rows:
             yield from pa.Table.from_pylist(rows).to_batches()
 
@@ -253,9 +292,9 @@ def _compared(chunk: list[tuple[int | None, str, str]]) -> pa.RecordBatch:
         "doc_id": pa.array(ids, pa.int64()),
         "n_chars": pa.array([len(t) for t in texts], pa.int64()),
         "edited": pa.array(edited, pa.string()),
-        "fingerprint": [f.to_hex() for f in own],
-        "edited_fingerprint": [f.to_hex() for f in changed],
-        "near_edited": [a.near(b) for a, b in zip(own, changed, strict=True)],
-        "near_next": [a.near(b) for a, b in zip(own, after, strict=True)],
+        "fingerprint": [f.to_text() for f in own],
+        "edited_fingerprint": [f.to_text() for f in changed],
+        "near_edited": likeness(own, changed),
+        "near_next": likeness(own, after),
     }
     return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))

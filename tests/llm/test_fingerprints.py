@@ -1,10 +1,12 @@
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
 from nearkin.llm import fingerprints as fp
 
+from . import definitions
 from .conftest import prose
 
 
@@ -44,11 +46,11 @@ def test_sums_do_not_depend_on_order_and_can_be_taken_back():
     paragraphs = [prose(12, s).replace("\n", " ") for s in range(8)] + [prose(12, 3).replace("\n", " ")]
     shuffled = random.Random(5).sample(paragraphs, len(paragraphs))
     whole = fp.of_paragraphs(paragraphs)
-    assert whole.to_hex() == fp.of_paragraphs(shuffled).to_hex()
-    assert (whole - fp.of_paragraphs(paragraphs[:1])).to_hex() == fp.of_paragraphs(paragraphs[1:]).to_hex()
-    assert (fp.of_paragraphs(paragraphs[:4]) + fp.of_paragraphs(paragraphs[4:])).to_hex() == whole.to_hex()
-    assert fp.of_paragraphs(set(paragraphs)).to_hex() != whole.to_hex()
-    assert fp.Fingerprint.from_hex(whole.to_hex()).to_hex() == whole.to_hex()
+    assert whole.to_text() == fp.of_paragraphs(shuffled).to_text()
+    assert (whole - fp.of_paragraphs(paragraphs[:1])).to_text() == fp.of_paragraphs(paragraphs[1:]).to_text()
+    assert (fp.of_paragraphs(paragraphs[:4]) + fp.of_paragraphs(paragraphs[4:])).to_text() == whole.to_text()
+    assert fp.of_paragraphs(set(paragraphs)).to_text() != whole.to_text()
+    assert fp.Fingerprint.from_text(whole.to_text()).to_text() == whole.to_text()
 
 
 def test_likeness_is_near_the_exact_jaccard():
@@ -59,13 +61,54 @@ def test_likeness_is_near_the_exact_jaccard():
         assert abs(one.near(two) - kept / (80 - kept)) < 0.12
 
 
+def pieces(text):
+    """The multiset of word pieces: three words in a row of a paragraph, or a shorter paragraph's words."""
+    found = Counter()
+    for line in text.split("\n"):
+        words = definitions.spaced_words(line)
+        found.update(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+        found.update([tuple(words)] if 0 < len(words) < 3 else [])
+    return found
+
+
+def exact_likeness(one, two):
+    if one == two:
+        return 1.0
+    one, two = pieces(one), pieces(two)
+    both = (one | two).total()
+    return (one & two).total() / both if both else 0.0
+
+
+def test_likeness_counts_repeats_as_often_as_they_are():
+    line, other = prose(9, 1), prose(9, 2)
+    texts = [
+        "\n".join([line] * 30), "\n".join([line] * 10), "\n".join([line] * 30 + [other] * 30), "\n".join([other] * 60),
+        " ".join([line] * 20), " ".join([line] * 40), line, "a b a b a b a b a b a b", "a b a b a b", "",
+    ]
+    for one in texts:
+        for two in texts:
+            got = fp.of_paragraphs(one.split("\n")).near(fp.of_paragraphs(two.split("\n")))
+            assert abs(got - exact_likeness(one, two)) < 0.15, (one[:30], two[:30])
+
+
+def test_likeness_of_given_documents_and_their_edits(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
+    texts = {i: (t, e, n) for i, t, e, n in expected(rows)}
+    worst = 0.0
+    for r in fp.with_next(docs).collect():
+        own, edited, after = texts[r.doc_id]
+        worst = max(worst, abs(r.near_edited - exact_likeness(own, edited)), abs(r.near_next - exact_likeness(own, after)))
+    assert worst < 0.15
+
+
 def test_merged_fingerprint_is_that_of_all_paragraphs(spark, docs_of):
     texts = [prose(30, s) for s in range(6)]
     parts = fp.fingerprint(docs_of(texts)).selectExpr("doc_id % 2 as k", "fingerprint")
     got = {r.k: r.fingerprint for r in fp.merged(parts, "k").collect()}
     for k in (0, 1):
         lines = [line for t in texts[k::2] for line in t.split("\n")]
-        assert got[k] == fp.of_paragraphs(lines).to_hex()
+        assert got[k] == fp.of_paragraphs(lines).to_text()
 
 
 def test_empty_table(empty):
