@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.functions.hashing import band_bucket
-from nearkin.operators.pairing import BLOCK_ROWS, key_sizes, pairs_sharing_key
+from nearkin.operators.pairing import BLOCK_ROWS, join_counted, key_sizes, pairs_sharing_key
 from nearkin.params import DEV, LshParams, check_banding
+from nearkin.session import stored
 
 BUCKET = ("band_id", "bucket_hash")
 
@@ -58,9 +59,8 @@ def shared_buckets(index: DataFrame) -> DataFrame:
 
     One row per member; a list per bucket would have no bound.
     """
-    return index.join(key_sizes(index, BUCKET, "n_members"), list(BUCKET)).select(
-        *BUCKET, "n_members", "book_id"
-    )
+    sizes = stored(key_sizes(index, BUCKET, "n_members"), "bucket-sizes")
+    return join_counted(index, sizes, BUCKET, "n_members").select(*BUCKET, "n_members", "book_id")
 
 
 def match_probability(similarity: Column, bands: int | Column, rows: int | Column) -> Column:

@@ -5,7 +5,8 @@ from definitions import buckets, candidate_pairs
 from pyspark.sql import functions as F
 
 from nearkin.operators import copies, lsh
-from nearkin.operators.pairing import matches_on_key, pairs_sharing_key
+from nearkin.operators.pairing import join_counted, key_sizes, matches_on_key, pairs_sharing_key
+from nearkin.session import stored
 
 
 def sigs_frame(spark, books, kind="bigint"):
@@ -123,3 +124,36 @@ def test_s_curve(spark):
     assert (points[-1].similarity, points[-1].probability) == (1.0, 1.0)
     middle = points[100]
     assert middle.probability == pytest.approx(1 - (1 - middle.similarity**5) ** 20)
+
+
+def rows_per_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_a_hot_key_is_dealt_over_tasks_before_the_shuffle(spark):
+    """20,000 of 30,000 rows under one key: no task gets more than twice an even share."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(30_000).select(F.when(F.col("id") < 20_000, F.lit(0)).otherwise(F.col("id") % 5_000).alias("k"), F.col("id").alias("v"))
+        sizes = stored(key_sizes(rows, ["k"], "n"), "sizes")
+        joined = join_counted(rows, sizes, ["k"], "n")
+        assert max(rows_per_task(joined)) <= 2 * 30_000 / 4
+        assert max(rows_per_task(rows.join(sizes, "k"))) >= 20_000
+        want = rows.join(sizes, "k")
+        assert joined.select("k", "v", "n").exceptAll(want.select("k", "v", "n")).count() == 0
+        assert joined.count() == want.count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_members_of_a_bucket_of_very_many(spark):
+    index = spark.range(20_000).select(F.col("id").alias("book_id"), F.lit(0).alias("band_id"), F.when(F.col("id") < 19_000, 7).otherwise(F.col("id").cast("int")).alias("bucket_hash"))
+    found = lsh.shared_buckets(index)
+    assert found.count() == 19_000 and found.agg(F.min("n_members")).first()[0] == 19_000
+
+
+def test_keys_that_are_null_meet_nothing(spark):
+    rows = spark.createDataFrame([(None, i) for i in range(5)] + [(1, 9), (1, 10)], "k int, book_id int")
+    assert pair_set(pairs_sharing_key(rows, ["k"], "book_id")) == {(9, 10)}
