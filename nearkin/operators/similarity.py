@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nearkin.functions.minhash import estimate_jaccard
-from nearkin.functions.shingles import exact_jaccard, jaccard_from_counts
-from nearkin.operators.pairing import BLOCK_ROWS, pairs_sharing_key
+from nearkin.functions.shingles import jaccard_from_counts
+from nearkin.operators.pairing import BLOCK_ROWS, join_counted, pairs_sharing_key
+from nearkin.session import stored
 
+# Cells over which a set's ranks are counted, to rule pairs out before their sets move.
+CELLS = 16
 
-def _with_both(pairs: DataFrame, books: DataFrame, value: str) -> DataFrame:
+
+def _with_both(pairs: DataFrame, books: DataFrame, *values: str) -> DataFrame:
     for side in (1, 2):
         of_side = books.select(
-            F.col("book_id").alias(f"book_id_{side}"), F.col(value).alias(f"_value_{side}")
+            F.col("book_id").alias(f"book_id_{side}"), *[F.col(v).alias(f"_{v}_{side}") for v in values]
         )
         pairs = pairs.join(of_side, f"book_id_{side}")
     return pairs
@@ -22,14 +26,49 @@ def _with_both(pairs: DataFrame, books: DataFrame, value: str) -> DataFrame:
 def estimate_pairs(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     """Add ``similarity``, the estimate from the two signatures."""
     both = _with_both(pairs, signatures, "signature")
-    similarity = estimate_jaccard(F.col("_value_1"), F.col("_value_2"))
+    similarity = estimate_jaccard(F.col("_signature_1"), F.col("_signature_2"))
     return both.select(*pairs.columns, similarity.alias("similarity"))
 
 
+def ranked_sets(shingled: DataFrame) -> DataFrame:
+    """``book_id, n_shingles, ranks`` of every set, stored: its shared shingles as integers.
+
+    Shingles are numbered in one global order, those of few documents first. The numbers grow with
+    the order and leave gaps, so numbering takes no single task. Shingles of one document only
+    have no number: they are counted in ``n_shingles`` and can be shared by nobody. A shingle is
+    told by its 128-bit digest; its text is not shuffled.
+    """
+    postings = shingled.select(
+        "book_id", F.explode(F.transform("shingles", lambda s: F.unhex(F.md5(s)))).alias("shingle")
+    )
+    counted = stored(
+        postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1), "shingle-counts"
+    )
+    order = ["df", "shingle"]
+    ranks = stored(
+        counted.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("rank", F.monotonically_increasing_id()),
+        "shingle-ranks",
+    )
+    # One list per document: bounded by the document, which is a row already.
+    held = (
+        join_counted(postings, ranks, ["shingle"], "df")
+        .groupBy("book_id")
+        .agg(F.sort_array(F.collect_list("rank")).alias("ranks"))
+    )
+    sizes = shingled.select("book_id", F.size("shingles").alias("n_shingles"))
+    none = F.array().cast("array<bigint>")
+    return stored(
+        sizes.join(held, "book_id", "left").select("book_id", "n_shingles", F.coalesce("ranks", none).alias("ranks")),
+        "ranked-sets",
+    )
+
+
 def exact_pairs(pairs: DataFrame, shingled: DataFrame) -> DataFrame:
     """Add ``jaccard`` of the two shingle sets of each given pair."""
-    both = _with_both(pairs, shingled, "shingles")
-    jaccard = exact_jaccard(F.col("_value_1"), F.col("_value_2"))
+    both = _with_both(pairs, ranked_sets(shingled), "n_shingles", "ranks")
+    shared = F.size(F.array_intersect("_ranks_1", "_ranks_2"))
+    jaccard = jaccard_from_counts(shared, F.col("_n_shingles_1"), F.col("_n_shingles_2"))
     return both.select(*pairs.columns, jaccard.alias("jaccard"))
 
 
@@ -39,36 +78,34 @@ def estimate_error(pairs: DataFrame, shingled: DataFrame, signatures: DataFrame)
     return scored.withColumn("error", F.abs(F.col("jaccard") - F.col("similarity")))
 
 
-def _prefixes(shingled: DataFrame, min_jaccard: float) -> DataFrame:
-    """``book_id, n_shingles, shingle``: the rarest shingles of each set, enough to meet.
+def _prefixes(sets: DataFrame, min_jaccard: float) -> DataFrame:
+    """``book_id, n_shingles, at, rank``: the rarest shingles of each set, enough to meet.
 
     In one global order (rare first), two sets with J >= t share an element among the first
     ``n - ceil(t*n) + 1`` of each (prefix filtering: Chaudhuri et al. 2006; Xiao et al. 2008).
     Shingles of one document only come first in that order and meet nothing, so they count for
-    the position but are not joined. ``shingle`` is a 64-bit hash: two shingles of one hash can
-    only add a candidate, and the candidates are compared by their sets.
+    the position ``at`` but are not joined.
     """
-    hashed = F.array_distinct(F.transform("shingles", lambda s: F.xxhash64(s)))
-    postings = shingled.select(
-        "book_id", F.size("shingles").alias("n_shingles"), F.explode(hashed).alias("shingle")
-    )
-    frequent = (
-        postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
-    )
-    # One list per document: bounded by the document, which is a row already.
-    ranked = (
-        postings.join(frequent, "shingle")
-        .groupBy("book_id", "n_shingles")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ordered"))
-    )
-    n = F.col("n_shingles")
+    n, alone = F.col("n_shingles"), F.col("n_shingles") - F.size("ranks")
     # The small amount taken off keeps rounding from lengthening the required overlap.
     prefix = n - F.ceil(n * min_jaccard - 1e-9).cast("int") + 1
-    rare = n - F.size("ordered")
-    taken = F.slice("ordered", F.lit(1), F.greatest(prefix - rare, F.lit(0)))
-    return ranked.select(
-        "book_id", "n_shingles", F.posexplode(taken.getField("shingle")).alias("_at", "shingle")
-    ).drop("_at")
+    taken = F.slice("ranks", F.lit(1), F.greatest(prefix - alone, F.lit(0)))
+    placed = sets.select("book_id", "n_shingles", alone.alias("_alone"), F.posexplode(taken).alias("_i", "rank"))
+    return placed.select("book_id", "n_shingles", (F.col("_alone") + F.col("_i")).alias("at"), "rank")
+
+
+def _cells(sets: DataFrame) -> DataFrame:
+    """``book_id, cells``: how many of a set's ranks lie in each of CELLS cells."""
+    cell = F.transform("ranks", lambda r: F.pmod(F.xxhash64(r), F.lit(CELLS)).cast("int"))
+    counts = F.transform(
+        F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.size(F.filter("_cell", lambda x: x == c))
+    )
+    return sets.select("book_id", cell.alias("_cell")).select("book_id", counts.alias("cells"))
+
+
+def _from(ranks: str, n: str, at: str) -> Column:
+    """The ranks of a set from position ``at`` of the whole set on."""
+    return F.slice(ranks, F.col(at) - F.col(n) + F.size(ranks) + 1, F.greatest(F.size(ranks), F.lit(1)))
 
 
 def similar_sets(
@@ -76,15 +113,31 @@ def similar_sets(
 ) -> DataFrame:
     """All pairs with exact Jaccard >= ``min_jaccard``: ``book_id_1, book_id_2, jaccard``.
 
-    Needs ``min_jaccard > 0``; pairs that share nothing have J = 0 and are not enumerated.
+    Sets meet on the shingles of their prefixes. A pair goes on if its sizes allow the overlap
+    (length filter), if what follows the first shared shingle does (positional filter), and if
+    the counts of the two sets over CELLS cells do (suffix filter); only then do the sets move,
+    as integers, and are counted from the first shared shingle on. Needs ``min_jaccard > 0``;
+    pairs that share nothing have J = 0 and are not enumerated.
     """
     if not 0 < min_jaccard <= 1:
         raise ValueError("min_jaccard must be above 0 and at most 1")
-    met = pairs_sharing_key(
-        _prefixes(shingled, min_jaccard), ["shingle"], "book_id", ["n_shingles"], block_rows
+    sets = ranked_sets(shingled)
+    met = pairs_sharing_key(_prefixes(sets, min_jaccard), ["rank"], "book_id", ["n_shingles", "at"], block_rows)
+    small, large = (f("n_shingles_1", "n_shingles_2") for f in (F.least, F.greatest))
+    need = F.ceil((F.col("n_shingles_1") + F.col("n_shingles_2")) * (min_jaccard / (1 + min_jaccard)) - 1e-9)
+    first = (
+        met.where(small >= large * min_jaccard - 1e-9)
+        .groupBy("book_id_1", "book_id_2", "n_shingles_1", "n_shingles_2")
+        .agg(F.min("at_1").alias("at_1"), F.min("at_2").alias("at_2"))
+        .withColumn("need", need)
     )
-    small = F.least("n_shingles_1", "n_shingles_2")
-    large = F.greatest("n_shingles_1", "n_shingles_2")
-    pairs = met.where(small >= large * min_jaccard - 1e-9).select("book_id_1", "book_id_2").distinct()
-    return exact_pairs(pairs, shingled).where(F.col("jaccard") >= min_jaccard)
-
+    left_over = F.least(F.col("n_shingles_1") - F.col("at_1"), F.col("n_shingles_2") - F.col("at_2"))
+    able = _with_both(first.where(left_over >= F.col("need")), stored(_cells(sets), "set-cells"), "cells")
+    most = F.aggregate(F.zip_with("_cells_1", "_cells_2", lambda a, b: F.least(a, b)), F.lit(0), lambda total, x: total + x)
+    able = able.where(most >= F.col("need")).drop("_cells_1", "_cells_2")
+    both = _with_both(able, sets.select("book_id", "ranks"), "ranks")
+    shared = F.size(
+        F.array_intersect(_from("_ranks_1", "n_shingles_1", "at_1"), _from("_ranks_2", "n_shingles_2", "at_2"))
+    )
+    jaccard = jaccard_from_counts(shared, F.col("n_shingles_1"), F.col("n_shingles_2"))
+    return both.select("book_id_1", "book_id_2", jaccard.alias("jaccard")).where(F.col("jaccard") >= min_jaccard)
