@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -21,6 +21,12 @@ from nearkin.operators.similarity import estimate_pairs
 from nearkin.params import DEV, LshParams
 from nearkin.session import stored
 
+# Candidates that are asked for by value in a table laid out by id; of more, all of it is read.
+ASKED_BY_VALUE = 512
+# Values of one condition: as many as the scan compares one by one with a row group's bounds.
+VALUES_AT_ONCE = 10
+
+
 def _ranked(scored: DataFrame, top_k: int) -> DataFrame:
     """Most similar first; equal similarities by id, which the limit needs to be repeatable."""
     return (
@@ -32,9 +38,59 @@ def _ranked(scored: DataFrame, top_k: int) -> DataFrame:
 
 def signature_of(signatures: DataFrame, book_id) -> DataFrame:
     """``signature`` of one document in one row, null if the id is unknown."""
-    return signatures.where(F.col("book_id") == F.lit(book_id)).agg(
-        F.min("signature").alias("signature")
-    )
+    return _of_book(signatures, book_id).agg(F.min("signature").alias("signature"))
+
+
+def _buckets(signatures: DataFrame) -> int | None:
+    """Into how many folders a table read by ``read_search_tables`` is dealt by id."""
+    if "id_bucket" not in signatures.columns:
+        return None
+    return signatures.schema["id_bucket"].metadata.get("buckets")
+
+
+def _bucket_of(book_id: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(book_id), F.lit(buckets)).cast("int")
+
+
+def _of_book(signatures: DataFrame, book_id) -> DataFrame:
+    """The rows of one id, out of its folder if the table is laid out by id."""
+    named = F.lit(book_id).cast(signatures.schema["book_id"].dataType)
+    found = signatures.where(F.col("book_id") == named)
+    buckets = _buckets(signatures)
+    return found if buckets is None else found.where(F.col("id_bucket") == _bucket_of(named, buckets))
+
+
+def _any(conditions: list[Column]) -> Column:
+    """Whether one of many conditions holds, as a tree of little depth."""
+    while len(conditions) > 1:
+        conditions = [reduce(or_, conditions[i : i + 2]) for i in range(0, len(conditions), 2)]
+    return conditions[0]
+
+
+def signatures_of(signatures: DataFrame, ids: DataFrame) -> DataFrame:
+    """The signatures of the documents ``ids (book_id)``.
+
+    Up to ASKED_BY_VALUE ids are asked for by value: their folders, and in these the row groups
+    whose bounds hold one of them. More ids, or a table of another layout, meet in a join, and
+    their stored size decides how.
+    """
+    known = stored(ids.where(F.col("book_id").isNotNull()), "candidates")
+    buckets = _buckets(signatures)
+    if buckets is not None:
+        asked = known.select("book_id", _bucket_of(F.col("book_id"), buckets).alias("bucket"))
+        few = asked.distinct().limit(ASKED_BY_VALUE + 1).collect()
+        if not few:
+            return signatures.where(F.lit(False))
+        if len(few) <= ASKED_BY_VALUE:
+            by_bucket: dict[int, list] = {}
+            for row in few:
+                by_bucket.setdefault(row.bucket, []).append(row.book_id)
+            values = sorted(row.book_id for row in few)
+            parts = [values[i : i + VALUES_AT_ONCE] for i in range(0, len(values), VALUES_AT_ONCE)]
+            return signatures.where(
+                F.col("id_bucket").isin(*by_bucket) & _any([F.col("book_id").isin(*part) for part in parts])
+            )
+    return signatures.join(known, "book_id", "left_semi")
 
 
 def candidates_of(index: DataFrame, buckets: DataFrame) -> DataFrame:
@@ -69,10 +125,9 @@ def _estimates(signatures: DataFrame, query: DataFrame) -> DataFrame:
 def _score(candidates: DataFrame, signatures: DataFrame, query: DataFrame) -> DataFrame:
     """Similarity of the candidates to the one signature in ``query``.
 
-    The candidates are stored first: their size then decides how they meet the signatures.
+    Of a table laid out by id only the candidates' part is read.
     """
-    found = signatures.join(stored(candidates, "candidates"), "book_id", "left_semi")
-    return _estimates(found, query)
+    return _estimates(signatures_of(signatures, candidates), query)
 
 
 def _candidates_of_book(
@@ -81,7 +136,7 @@ def _candidates_of_book(
     named = F.col("book_id") == F.lit(book_id)
     if params is None:
         return candidates_of(index, index.where(named))
-    return in_buckets(index, signatures.where(named).select("signature"), params)
+    return in_buckets(index, _of_book(signatures, book_id).select("signature"), params)
 
 
 def find_similar_books(
@@ -137,6 +192,26 @@ def rank_all(signatures: DataFrame, book_id, top_k: int | None = None) -> DataFr
     )
 
 
+def comparisons_saved(
+    signatures: DataFrame, index: DataFrame, book_id, params: LshParams | None = None
+) -> DataFrame:
+    """What the index saves one document: ``n_others, n_candidates, n_saved, saved_pct`` in one row.
+
+    ``n_others`` are the documents that a search without the index compares with it, of which
+    those that share no bucket are saved. An unknown id has no candidates and saves nothing.
+    """
+    candidates = _candidates_of_book(signatures, index, book_id, params)
+    found = candidates.where(F.col("book_id") != F.lit(book_id)).agg(F.count(F.lit(1)).alias("n")).scalar()
+    known = F.coalesce(_of_book(signatures, book_id).agg(F.count(F.lit(1)).alias("n")).scalar() > 0, F.lit(False))
+    others = signatures.where(F.col("book_id") != F.lit(book_id)).agg(F.count(F.lit(1)).alias("_n"))
+    counts = others.select(F.when(known, F.col("_n")).otherwise(F.lit(0)).alias("n_others"), found.alias("n_candidates"))
+    saved = F.col("n_others") - F.col("n_candidates")
+    return counts.select(
+        "n_others", "n_candidates", saved.alias("n_saved"),
+        F.when(F.col("n_others") > 0, saved / F.col("n_others") * 100).otherwise(F.lit(0.0)).alias("saved_pct"),
+    )
+
+
 def group_pairs(groups: DataFrame, params: LshParams, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Candidate pairs among groups of copies, by key: ``book_id_1, book_id_2``."""
     index = index_of(groups.select("book_id", "signature"), params)

@@ -34,6 +34,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def intermediate_tables(spark: SparkSession) -> Iterator[str]:
     """Own the intermediate tables written inside the block; leaving it deletes them.
@@ -46,8 +51,7 @@ def intermediate_tables(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _owned.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_folder(spark, folder)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -199,3 +199,50 @@ def test_metadata_is_added_in_order_or_left_out(spark):
     got = [(r.book_id, r.Title, r.Author) for r in enrich(result, titles).collect()]
     assert got == [("pg3", "Three", None), ("pg1", "One", "A"), ("pg2", None, None)]
     assert enrich(result, None) is result
+
+
+def rows_read(df):
+    """Rows that the scan of a plan without a shuffle gives on, after folders and row groups are pruned."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_a_lookup_reads_the_folders_of_its_candidates(spark, tmp_path):
+    """Of 20,000 documents in 64 folders by id, the signatures of k ids come out of at most k folders."""
+    n, params = 20_000, LshParams(num_hashes=10, bands=2, rows=5)
+    values = F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.pmod(F.xxhash64(F.floor(F.col("id") / 4), i), F.lit(1000)).cast("int"))
+    near = F.transform(values, lambda v, i: F.when((i > 5) & (F.col("id") % 4 == 3), F.lit(1)).otherwise(v))
+    sigs = spark.range(n).select(F.concat(F.lit("d"), "id").alias("book_id"), near.alias("signature"))
+    index_tables.write_search_tables(sigs, str(tmp_path), params)
+    signatures, index = index_tables.read_search_tables(spark, str(tmp_path))
+    ids = spark.createDataFrame([("d17",), ("d18",), ("d4711",), ("none",)], "book_id string")
+    found = lookup.signatures_of(signatures, ids)
+    assert {r.book_id for r in found.select("book_id").collect()} == {"d17", "d18", "d4711"}
+    assert rows_read(lookup.signatures_of(signatures, ids)) <= 1.5 * 4 * n / index_tables.ID_BUCKETS
+    assert rows_read(lookup._of_book(signatures, "d17")) <= 1.5 * n / index_tables.ID_BUCKETS
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "id_bucket" in plan.split("PartitionFilters")[1].split("]")[0] and "book_id" in plan.split("PushedFilters")[1]
+    want = lookup.find_similar_books(sigs, build_lsh_index(sigs, 2, 5), "d17").collect()
+    assert lookup.find_similar_books(signatures, index, "d17", params=params).collect() == want and want
+
+
+def test_more_candidates_than_are_asked_by_value(spark, tmp_path, monkeypatch):
+    sigs = sigs_frame(spark, clustered(), "int")
+    index_tables.write_search_tables(sigs, str(tmp_path), SMALL)
+    tables = index_tables.read_search_tables(spark, str(tmp_path))
+    want = lookup.find_similar_books(*tables, "b007", params=SMALL).collect()
+    monkeypatch.setattr(lookup, "ASKED_BY_VALUE", 1)
+    assert lookup.find_similar_books(*tables, "b007", params=SMALL).collect() == want and len(want) > 1
+
+
+def test_comparisons_saved(spark):
+    books = clustered()
+    sigs = sigs_frame(spark, books)
+    index = build_lsh_index(sigs, 2, 5)
+    n_found = sum("b007" in pair for pair in candidate_pairs(books, 2, 5))
+    for params in (None, SMALL):
+        (row,) = lookup.comparisons_saved(sigs, index, "b007", params).collect()
+        assert (row.n_others, row.n_candidates, row.n_saved) == (59, n_found, 59 - n_found)
+        assert row.saved_pct == pytest.approx((59 - n_found) / 59 * 100)
+    assert tuple(lookup.comparisons_saved(sigs, index, "nobody", SMALL).first()) == (0, 0, 0, 0.0)
