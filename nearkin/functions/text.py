@@ -64,14 +64,15 @@ def text_lines(content: Column) -> Column:
     )
 
 
-def _begins_with_any(line: Column, markers: Sequence[str]) -> Column:
+def begins_with_any(line: Column, markers: Sequence[str]) -> Column:
+    """Whether a line's first visible text is one of ``markers``, in either case."""
     literal = "|".join(m.replace("*", r"\*") for m in markers)
     return F.upper(line).rlike(f"^[{SPACE_CHARS}]*(?:{literal})")
 
 
 def _first_match(lines: Column, markers: Sequence[str]) -> Column:
     """1-based position of the first line that begins with a marker, 0 if there is none."""
-    hits = F.transform(lines, lambda line: _begins_with_any(line, markers))
+    hits = F.transform(lines, lambda line: begins_with_any(line, markers))
     return F.array_position(hits, True).cast("int")
 
 

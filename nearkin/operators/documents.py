@@ -29,6 +29,30 @@ def preprocess_books(
     return tokenize(books, stop_words)
 
 
+def strip_lines(lines: DataFrame) -> DataFrame:
+    """The lines ``path, line_no, line`` between each file's start and end marker.
+
+    ``text.strip_boilerplate`` for files of any size: the markers' places are minima over a
+    file's lines, and the lines stay where they are.
+    """
+    starts = lines.where(
+        (F.col("line_no") < text.START_WITHIN_LINES) & text.begins_with_any(F.col("line"), text.START_MARKERS)
+    ).groupBy("path").agg((F.min("line_no") + 1).alias("start"))
+    # Only lines that begin with a marker are looked at again.
+    marked = lines.where(text.begins_with_any(F.col("line"), text.END_MARKERS)).select("path", "line_no")
+    begin = F.coalesce("start", F.lit(0))
+    ends = (
+        marked.join(starts, "path", "left")
+        .where(F.col("line_no") >= F.greatest(begin, F.lit(text.END_FROM_LINE)))
+        .groupBy("path").agg(F.min("line_no").alias("end"))
+    )
+    within = starts.join(ends, "path", "full")
+    kept = lines.join(within, "path", "left")
+    return kept.where(
+        (F.col("line_no") >= begin) & (F.col("end").isNull() | (F.col("line_no") < F.col("end")))
+    ).select("path", "line_no", "line")
+
+
 def tokenize(books: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
     """``(book_id, content)`` to ``(book_id, tokens)``; documents without tokens are dropped."""
     tokens = text.index_tokens(F.col("content"), stop_words)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from nearkin.operators.pairing import join_counted
+from nearkin.session import stored
 from nearkin.sources.csv_columns import read_named
 
 # Fixed value: columns of the catalogue file.
@@ -67,3 +69,64 @@ def select_bookshelves(
         .where(F.col("_rank") <= per_shelf)
         .drop("_rank")
     )
+
+
+# Characters of the pieces by which shelf names meet what the catalogue says.
+GRAM = 3
+
+
+def _grams(text: Column) -> Column:
+    """All distinct runs of GRAM characters, and the shorter runs that names of less can be."""
+    def runs(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.char_length(text) - n + 1)
+        return F.when(F.char_length(text) >= n, F.transform(places, lambda i: F.substring(text, i, F.lit(n)))).otherwise(
+            F.array().cast("array<string>")
+        )
+
+    return F.array_distinct(F.concat(F.array(F.lit("")), *[runs(n) for n in range(1, GRAM + 1)]))
+
+
+def _own_grams(name: Column) -> Column:
+    """The runs of GRAM characters of a name, or the whole name if it has fewer."""
+    places = F.sequence(F.lit(1), F.greatest(F.char_length(name) - GRAM + 1, F.lit(1)))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(name, i, F.lit(GRAM))))
+
+
+def shelf_matches(catalog: DataFrame, shelves: DataFrame) -> DataFrame:
+    """``shelf, Bookshelves``: which different entries of the catalogue hold which names of a table.
+
+    ``shelves (shelf)`` may be as long as it likes. Every name is looked up under the one of its
+    pieces that the fewest entries have, and what meets there is compared as a whole, in lower
+    case. An empty name is held by all.
+    """
+    entries = stored(catalog.select("Bookshelves").distinct().withColumn("_low", F.lower("Bookshelves")), "entries")
+    pieces = entries.select("Bookshelves", "_low", F.explode(_grams(F.col("_low"))).alias("gram"))
+    counts = stored(pieces.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram-counts")
+    names = stored(shelves.select("shelf").where(F.col("shelf").isNotNull()).distinct().withColumn("_name", F.lower("shelf")), "shelves")
+    own = names.select("shelf", "_name", F.explode(_own_grams(F.col("_name"))).alias("gram"))
+    asked = stored(own.groupBy("gram").agg(F.count(F.lit(1)).alias("n_asked")), "asked-grams")
+    known = join_counted(own, asked, ["gram"], "n_asked").drop("n_asked").join(counts, "gram")
+    # A name with a piece that no entry has is held by none, but is looked up all the same.
+    rarest = known.groupBy("shelf", "_name").agg(F.min(F.struct("n", "gram")).alias("r")).select("shelf", "_name", "r.gram")
+    entry_counts = counts.join(rarest.select("gram").distinct(), "gram", "left_semi")
+    met = join_counted(pieces, stored(entry_counts, "looked-up-grams"), ["gram"], "n").drop("n").join(rarest, "gram")
+    return met.where(F.contains("_low", "_name")).select("shelf", "Bookshelves")
+
+
+def select_by_shelf_table(
+    catalog: DataFrame, shelves: DataFrame, per_shelf: int = 30, language: str = "en"
+) -> DataFrame:
+    """``select_bookshelves`` for a table of names ``shelves (shelf)``, each name once.
+
+    Only texts in the language are looked at. The rank filter limits each shelf before the shuffle.
+    """
+    texts = _texts(catalog, language)
+    entries = shelf_matches(texts, shelves).groupBy("Bookshelves").agg(F.collect_list("shelf").alias("_shelves"))
+    first = Window.partitionBy("shelf").orderBy(*_by_number())
+    return (
+        texts.join(entries, "Bookshelves")
+        .withColumn("shelf", F.explode("_shelves"))
+        .withColumn("_rank", F.row_number().over(first))
+        .where(F.col("_rank") <= per_shelf)
+        .drop("_rank", "_shelves")
+    )

@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 from test_lsh import clustered, pair_set, sigs_frame
 
+from nearkin.functions import text
 from nearkin.operators import documents, lookup, lsh
 from nearkin.params import LshParams
-from nearkin.plans import explore
+from nearkin.plans import build, explore
 from nearkin.session import get_session, intermediate_tables, scratch_path, shared_folder, stored
 from nearkin.sources import catalog, corpus, index_tables, metadata, results
 
@@ -37,9 +38,9 @@ def test_whole_files(spark, folder):
 def test_file_stats(spark, folder):
     got = {r.book_id: r for r in explore.file_stats(corpus.load_raw_books(spark, folder)).collect()}
     assert set(got) == {"1", "22", "notes"}
-    text = FILES["pg22.txt"]
+    content = FILES["pg22.txt"]
     assert (got["22"].filename, got["22"].num_lines, got["22"].num_words, got["22"].num_chars) == (
-        "pg22.txt", len(text.split("\n")), len(text.split()), len(text),
+        "pg22.txt", len(content.split("\n")), len(content.split()), len(content),
     )
 
 
@@ -218,3 +219,106 @@ def test_top_and_stage_counts(spark):
     assert [r.book_id for r in explore.top_by(stats, "num_words", 3).collect()] == ["b1", "b2", "b0"]
     rows = explore.stage_counts({"all": stats, "few": stats.where(F.col("num_words") > 5)}).collect()
     assert {r.stage: r.n_rows for r in rows} == {"all": 4, "few": 2}
+
+
+def test_both_tables_are_one_version(spark, tmp_path, monkeypatch):
+    params, folder = LshParams(num_hashes=10, bands=5, rows=2), str(tmp_path / "tables")
+    with pytest.raises(ValueError, match="no search tables"):
+        index_tables.read_search_tables(spark, folder)
+    sigs = sigs_frame(spark, clustered(), "int")
+    assert index_tables.write_search_tables(sigs, folder, params) == 1
+    few = sigs.where("book_id < 'b010'")
+    assert index_tables.write_search_tables(few, folder, params) == 2
+    signatures, index = index_tables.read_search_tables(spark, folder)
+    assert signatures.count() == 10 and index.select("book_id").distinct().count() == 10
+    old, old_index = index_tables.read_search_tables(spark, folder, version=1)
+    assert old.count() == 60 and old_index.select("book_id").distinct().count() == 60
+
+    def broken(index, path):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(index_tables, "write_index", broken)
+    with pytest.raises(RuntimeError):
+        index_tables.write_search_tables(sigs.limit(3), folder, params)
+    assert index_tables.read_search_tables(spark, folder)[0].count() == 10
+    index_tables.drop_versions(spark, folder)
+    assert index_tables.read_search_tables(spark, folder)[0].count() == 10
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        index_tables.read_search_tables(spark, folder, version=1)[0].count()
+
+
+def test_tables_compute_each_row_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    sigs = sigs_frame(spark, clustered(), "int").mapInArrow(counted, "book_id string, signature array<int>")
+    index_tables.write_search_tables(sigs, str(tmp_path), LshParams(num_hashes=10, bands=5, rows=2))
+    assert seen.value == 60
+
+
+def test_from_a_folder_of_texts_to_search_tables(spark, tmp_path):
+    texts = {f"pg{i}": " ".join(f"word{chr(97 + (i // 2 + j) % 26)}{chr(97 + j % 26)}" for j in range(60)) for i in range(6)}
+    (tmp_path / "raw").mkdir()
+    for name, content in texts.items():
+        (tmp_path / "raw" / f"{name}.txt").write_text(content)
+    (tmp_path / "raw" / "other.md").write_text("not a book")
+    params = LshParams(num_hashes=20, bands=10, rows=2)
+    assert build.build_search_tables(spark, str(tmp_path / "raw"), str(tmp_path / "out"), params) == 1
+    tables = index_tables.read_search_tables(spark, str(tmp_path / "out"))
+    assert {r.book_id for r in tables[0].select("book_id").collect()} == set(texts)
+    assert lookup.find_similar_books(*tables, "pg2", params=params).first().book_id == "pg3"
+
+
+LONG_FILES = {
+    "pg1.txt": "".join(f"front {i}\n" for i in range(120)) + "*** START OF this\nbody\r\nmore\x0bsplit\u2028again\n\nEnd of the Project\nrest\n",
+    "pg2.txt": "no marker at all\nsecond line",
+    "pg3.txt": "",
+    "pg4.txt": "*** start of it\n" + "".join(f"line {i}\r\n" for i in range(300)) + "END OF THE PROJECT GUTENBERG\nx\r",
+    "pg5.txt": "one\rtwo\r\nthree\n\n\n",
+}
+
+
+@pytest.mark.parametrize("split_bytes", ["256", "1m"])
+def test_files_read_by_lines_equal_whole_files(spark, tmp_path, split_bytes):
+    for name, content in LONG_FILES.items():
+        (tmp_path / name).write_bytes(content.encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        stripped = documents.strip_lines(corpus.load_lines(spark, str(tmp_path)))
+        got = {}
+        for r in stripped.orderBy("path", "line_no").collect():
+            got.setdefault(r.path.rpartition("/")[2], []).append(r.line)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = corpus.load_raw_books(spark, str(tmp_path)).select("path", text.strip_boilerplate(F.col("content")).alias("body"))
+    for r in whole.collect():
+        assert "\n".join(got.get(r.path.rpartition("/")[2], [])) == r.body, r.path
+
+
+def test_shelves_out_of_a_table(spark, books_catalog):
+    names = ["Science Fiction", "Fiction", "None", "fi", "N", "", "(new)", "science fiction ", "ction; adv", "absent shelf"]
+    table = spark.createDataFrame([(n,) for n in [*names, "Fiction", None]], "shelf string")
+    for per_shelf in (1, 30):
+        many = catalog.select_bookshelves(books_catalog, names, per_shelf)
+        want = sorted((r.shelf, r["Text#"]) for r in many.collect())
+        got = sorted((r.shelf, r["Text#"]) for r in catalog.select_by_shelf_table(books_catalog, table, per_shelf).collect())
+        assert got == want
+
+
+def test_ten_thousand_shelves(spark):
+    shelves = spark.range(10_000).select(F.concat(F.lit("shelf "), "id").alias("shelf"))
+    books = spark.range(3_000).select(
+        F.col("id").cast("string").alias("Text#"), F.lit("Text").alias("Type"), F.lit("en").alias("Language"),
+        F.concat(F.lit("Old Shelf "), F.col("id"), F.lit("; Shelf "), F.col("id") * 7 % 3_000).alias("Bookshelves"),
+    )
+    got = catalog.select_by_shelf_table(books, shelves, per_shelf=100).groupBy("shelf").count()
+    counts = {r.shelf: r["count"] for r in got.collect()}
+    of = lambda name: sum(name in f"old shelf {i}; shelf {i * 7 % 3_000}" for i in range(3_000))
+    assert len(counts) == 3_000
+    assert all(counts[f"shelf {i}"] == min(100, of(f"shelf {i}")) for i in (0, 5, 29, 299, 2_999))
