@@ -188,3 +188,53 @@ def test_sample_ids(shingled, books):
     again = [r.book_id for r in ev.sample_ids(shingled.repartition(3), 10).collect()]
     assert first == again and len(set(first)) == 10 and set(first) <= set(books)
     assert ev.sample_ids(shingled, 10, seed=7).collect() != first
+
+
+def test_sets_move_as_integers(spark, shingled, books):
+    sets = similarity.ranked_sets(shingled).collect()
+    holders = {}
+    for name, items in books.items():
+        for item in items:
+            holders.setdefault(item, set()).add(name)
+    for r in sets:
+        assert r.n_shingles == len(books[r.book_id])
+        assert len(r.ranks) == sum(len(holders[s]) > 1 for s in books[r.book_id]) and r.ranks == sorted(r.ranks)
+    plan = similarity.similar_sets(shingled, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "shingles#" not in plan.replace("n_shingles", "")
+
+
+def test_empty_and_lonely_sets(spark):
+    frame = spark.createDataFrame([("a", []), ("b", []), ("c", ["x"]), ("d", ["y", "z"])], "book_id string, shingles array<string>")
+    assert similarity.similar_sets(frame, 0.5).count() == 0
+    pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("c", "d")], "book_id_1 string, book_id_2 string")
+    assert {r.jaccard for r in similarity.exact_pairs(pairs, frame).collect()} == {0.0}
+
+
+def test_replicas_differ_and_are_near(shingled, books):
+    rows = {r.book_id: set(r.shingles) for r in ev.perturbed(shingled, 3).collect()}
+    assert len(rows) == 3 * len(books)
+    big = max(books, key=lambda b: len(books[b]))
+    for name, items in books.items():
+        assert rows[f"{name}_0"] == items and len(rows[f"{name}_2"]) == len(items)
+    assert any(rows[f"{n}_0"] != rows[f"{n}_1"] for n in books)
+    assert jaccard(rows[f"{big}_0"], rows[f"{big}_1"]) > 0.3
+
+
+def test_scalability_counts_pairs_and_probes(shingled, books):
+    table = ev.scalability(shingled, (1, 2), 40, 20, 2, probes=3).collect()
+    probes = {f"{r.book_id}_0" for r in ev.sample_ids(shingled, 3, 0).collect()}
+    for factor, row in zip((1, 2), table, strict=True):
+        grown = {r.book_id: set(r.shingles) for r in ev.perturbed(shingled, factor).collect()}
+        found = candidate_pairs({k: signature(v, 40) for k, v in grown.items()}, 20, 2)
+        alike = set(true_pairs(grown, 0.5))
+        of_probes = lambda pairs: sum((a in probes) + (b in probes) for a, b in pairs)
+        assert (row.n_docs, row.n_candidates) == (len(grown), len(found))
+        assert row.probe_candidates == of_probes(found) and row.probe_similar == of_probes(alike)
+        assert row.probe_found == of_probes(found & alike)
+        assert row.probe_saved == 3 * (len(grown) - 1) - row.probe_candidates
+
+
+def test_best_of_several_experiments(spark):
+    rows = [("TN2", "a", 100, 20, 0.5), ("TN1", "a", 100, 20, 0.5), ("TN1", "b", 50, 10, 0.4)]
+    table = spark.createDataFrame(rows, "experiment string, config string, n int, b int, f1 double")
+    assert ev.best_config(table).first().experiment == "TN1"
