@@ -229,6 +229,9 @@ HITS_OF_ASKED = f"""hits AS (
   FROM est WHERE {q.ASKED_ID} IN (book_id_1, book_id_2)
   ORDER BY similarity DESC, book_id LIMIT {DEV.top_k})"""
 WIDE_ESTIMATES = (*indexed(q.WIDE), pair_table(), estimates())
+GROUPS = """groups AS MATERIALIZED (
+  SELECT book_id, md5('[' || string_agg(value::VARCHAR, ',' ORDER BY position) || ']') AS digest
+  FROM sig GROUP BY book_id)"""
 OTHERS = f"""others AS (
   SELECT {q.ASKED_ID}::BIGINT AS book_id_1, book_id AS book_id_2
   FROM (SELECT DISTINCT book_id FROM sig)
@@ -310,6 +313,16 @@ SQL: dict[str, str] = {
     ),
     "lsh_index": script("SELECT book_id, band_id, bucket_hash FROM idx", *indexed(DEV)),
     "search_tables": script("SELECT book_id, band_id, bucket_hash FROM idx", *indexed(CLUSTER)),
+    "search_signatures": script("SELECT book_id, position, value FROM sig", *signed(CLUSTER.num_hashes)),
+    "group_pairs": script(
+        f"SELECT g.digest AS group_1, h.digest AS group_2, round(max(similarity), 6) AS similarity "
+        "FROM est JOIN groups g ON g.book_id = book_id_1 JOIN groups h ON h.book_id = book_id_2 "
+        "WHERE g.digest < h.digest GROUP BY ALL UNION SELECT h.digest, g.digest, round(max(similarity), 6) "
+        "FROM est JOIN groups g ON g.book_id = book_id_1 JOIN groups h ON h.book_id = book_id_2 "
+        "WHERE h.digest < g.digest GROUP BY ALL",
+        *indexed(DEV), pair_table(), estimates(), GROUPS,
+    ),
+    "group_members": script('SELECT digest AS "group", book_id FROM groups', *signed(DEV.num_hashes), GROUPS),
     "shared_buckets": script(
         "SELECT band_id, bucket_hash, n_members, book_id FROM idx JOIN (SELECT band_id, "
         "bucket_hash, count(*) AS n_members FROM idx GROUP BY ALL HAVING count(*) > 1) "
@@ -374,6 +387,13 @@ SQL: dict[str, str] = {
         "SELECT book_id_2 AS book_id, round(similarity, 6) AS similarity FROM est",
         *signed(DEV.num_hashes), OTHERS, estimates("others"),
     ),
+    "comparisons_saved": script(
+        "SELECT n_others, n_candidates, n_others - n_candidates AS n_saved, "
+        "round(CASE WHEN n_others > 0 THEN (n_others - n_candidates) / n_others::DOUBLE * 100 ELSE 0.0 END, 6) AS saved_pct "
+        f"FROM (SELECT (SELECT count(*) FROM others) AS n_others, (SELECT count(*) FROM pairs "
+        f"WHERE {q.ASKED_ID} IN (book_id_1, book_id_2)) AS n_candidates)",
+        *indexed(q.WIDE), pair_table(), OTHERS,
+    ),
     "ranked_compare": script(
         "SELECT o.book_id_2 AS book_id, coalesce(jaccard, 0.0) AS jaccard, similarity, "
         "p.book_id_1 IS NOT NULL AS is_candidate FROM est o "
@@ -399,7 +419,6 @@ SQL: dict[str, str] = {
     ),
     "sweep_bands": swept(BAND_CONFIGS, "SELECT * FROM swept"),
     "sweep_hashes": swept(HASH_CONFIGS, "SELECT * FROM swept"),
-    "best_config": swept(BAND_CONFIGS, "SELECT * FROM swept ORDER BY f1 DESC, n, b LIMIT 1"),
     "lsh_vs_exact": script(LSH_VS_EXACT, *FULL_CHAIN, EXACT, TRUTH, TOTAL),
     "replicate": script(
         "SELECT book_id || '_' || copy AS book_id, len(content)::INTEGER AS num_chars FROM "
@@ -462,6 +481,15 @@ SQL: dict[str, str] = {
         "AND contains(lower(\"Language\"), 'e')) WHERE rank <= 7",
         CATALOG,
     ),
+    "catalog_shelf_table": script(
+        'SELECT shelf, number, "Language", "Bookshelves" FROM (SELECT *, row_number() OVER '
+        f"(PARTITION BY shelf ORDER BY {_BY_NUMBER}) AS rank FROM cat JOIN (SELECT DISTINCT "
+        "CASE WHEN doc_id % 4 = 0 THEN upper(source) WHEN doc_id % 4 = 1 THEN right(source, 1) || '; A' "
+        "WHEN doc_id % 4 = 2 THEN doc_id::VARCHAR ELSE source || '; all ' || doc_id END AS shelf FROM documents) s "
+        "ON contains(lower(\"Bookshelves\"), lower(shelf)) WHERE \"Type\" = 'Text' "
+        "AND contains(lower(\"Language\"), 'e')) WHERE rank <= 7",
+        CATALOG,
+    ),
     "metadata_csv": "SELECT 'pg' || doc_id AS book_id, 'A \"title\", no. ' || doc_id AS \"Title\", "
     'lang AS "Author" FROM documents',
 }
@@ -478,6 +506,68 @@ def _scaling() -> str:
     return script("\nUNION ALL ".join(selects), *FULL_CHAIN, TOTAL)
 
 
+def scalability_parts() -> tuple[list[str], str]:
+    """Tables of the corpus grown by replicas that differ, and one row for each size.
+
+    All sizes are parts of the largest: replica c is there from the size c + 1 on.
+    """
+    largest = max(q.SCALING_FACTORS)
+    grown = f"""grown AS MATERIALIZED (
+  SELECT book_id || '_' || c AS book_id, c,
+    CASE WHEN c > 0 AND substr(md5(shingle || ':' || c), 1, 1) = '0' THEN shingle || '#' || c ELSE shingle END AS shingle
+  FROM sh, range({largest}) AS r(c))"""
+    ctes = [
+        grown,
+        HASHES.replace("hs AS", "grown_hs AS").replace("FROM sh)", "FROM grown)"),
+        signature_table(100).replace("sig AS", "grown_sig AS").replace("FROM hs", "FROM grown_hs"),
+        index_table(20, 5, "grown_idx", "grown_sig"),
+        pair_table("grown_pairs", "grown_idx"),
+        "copy_of AS MATERIALIZED (SELECT book_id, any_value(c) AS c, count(*) AS n FROM grown GROUP BY book_id)",
+        f"""probes AS MATERIALIZED (
+  SELECT book_id || '_0' AS probe FROM (SELECT DISTINCT book_id FROM sh)
+  ORDER BY md5('{evaluate.PROBE_SEED}:' || book_id), book_id LIMIT {evaluate.PROBES})""",
+        """named AS MATERIALIZED (
+  SELECT probe, CASE WHEN book_id_1 = probe THEN book_id_2 ELSE book_id_1 END AS book_id
+  FROM grown_pairs JOIN probes ON probe = book_id_1 OR probe = book_id_2)""",
+        f"""alike AS MATERIALIZED (
+  SELECT probe, s.book_id FROM (
+    SELECT probe, y.book_id, count(*) AS shared FROM grown x JOIN probes ON probe = x.book_id
+    JOIN grown y USING (shingle) WHERE y.book_id <> probe GROUP BY ALL) s
+  JOIN copy_of a ON a.book_id = probe JOIN copy_of b ON b.book_id = s.book_id
+  WHERE shared / (a.n + b.n - shared)::DOUBLE >= {evaluate.TRUTH_JACCARD})""",
+    ]
+    selects = [
+        f"""SELECT n_docs, n_candidates, probe_candidates, probe_similar, probe_found,
+  n_probes * (n_docs - 1) - probe_candidates AS probe_saved
+FROM (SELECT (SELECT count(*) FROM copy_of WHERE c < {f}) AS n_docs,
+  (SELECT count(*) FROM grown_pairs JOIN copy_of a ON a.book_id = book_id_1 JOIN copy_of b ON b.book_id = book_id_2
+    WHERE greatest(a.c, b.c) < {f})::DOUBLE AS n_candidates,
+  (SELECT count(*) FROM named JOIN copy_of USING (book_id) WHERE c < {f}) AS probe_candidates,
+  (SELECT count(*) FROM alike JOIN copy_of USING (book_id) WHERE c < {f}) AS probe_similar,
+  (SELECT count(*) FROM alike JOIN named USING (probe, book_id) JOIN copy_of USING (book_id) WHERE c < {f}) AS probe_found,
+  (SELECT count(*) FROM probes) AS n_probes)"""
+        for f in q.SCALING_FACTORS
+    ]
+    return ctes, "\nUNION ALL ".join(selects)
+
+
+def _scalability() -> str:
+    ctes, select = scalability_parts()
+    return script(select, *SHINGLED, *ctes)
+
+
+def _best_config() -> str:
+    band_ctes, band_select = sweep_parts(BAND_CONFIGS)
+    hash_ctes, hash_select = sweep_parts(HASH_CONFIGS)
+    tables = [c for i, c in enumerate([*band_ctes, *hash_ctes]) if c not in [*band_ctes, *hash_ctes][:i]]
+    return script(
+        "SELECT * FROM (SELECT 'TN1' AS experiment, * FROM tn1 UNION ALL SELECT 'TN2', * FROM tn2) "
+        "ORDER BY f1 DESC, n, b, experiment LIMIT 1",
+        *signed(max(evaluate.HASH_GRID)), EXACT, TRUTH, TOTAL, *tables,
+        f"tn1 AS MATERIALIZED ({band_select})", f"tn2 AS MATERIALIZED ({hash_select})",
+    )
+
+
 def _experiments() -> str:
     band_ctes, band_select = sweep_parts(BAND_CONFIGS)
     hash_ctes, hash_select = sweep_parts([c for c in HASH_CONFIGS if c not in BAND_CONFIGS])
@@ -488,10 +578,15 @@ def _experiments() -> str:
     named = "config, n::DOUBLE AS n, b::DOUBLE AS b, r::DOUBLE AS r, theoretical_threshold"
     measures = "n_candidates, recall, precision, f1, fpr"
     nothing = "NULL AS method, NULL AS selectivity"
+    probed = ("n_docs", "probe_candidates", "probe_similar", "probe_found", "probe_saved")
+    unprobed = ", ".join(f"NULL::BIGINT AS {c}" for c in probed)
+    grown_ctes, grown_select = scalability_parts()
     result = (
-        f"SELECT 'TN1' AS experiment, {named}, {measures}, {nothing} FROM tn1 "
-        f"UNION ALL SELECT 'TN2', {named}, {measures}, {nothing} FROM tn2 "
-        f"UNION ALL SELECT 'TN4', NULL, NULL, NULL, NULL, NULL, {measures}, method, selectivity FROM tn4"
+        f"SELECT 'TN1' AS experiment, {named}, {measures}, {nothing}, {unprobed} FROM tn1 "
+        f"UNION ALL SELECT 'TN2', {named}, {measures}, {nothing}, {unprobed} FROM tn2 "
+        "UNION ALL SELECT 'TN3', NULL, NULL, NULL, NULL, NULL, n_candidates, NULL, NULL, NULL, NULL, "
+        f"{nothing}, {', '.join(probed)} FROM tn3 "
+        f"UNION ALL SELECT 'TN4', NULL, NULL, NULL, NULL, NULL, {measures}, method, selectivity, {unprobed} FROM tn4"
     )
     compared = LSH_VS_EXACT.replace(ratios_of("pairs"), ratios_of("pairs_100_20_5"))
     return script(
@@ -500,8 +595,12 @@ def _experiments() -> str:
         f"tn1 AS MATERIALIZED ({band_select})",
         f"tn2 AS MATERIALIZED ({hash_select} {repeated})",
         f"tn4 AS MATERIALIZED ({compared})",
+        *grown_ctes,
+        f"tn3 AS MATERIALIZED ({grown_select})",
     )
 
 
 SQL["scaling_counts"] = _scaling()
+SQL["scalability"] = _scalability()
+SQL["best_config"] = _best_config()
 SQL["experiment_results"] = _experiments()

@@ -176,6 +176,14 @@ def search_tables(spark, folder):
     return index_tables.read_search_tables(spark, path)[1]
 
 
+def search_signatures(spark, folder):
+    """The signatures of the written tables, as ``search_tables`` returns their index."""
+    path = scratch_path(spark, "search")
+    signed = documents.text_signatures(_books(spark, folder), CLUSTER)
+    index_tables.write_search_tables(signed, path, CLUSTER)
+    return _by_position(index_tables.read_search_tables(spark, path)[0].select("book_id", "signature"))
+
+
 def shared_buckets(spark, folder):
     return lsh.shared_buckets(lsh.index_of(_signatures(spark, folder), DEV))
 
@@ -194,6 +202,20 @@ def scored_pairs(spark, folder):
     return scored.orderBy(F.desc("similarity"), "book_id_1", "book_id_2")
 
 
+def group_pairs(spark, folder):
+    """Candidate pairs of groups of equal signatures: the answer without the pairs of copies."""
+    pairs, _ = similar.candidate_groups(_signatures(spark, folder), DEV)
+    return pairs.select(
+        F.col("book_id_1").alias("group_1"), F.col("book_id_2").alias("group_2"), F.round("similarity", 6).alias("similarity")
+    )
+
+
+def group_members(spark, folder):
+    """Who is in the groups of ``group_pairs``."""
+    _, members = similar.candidate_groups(_signatures(spark, folder), DEV)
+    return members.select(F.col("leader").alias("group"), "book_id")
+
+
 def estimate_error(spark, folder):
     errors = similar.candidate_errors(_shingles(spark, folder), CLUSTER)
     return errors.withColumn("error", F.round("error", 9))
@@ -271,6 +293,12 @@ def brute_force_rank(spark, folder):
     return _similarity_as_double(ranked)
 
 
+def comparisons_saved(spark, folder):
+    tables = _search_tables(_books(spark, folder), WIDE)
+    saved = lookup.comparisons_saved(*tables, ASKED_ID, WIDE)
+    return saved.withColumn("saved_pct", F.round("saved_pct", 6))
+
+
 def ranked_compare(spark, folder):
     shingled = stored(_shingles(spark, folder), "shingles")
     signed = stored(documents.compute_signatures(shingled, WIDE.num_hashes), "signatures")
@@ -311,7 +339,11 @@ def sweep_hashes(spark, folder):
 
 
 def best_config(spark, folder):
-    return evaluate.best_config(sweep_bands(spark, folder))
+    """The best configuration of both sweeps."""
+    prepared = _prepared(spark, folder, max(evaluate.HASH_GRID))
+    return evaluate.best_config(
+        results.tagged_union({"TN1": evaluate.sweep_bands(prepared), "TN2": evaluate.sweep_hashes(prepared)})
+    )
 
 
 def lsh_vs_exact(spark, folder):
@@ -324,6 +356,7 @@ def experiment_results(spark, folder):
         {
             "TN1": evaluate.sweep_bands(prepared),
             "TN2": evaluate.sweep_hashes(prepared),
+            "TN3": scalability(spark, folder),
             "TN4": evaluate.lsh_vs_exact(prepared, 20, 5),
         }
     )
@@ -340,6 +373,11 @@ def scaling_counts(spark, folder):
     return evaluate.scaling_counts(shingled, SCALING_FACTORS, 100, 20, 5)
 
 
+def scalability(spark, folder):
+    shingled = stored(_shingles(spark, folder), "shingles")
+    return evaluate.scalability(shingled, SCALING_FACTORS, 100, 20, 5)
+
+
 def replicate(spark, folder):
     books = _books(spark, folder)
     grown = evaluate.replicate(books, books.count() * 5 // 2)
@@ -430,6 +468,19 @@ def catalog_shelves(spark, folder):
     return chosen.select("shelf", F.col("Text#").alias("number"), "Language", "Bookshelves")
 
 
+def catalog_shelf_table(spark, folder):
+    """Shelf names out of a table: a name or a part of one from every document."""
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    name = (
+        F.when(F.col("doc_id") % 4 == 0, F.upper("source"))
+        .when(F.col("doc_id") % 4 == 1, F.concat(F.substring("source", -1, 1), F.lit("; A")))
+        .when(F.col("doc_id") % 4 == 2, F.col("doc_id").cast("string"))
+        .otherwise(F.concat(F.col("source"), F.lit("; all "), F.col("doc_id")))
+    )
+    chosen = catalog.select_by_shelf_table(_catalog(spark, folder), table.select(name.alias("shelf")), 7, "e")
+    return chosen.select("shelf", F.col("Text#").alias("number"), "Language", "Bookshelves")
+
+
 def metadata_csv(spark, folder):
     path = scratch_path(spark, "metadata")
     table = spark.read.parquet(f"{folder}/documents.parquet").select(
@@ -455,6 +506,7 @@ QUERIES: dict[str, Query] = {
         sweep_bands, sweep_hashes, best_config, lsh_vs_exact, experiment_results,
         scaling_counts, replicate, sample_ids, doc_stats, corpus_stats, word_histogram,
         cleaning_effect, longest_cleaned, stage_counts, catalog_csv, catalog_select,
-        catalog_shelves, metadata_csv,
+        catalog_shelves, metadata_csv, search_signatures, group_pairs, group_members,
+        comparisons_saved, scalability, catalog_shelf_table,
     )
 }
