@@ -68,6 +68,55 @@ def phrase_places(text, phrases):
     return len(words), places
 
 
+def plain_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def common_in_order(one, two):
+    """The length of the longest common subsequence."""
+    row = [0] * (len(two) + 1)
+    for a in one:
+        row = list(itertools.accumulate(
+            ((row[j] + 1 if a == b else row[j + 1]) for j, b in enumerate(two)), max, initial=0
+        ))
+    return row[-1]
+
+
+def notice_spans(text, templates, slack=4, gap=8, share=0.7, short=12):
+    """``label, start, end, coverage`` of notices: every pair of cells of the word matrix is looked at."""
+    words, found = plain_words(text), []
+    for label, template in templates:
+        own = plain_words(template)
+        cells = [
+            (i, j) for i in range(len(words) - 1) for j in range(len(own) - 1)
+            if words[i : i + 2] == own[j : j + 2]
+        ]
+        best = {}
+        for i, j in cells:
+            options = [(4, 2, i)]
+            for (a, b), (count, agreeing, start) in best.items():
+                left, skipped = i - a - 2, j - b - 2
+                if (a, b) == (i - 1, j - 1):
+                    options.append((count + 2, agreeing + 1, start))
+                elif 0 <= left <= gap and 0 <= skipped <= gap and abs(left - skipped) <= slack:
+                    options.append((count + 4 - left - skipped, agreeing + 2, start))
+            best[i, j] = max(options)
+        least = len(own) if len(own) <= short else share * len(own)
+        ends = sorted((-c, start, i + 2, n) for (i, _), (c, n, start) in best.items())
+        taken = []
+        for _, start, end, n in ends:
+            if n >= least and n >= share * (end - start) and all(end <= s or start >= e for s, e in taken):
+                taken.append((start, end))
+                found.append((label, start, end, n / len(own)))
+    spans = set(found)
+    return sorted(
+        (x for x in spans if not any(
+            y != x and y[0] == x[0] and y[1] <= x[1] and x[2] <= y[2] and (y[1:3] != x[1:3] or y[3] > x[3]) for y in spans
+        )),
+        key=lambda x: (x[1], -x[2], -x[3], x[0]),
+    )
+
+
 def exact_secrets(text):
     text = text or ""
     assign = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""

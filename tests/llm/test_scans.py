@@ -52,14 +52,54 @@ def test_spans_stand_where_the_notice_is(docs_of):
     assert (span.label, span.start, span.end, span.coverage) == ("mit", 30, 35, 1.0)
 
 
-def test_long_templates_are_voted_on_in_parts(docs_of):
+def test_long_templates_are_one_span(docs_of):
     long = prose(150, 5).replace("\n", " ")
     scanned = licences.scan(docs_of([long, prose(30, 6)]), templates=[("long", long)]).collect()
     by_id = {r.doc_id: r.spans for r in scanned}
-    assert {s.label for s in by_id[0]} == {"long"} and max(s.end for s in by_id[0]) == 150
+    (span,) = by_id[0]
+    assert (span.label, span.start, span.end, span.coverage) == ("long", 0, 150, 1.0)
     assert not by_id[1]
 
 
+def edited(words, rng, every):
+    out = []
+    for word in words:
+        kind = rng.integers(0, 3 * every)
+        out += [word, "put"] if kind == 0 else [] if kind == 1 else ["other"] if kind == 2 else [word]
+    return out
+
+
+def test_spans_match_every_pair_of_cells(docs_of):
+    rng = np.random.default_rng(3)
+    templates = list(licences.TEMPLATES) + [("few", "a b a b c a b"), ("few", "c c a b " * 5), ("other", "b a c " * 7)]
+    texts = [" ".join(rng.choice(list("abc"), 70)) for _ in range(20)]
+    for _, text in licences.TEMPLATES:
+        words = definitions.plain_words(text)
+        texts += [" ".join([*prose(9, 2).split(), *edited(words, rng, every), *words[: len(words) // 2]]) for every in (3, 8, 25)]
+        texts.append(" ".join(words * 3))
+    rows = licences.scan(docs_of(texts), templates=templates).collect()
+    got = {r.doc_id: [(s.label, s.start, s.end, s.coverage) for s in r.spans] for r in rows}
+    assert sum(map(len, got.values())) > 60
+    for i, text in enumerate(texts):
+        assert sorted(got[i]) == sorted(definitions.notice_spans(text, templates))
+        words = definitions.plain_words(text)
+        for label, start, end, coverage in got[i]:
+            # No template of the label agrees less in order than the span says.
+            assert any(
+                round(coverage * len(own)) <= definitions.common_in_order(words[start:end], own)
+                for name, t in templates if name == label for own in [definitions.plain_words(t)]
+            )
+
+
+def test_words_out_of_order_are_no_notice(docs_of):
+    notice = definitions.plain_words(dict(licences.TEMPLATES[10:])["isc"])
+    pairs = [notice[i : i + 6] for i in range(0, len(notice), 6)]
+    shuffled = [w for i in np.random.default_rng(1).permutation(len(pairs)) for w in pairs[i]]
+    rows = licences.scan(docs_of([" ".join(notice), " ".join(shuffled), "licensed under cc by nd 4 0"])).collect()
+    got = {r.doc_id: [(s.label, s.start, s.end) for s in r.spans] for r in rows}
+    assert got == {0: [("isc", 0, len(notice))], 1: [], 2: []}
+
+
 def test_repeated_rows_stay_rows(awkward, awkward_rows, empty):
     assert sorted(r.doc_id for r in licences.scan(awkward).collect()) == sorted(i for i, _ in awkward_rows)
     assert licences.scan(empty).count() == 0
