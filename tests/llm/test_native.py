@@ -99,6 +99,38 @@ def test_cascade_asks_the_most_rejecting_rule_per_cost_first(docs_of):
     assert order.index(next(r for r in order if r.name == "symbols")) <= 2
 
 
+def test_costs_leave_out_what_starting_a_job_takes(docs_of):
+    docs = docs_of(["* " * 60 + prose(900, s) for s in range(100)]).repartition(2).select("text")
+    parts, rules = quality.costs(docs)
+    assert set(parts) == {"words", "lines", "word_chars"} and set(rules) == {r.name for r in quality.RULES}
+    # Words are there already when a rule asks how many: finding repeats among them is the work.
+    assert rules["few_words"] < rules["repeated_words"]
+    assert rules["few_words"] < parts["words"] + rules["repeated_words"]
+
+
+def test_order_follows_rejections_per_cost_of_what_is_left(docs_of, monkeypatch):
+    short, symbols = ["* few words"] * 30, ["* " * 60 + prose(70, s) for s in range(20)]
+    docs = docs_of(short + symbols + [prose(90, s) for s in range(20)])
+    parts = {"words": 4.0, "lines": 1.0, "word_chars": 2.0}
+    monkeypatch.setattr(quality, "costs", lambda sample, rules: (parts, {r.name: 1.0 for r in rules}))
+    # Both short and symbol rows hold too many symbols, so nothing is left for few_words to reject,
+    # and of the rules that reject nothing the one of the cheapest parts comes first.
+    order = [r.name for r in quality.order_rules(docs, rows=1000)]
+    assert order[0] == "symbols"
+    assert order.index("few_words") < order.index("word_length")
+    assert order.index("dup_lines") < order.index("word_length")
+
+
+def test_rejected_documents_are_not_asked_for_later_parts(docs_of):
+    rows = docs_of([prose(90, 1)]).select("text")
+    by_name = {r.name: r for r in quality.RULES}
+    plan = quality._passing(quality._passing(rows, by_name["dup_lines"]), by_name["few_words"])
+    steps = plan._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    words = next(i for i, step in enumerate(steps) if "Generate" in step and "[words" in step)
+    lines_filter = next(i for i, step in enumerate(steps) if "Filter" in step and ".distinct" in step)
+    assert words < lines_filter  # plans print their last step first
+
+
 def test_quality_of_nothing(empty):
     assert quality.judged(empty).count() == 0
     assert quality.kept(empty).columns == empty.columns
