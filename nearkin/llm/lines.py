@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nearkin.functions.binding import let
@@ -19,6 +19,10 @@ MIN_TOKENS = 4
 MIN_TEMPLATE_TOKENS = 8
 #: The least share of a line's tokens that its leaf's template holds as constants, in percent.
 MIN_CONSTANT_PERCENT = 75
+#: Groups of a leaf's families in which a line left over has a vote, at most.
+VOTES = 4
+#: What tells lines apart: two hashes, 128 bits.
+WHOLE = ["whole", "whole_b"]
 #: A token with a digit is a variable field from the start.
 FIELD = r"[^ \t\x0B\f\r\n]*[0-9][^ \t\x0B\f\r\n]*"
 _SPACE = r" \t\x0B\f\r"
@@ -40,7 +44,7 @@ SENTENCE = Unit(f"\n|{_WITHIN}", 8)
 
 
 def _row_of(id_col: str, text_col: str) -> Column:
-    """What the tables of lines call a row; rows of equal id and text are one document."""
+    """What the tables of lines call a row beside its id; rows of equal id and text are one document."""
     return F.xxhash64(F.col(f"`{id_col}`").cast("string"), text_or_empty(text_col))
 
 
@@ -55,6 +59,10 @@ def _masked(text: Column, unit: Unit) -> Column:
     return F.transform(F.split(text, unit.ends), lambda u: F.regexp_replace(u, FIELD, "<*>"))
 
 
+def _whole(tokens: Column) -> list[Column]:
+    return [F.xxhash64(tokens).alias("whole"), F.xxhash64(F.lit(1), tokens).alias("whole_b")]
+
+
 def _leaf(tokens: Column) -> Column:
     return F.xxhash64(F.size(tokens), F.slice(tokens, 1, LEADING))
 
@@ -62,16 +70,18 @@ def _leaf(tokens: Column) -> Column:
 def line_keys(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE
 ) -> DataFrame:
-    """``id, row, line, n_tokens, leaf, whole`` of every line, or other unit, of enough tokens.
+    """``id, row, line, n_tokens, leaf, whole, whole_b`` of every line, or other unit, of enough tokens.
 
     The first level of the tree is the token count, the next are the leading tokens; ``leaf``
-    hashes the way to a leaf and ``whole`` all tokens, variable fields masked in both.
+    hashes the way to a leaf; ``whole`` and ``whole_b`` all tokens; variable fields are masked in all.
+    Leaves of one hash would only vote together, and lines that then share a template agree in half of
+    their places or more, so a leaf needs no second hash.
     """
     keys = F.transform(
         _masked(text_or_empty(text_col), unit),
         lambda line: let(
             _tokens_of(line),
-            lambda t: F.struct(F.size(t).alias("n_tokens"), _leaf(t).alias("leaf"), F.xxhash64(t).alias("whole")),
+            lambda t: F.struct(F.size(t).alias("n_tokens"), _leaf(t).alias("leaf"), *_whole(t)),
         ),
     )
     rows = docs.select(
@@ -81,48 +91,72 @@ def line_keys(
 
 
 def _of_templates(tokens: DataFrame) -> DataFrame:
-    """``whole, template`` of the lines that have enough of the constants of a group's template."""
+    """``whole, whole_b, template`` of the lines that have enough of the constants of a group's template."""
     constants = (
         tokens.groupBy("template", "place", "token").agg(F.count("*").alias("n"), F.first("n_lines").alias("n_lines"))
         .filter("2 * n > n_lines").select("template", "place", "token")
     )
     held = tokens.join(constants, ["template", "place", "token"], "left_semi")
     return (
-        held.groupBy("template", "whole").agg(F.count("*").alias("n"), F.first("n_tokens").alias("n_tokens"))
+        held.groupBy("template", *WHOLE).agg(F.count("*").alias("n"), F.first("n_tokens").alias("n_tokens"))
         .filter(f"100 * n >= {MIN_CONSTANT_PERCENT} * n_tokens")
-        .select("whole", "template")
+        .select(*WHOLE, "template")
     )
 
 
-def _families(tokens: DataFrame) -> DataFrame:
-    """``whole, template`` of lines that the template of their leaf does not take, a row for each template.
+def _groups(tokens: DataFrame) -> DataFrame:
+    """``whole, whole_b, template, n_members``: the groups of lines that share a block of places, a row a block.
 
     The places after the leading ones are dealt into one block more than two lines may differ in,
-    so lines of a leaf that are similar enough have a block in common. The lines that share a
-    block vote for a template of their own; groups of the same lines are one.
+    so lines of a leaf that are similar enough have a block in common. Groups of the same lines are one.
     """
     blocks = (
         tokens.filter(F.col("place") >= LEADING)
         .withColumn("block", F.expr(f"place % (n_tokens * (100 - {MIN_CONSTANT_PERCENT}) div 100 + 1)"))
-        .groupBy("template", "whole", "block")
+        .groupBy("template", *WHOLE, "block")
         .agg(F.bit_xor(F.xxhash64("place", "token")).alias("key"))
     )
     groups = (
         blocks.groupBy("template", "block", "key")
-        .agg(F.count("*").alias("n_members"), F.bit_xor(F.xxhash64("whole")).alias("members"))
+        .agg(F.count("*").alias("n_members"), F.bit_xor(F.xxhash64(*WHOLE)).alias("members"))
         .filter("n_members > 1")
     )
-    members = blocks.join(groups, ["template", "block", "key"]).select(
-        "whole", F.xxhash64("template", "n_members", "members").alias("template"), F.col("n_members").alias("n_lines")
+    return blocks.join(groups, ["template", "block", "key"]).select(
+        *WHOLE, F.xxhash64("template", "n_members", "members").alias("template"), "n_members"
     )
-    voters = tokens.drop("template", "n_lines").join(members.dropDuplicates(["whole", "template"]), "whole")
+
+
+def _families(tokens: DataFrame) -> DataFrame:
+    """``whole, whole_b, template`` of lines that the template of their leaf does not take, a row for each template.
+
+    Every line names the middle one of its groups by size: larger ones may hold several families,
+    smaller ones are what edits leave of one. It then votes in the VOTES groups named most, so lines
+    of a family meet though no block is free of edits in all of them, and no line's tokens are
+    written more than VOTES times.
+    """
+    groups = stored(_groups(tokens), "line-groups")
+    own = Window.partitionBy(*WHOLE)
+    middle = (
+        groups.withColumn("nth", F.row_number().over(own.orderBy("n_members", "template")))
+        .withColumn("n", F.count("*").over(own))
+        .filter("nth = (n + 1) div 2")
+    )
+    named = middle.groupBy("template").agg(F.count("*").alias("n_named"))
+    votes = stored(
+        groups.select(*WHOLE, "template").distinct().join(named, "template", "left")
+        .withColumn("nth", F.row_number().over(own.orderBy(F.desc_nulls_last("n_named"), "template")))
+        .filter(f"nth <= {VOTES}").select(*WHOLE, "template"),
+        "line-votes",
+    )
+    sizes = votes.groupBy("template").agg(F.count("*").alias("n_lines")).filter("n_lines > 1")
+    voters = tokens.drop("template", "n_lines").join(votes.join(sizes, "template"), WHOLE)
     return _of_templates(stored(voters, "line-family-tokens"))
 
 
 def _generalised(
     wholes: DataFrame, docs: DataFrame, id_col: str, text_col: str, unit: Unit, families: bool
 ) -> DataFrame:
-    """``whole, leaf`` of the lines that share their leaf's template with another line.
+    """``whole, whole_b, template`` of the lines that share their leaf's template with another line.
 
     Of every leaf with several different lines, each different line votes once for its token at
     every place. Tokens with more than half of the votes are the template's constants, the other
@@ -133,61 +167,55 @@ def _generalised(
         wholes.filter(F.col("n_tokens") >= MIN_TEMPLATE_TOKENS)
         .groupBy("leaf").agg(F.count("*").alias("n_lines")).filter("n_lines > 1")
     )
-    chosen = wholes.join(mixed, "leaf").select("leaf", "n_lines", "n_tokens", "whole", "sample.row", "sample.line")
-    per_row = chosen.groupBy("row").agg(
-        F.collect_list(F.struct("leaf", "n_lines", "n_tokens", "whole", "line")).alias("chosen")
-    )
-    texts = docs.select(_row_of(id_col, text_col).alias("row"), text_or_empty(text_col).alias("text")).join(per_row, "row")
+    known = ["leaf", "n_lines", "n_tokens", *WHOLE]
+    chosen = wholes.join(mixed, "leaf").select(*known, "sample.id", "sample.row", "sample.line")
+    per_row = chosen.groupBy("id", "row").agg(F.collect_list(F.struct(*known, "line")).alias("chosen"))
+    texts = docs.select(
+        F.col(f"`{id_col}`").alias("_id"), _row_of(id_col, text_col).alias("_row"), text_or_empty(text_col).alias("text")
+    ).join(per_row, (F.col("_row") == F.col("row")) & F.col("_id").eqNullSafe(F.col("id")))
     lines = texts.select(
         F.explode(
             let(_masked(F.col("text"), unit), lambda all_lines: F.transform(
                 "chosen",
-                lambda c: F.struct(
-                    c["leaf"].alias("leaf"), c["n_lines"].alias("n_lines"), c["n_tokens"].alias("n_tokens"),
-                    c["whole"].alias("whole"), F.get(all_lines, c["line"]).alias("masked"),
-                ),
+                lambda c: F.struct(*[c[k].alias(k) for k in known], F.get(all_lines, c["line"]).alias("masked")),
             ))
         ).alias("c")
-    ).select("c.*").dropDuplicates(["whole"])
+    ).select("c.*").dropDuplicates(WHOLE)
     tokens = stored(
-        lines.select("leaf", "n_lines", "n_tokens", "whole", F.posexplode(_tokens_of(F.col("masked"))).alias("place", "token"))
-        .select(F.col("leaf").alias("template"), "n_lines", "n_tokens", "whole", "place", F.xxhash64("token").alias("token")),
+        lines.select(*known, F.posexplode(_tokens_of(F.col("masked"))).alias("place", "token"))
+        .select(F.col("leaf").alias("template"), "n_lines", "n_tokens", *WHOLE, "place", F.xxhash64("token").alias("token")),
         "line-tokens",
     )
     general = _of_templates(tokens)
     if not families:
         return general
     general = stored(general, "line-leaf-templates")
-    return general.union(_families(tokens.join(general, "whole", "left_anti").select(tokens.columns)))
+    return general.union(_families(tokens.join(general, WHOLE, "left_anti").select(tokens.columns)))
 
 
 def recurring_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: Unit = LINE, families: bool = False
 ) -> DataFrame:
-    """``row, line`` of the lines, or other units, whose template an earlier document has, in order of id."""
+    """``id, row, line`` of the lines, or other units, whose template an earlier document has, in order of id."""
     keys = stored(line_keys(docs, id_col, text_col, unit), "line-keys")
     wholes = stored(
-        keys.groupBy("whole").agg(
+        keys.groupBy(*WHOLE).agg(
             F.first("leaf").alias("leaf"),
             F.first("n_tokens").alias("n_tokens"),
-            F.min(F.struct("id", "row")).alias("first"),
-            F.min("row").alias("low"),
-            F.max("row").alias("high"),
-            F.min(F.struct("row", "line")).alias("sample"),
-        ),
+            F.max(F.struct("id", "row")).alias("last"),
+            F.min(F.struct("id", "row", "line")).alias("sample"),
+        ).withColumn("first", F.struct("sample.id", "sample.row")),
         "line-wholes",
     )
     general = stored(_generalised(wholes, docs, id_col, text_col, unit, families), "line-templates")
-    own = wholes.join(general, "whole", "left").withColumn("template", F.coalesce("template", "whole"))
-    # A template of one line needs no further look; the others take the first of all their lines.
-    alone = own.filter(F.col("template") == F.col("whole")).select("whole", "first", "low", "high")
-    several = own.filter(F.col("template") != F.col("whole"))
-    ends = several.groupBy("template").agg(
-        F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high")
-    )
-    merged = several.select("whole", "template").join(ends, "template").select("whole", "first", "low", "high")
-    recurring = alone.union(merged).filter("low != high").select("whole", F.col("first.row").alias("first_row"))
-    return keys.join(recurring, "whole").filter("row != first_row").select("row", "line")
+    own = wholes.join(general, WHOLE, "left")
+    # A line without a template needs no further look; the others take the first of all their lines.
+    alone = own.filter(F.col("template").isNull()).select(*WHOLE, "first", "last")
+    several = own.filter(F.col("template").isNotNull())
+    ends = several.groupBy("template").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    merged = several.select(*WHOLE, "template").join(ends, "template").select(*WHOLE, "first", "last")
+    recurring = alone.union(merged).filter("first != last").select(*WHOLE, "first")
+    return keys.join(recurring, WHOLE).filter(F.struct("id", "row") != F.col("first")).select("id", "row", "line")
 
 
 def _without(text: Column, gone: Column, unit: Unit) -> Column:
@@ -236,11 +264,12 @@ def drop_recurring(
     then count; what is left of a line stays on a line of its own. A leaf has one template, or with
     ``families`` more: one for each group of its lines that are similar and outvoted there.
     """
-    dropped = recurring_lines(docs, id_col, text_col, unit, families).groupBy("row").agg(F.collect_set("line").alias("lines"))
-    row, gone = free_name(docs, "row"), free_name(docs, "gone")
-    dropped = dropped.select(F.col("row").alias(row), F.col("lines").alias(gone))
+    dropped = recurring_lines(docs, id_col, text_col, unit, families).groupBy("id", "row").agg(F.collect_set("line").alias("lines"))
+    row, gone, own_id, own_row = (free_name(docs, name) for name in ("row", "gone", "own_id", "own_row"))
+    dropped = dropped.select(F.col("id").alias(own_id), F.col("row").alias(own_row), F.col("lines").alias(gone))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    kept = docs.select(*[f"`{c}`" for c in columns], _row_of(id_col, text_col).alias(row)).join(dropped, row, "left")
+    kept = docs.select(*[f"`{c}`" for c in columns], _row_of(id_col, text_col).alias(row))
+    kept = kept.join(dropped, (F.col(row) == F.col(own_row)) & F.col(f"`{id_col}`").eqNullSafe(F.col(own_id)), "left")
     text = F.col(f"`{text_col}`")
     rest = _without(text, F.col(gone), unit)
     return kept.select(

@@ -228,3 +228,41 @@ def test_families_do_not_change_what_one_template_takes(docs_of):
     docs = docs_of(texts)
     kept = [{r.doc_id: r.text for r in lines.drop_recurring(docs, families=f).collect()} for f in (False, True)]
     assert kept[0] == kept[1] == definitions.without_recurring_lines(list(enumerate(texts)))
+
+
+def test_lines_of_one_hash_are_told_apart_by_the_other(docs_of, monkeypatch):
+    notice = "this notice stands in all {} of the pages that the {} has made so far today"
+    texts = [prose(54, s) for s in range(6)] + [notice.format(a, b) for a, b in [("ten", "house"), ("few", "tool"), ("old", "man")]]
+    texts += [texts[0] + "\n" + prose(18, 9)]
+    docs = docs_of(texts)
+    expected = {r.doc_id: r.text for r in lines.drop_recurring(docs, families=True).collect()}
+    real = lines._whole
+    monkeypatch.setattr(lines, "_whole", lambda tokens: [F.lit(7).cast("long").alias("whole"), real(tokens)[1]])
+    assert {r.doc_id: r.text for r in lines.drop_recurring(docs, families=True).collect()} == expected
+    assert expected[9] == prose(18, 9)
+
+
+def test_tokens_of_families_are_written_a_bounded_number_of_times(docs_of, monkeypatch):
+    """Three families in one leaf whose copies each have two changed words, 10 to 40 copies of 200 words."""
+    rows = {}
+    real = lines.stored
+
+    def counted(df, name):
+        out = real(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(lines, "stored", counted)
+    for copies in (10, 40):
+        texts = []
+        for f in "abc":
+            words = ["all", "lines", "begin", "alike", *[f"{f}{'klmnopqrst'[i // 20]}{chr(97 + i % 20)}" for i in range(196)]]
+            for c in range(copies):
+                own = list(words)
+                for at in (4 + c * 7 % 196, 4 + c * 31 % 196):
+                    own[at] = f"{f}edit{chr(97 + c // 20)}{chr(97 + c % 20)}"
+                texts.append(" ".join(own))
+        got = {r.doc_id for r in lines.drop_recurring(docs_of(texts), families=True).filter("n_dropped > 0").collect()}
+        assert got == {i for i in range(3 * copies) if i % copies}
+        assert rows["line-tokens"] == 3 * copies * 200
+        assert rows["line-family-tokens"] <= lines.VOTES * rows["line-tokens"]
