@@ -90,28 +90,37 @@ def line_keys(
     return rows.filter(F.col("key.n_tokens") >= unit.min_tokens).select("id", "row", "line", "key.*")
 
 
-def _of_templates(tokens: DataFrame) -> DataFrame:
-    """``whole, whole_b, template`` of the lines that have enough of the constants of a group's template."""
+def _votes(lines: DataFrame) -> DataFrame:
+    """A row for each ``place`` and ``token`` of every line."""
+    return lines.select("template", "n_lines", "n_tokens", *WHOLE, F.posexplode("tokens").alias("place", "token"))
+
+
+def _of_templates(lines: DataFrame) -> DataFrame:
+    """``whole, whole_b, template`` of the lines that have enough of the constants of a group's template.
+
+    A place has one constant at most, so a template is no longer than its lines.
+    """
     constants = (
-        tokens.groupBy("template", "place", "token").agg(F.count("*").alias("n"), F.first("n_lines").alias("n_lines"))
-        .filter("2 * n > n_lines").select("template", "place", "token")
+        _votes(lines).groupBy("template", "place", "token").agg(F.count("*").alias("n"), F.first("n_lines").alias("n_lines"))
+        .filter("2 * n > n_lines")
+        .groupBy("template").agg(F.collect_list(F.struct("place", "token")).alias("constants"))
     )
-    held = tokens.join(constants, ["template", "place", "token"], "left_semi")
+    held = F.size(F.filter("constants", lambda c: F.get("tokens", c["place"]) == c["token"]))
     return (
-        held.groupBy("template", *WHOLE).agg(F.count("*").alias("n"), F.first("n_tokens").alias("n_tokens"))
-        .filter(f"100 * n >= {MIN_CONSTANT_PERCENT} * n_tokens")
+        lines.join(constants, "template")
+        .filter(100 * held >= MIN_CONSTANT_PERCENT * F.col("n_tokens"))
         .select(*WHOLE, "template")
     )
 
 
-def _groups(tokens: DataFrame) -> DataFrame:
+def _groups(left: DataFrame) -> DataFrame:
     """``whole, whole_b, template, n_members``: the groups of lines that share a block of places, a row a block.
 
     The places after the leading ones are dealt into one block more than two lines may differ in,
     so lines of a leaf that are similar enough have a block in common. Groups of the same lines are one.
     """
     blocks = (
-        tokens.filter(F.col("place") >= LEADING)
+        _votes(left).filter(F.col("place") >= LEADING)
         .withColumn("block", F.expr(f"place % (n_tokens * (100 - {MIN_CONSTANT_PERCENT}) div 100 + 1)"))
         .groupBy("template", *WHOLE, "block")
         .agg(F.bit_xor(F.xxhash64("place", "token")).alias("key"))
@@ -126,7 +135,7 @@ def _groups(tokens: DataFrame) -> DataFrame:
     )
 
 
-def _families(tokens: DataFrame) -> DataFrame:
+def _families(left: DataFrame) -> DataFrame:
     """``whole, whole_b, template`` of lines that the template of their leaf does not take, a row for each template.
 
     Every line names the middle one of its groups by size: larger ones may hold several families,
@@ -134,7 +143,7 @@ def _families(tokens: DataFrame) -> DataFrame:
     of a family meet though no block is free of edits in all of them, and no line's tokens are
     written more than VOTES times.
     """
-    groups = stored(_groups(tokens), "line-groups")
+    groups = stored(_groups(left), "line-groups")
     own = Window.partitionBy(*WHOLE)
     middle = (
         groups.withColumn("nth", F.row_number().over(own.orderBy("n_members", "template")))
@@ -149,7 +158,7 @@ def _families(tokens: DataFrame) -> DataFrame:
         "line-votes",
     )
     sizes = votes.groupBy("template").agg(F.count("*").alias("n_lines")).filter("n_lines > 1")
-    voters = tokens.drop("template", "n_lines").join(votes.join(sizes, "template"), WHOLE)
+    voters = left.drop("template", "n_lines").join(votes.join(sizes, "template"), WHOLE)
     return _of_templates(stored(voters, "line-family-tokens"))
 
 
@@ -181,16 +190,16 @@ def _generalised(
             ))
         ).alias("c")
     ).select("c.*").dropDuplicates(WHOLE)
-    tokens = stored(
-        lines.select(*known, F.posexplode(_tokens_of(F.col("masked"))).alias("place", "token"))
-        .select(F.col("leaf").alias("template"), "n_lines", "n_tokens", *WHOLE, "place", F.xxhash64("token").alias("token")),
-        "line-tokens",
+    hashed = F.transform(_tokens_of(F.col("masked")), lambda t: F.xxhash64(t))
+    mixed_lines = stored(
+        lines.select(F.col("leaf").alias("template"), "n_lines", "n_tokens", *WHOLE, hashed.alias("tokens")), "line-tokens"
     )
-    general = _of_templates(tokens)
+    general = _of_templates(mixed_lines)
     if not families:
         return general
     general = stored(general, "line-leaf-templates")
-    return general.union(_families(tokens.join(general, WHOLE, "left_anti").select(tokens.columns)))
+    left = stored(mixed_lines.join(general, WHOLE, "left_anti").select(mixed_lines.columns), "line-left")
+    return general.union(_families(left))
 
 
 def recurring_lines(
