@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from nearkin.functions.batches import digests, elements, few_rows, mod_prime
 from nearkin.functions.hashing import PRIME, hash_family
 
+Lists = tuple[np.ndarray, np.ndarray]
 
-def _minima(hashes: pa.ListArray, family: list[tuple[int, int]]) -> pa.ListArray:
+
+def _minima(lengths: np.ndarray, values: np.ndarray, family: list[tuple[int, int]]) -> pa.ListArray:
     """One signature per list: the least ``(a*h + b) mod p`` over its values for every (a, b)."""
-    lengths = np.asarray(hashes.value_lengths().fill_null(0), dtype=np.int64)
     filled = lengths > 0
-    values = np.asarray(hashes.flatten(), dtype=np.int64)
     starts = (np.cumsum(lengths) - lengths)[filled]
     minima = np.empty((len(starts), len(family)), dtype=np.int32)
     for i, (a, b) in enumerate(family if len(starts) else []):
@@ -27,25 +28,46 @@ def _minima(hashes: pa.ListArray, family: list[tuple[int, int]]) -> pa.ListArray
     return pa.ListArray.from_arrays(offsets, pa.array(minima.ravel()))
 
 
-def sign(hashed: DataFrame, num_hashes: int, seed: int = 42) -> DataFrame:
-    """Replace ``hashes`` (``array<bigint>``) by ``signature`` (``array<int>``).
+def _listed(hashes: pa.ListArray) -> Lists:
+    lengths = np.asarray(hashes.value_lengths().fill_null(0), dtype=np.int64)
+    return lengths, np.asarray(hashes.flatten(), dtype=np.int64)
+
+
+def hashes_of(sets: list[list[bytes]]) -> Lists:
+    """The lengths of the sets and ``hashing.stable_hash`` of all their shingles."""
+    lengths = np.array([len(s) for s in sets], dtype=np.int64)
+    return lengths, mod_prime(b"".join(map(digests, sets)))
+
+
+def sign_by(rows: DataFrame, value: str, lists: Callable[[pa.Array], Lists], num_hashes: int, seed: int) -> DataFrame:
+    """Replace ``value`` by ``signature`` (``array<int>``); ``lists`` hashes a batch of values.
 
     One Arrow batch of documents is reduced by ``num_hashes`` vector passes. It needs no
     shuffle, where exploding the shingles and taking grouped minima moves a row of
-    ``num_hashes`` buffers per document. An empty or null array gives an empty signature.
+    ``num_hashes`` buffers per document. An empty or null value gives an empty signature.
     """
     family = hash_family(num_hashes, seed)
-    kept = [field for field in hashed.schema if field.name != "hashes"]
+    kept = [field for field in rows.schema if field.name != value]
     names = [field.name for field in kept]
 
     def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             columns = [batch.column(name) for name in names]
-            columns.append(_minima(batch.column("hashes"), family))
+            columns.append(_minima(*lists(batch.column(value)), family))
             yield pa.RecordBatch.from_arrays(columns, [*names, "signature"])
 
     schema = StructType([*kept, StructField("signature", ArrayType(IntegerType()))])
-    return hashed.mapInArrow(signed, schema)
+    return rows.mapInArrow(signed, schema)
+
+
+def sign(hashed: DataFrame, num_hashes: int, seed: int = 42) -> DataFrame:
+    """Replace ``hashes`` (``array<bigint>``) by ``signature``."""
+    return sign_by(hashed, "hashes", _listed, num_hashes, seed)
+
+
+def sign_sets(shingled: DataFrame, num_hashes: int, seed: int = 42) -> DataFrame:
+    """Replace ``shingles`` (``array<string>``) by ``signature``, digests taken in the same pass."""
+    return sign_by(shingled, "shingles", lambda sets: hashes_of(elements(sets)), num_hashes, seed)
 
 
 def matching_positions(left: Column, right: Column) -> Column:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from nearkin.functions import batches as many
 from nearkin.functions import text
 from nearkin.functions.binding import let, with_computed
 from nearkin.functions.hashing import PRIME, hash_family, stable_hash, stable_hashes
-from nearkin.functions.minhash import sign
+from nearkin.functions.minhash import hashes_of, sign, sign_by, sign_sets
 from nearkin.functions.shingles import word_shingles
 from nearkin.functions.stopwords import ENGLISH_STOP_WORDS
 from nearkin.params import DEV, LshParams
@@ -53,17 +56,42 @@ def strip_lines(lines: DataFrame) -> DataFrame:
     ).select("path", "line_no", "line")
 
 
+def _lists(rows: DataFrame, value: str, name: str, least: int, lists: Callable[[pa.Array], list[list[bytes]]]) -> DataFrame:
+    """``book_id`` and what ``lists`` makes of ``value``, in one Arrow pass; shorter ones are dropped."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in many.few_rows(batches):
+            made = lists(batch.column(value))
+            kept = [i for i, values in enumerate(made) if len(values) >= least]
+            ids = batch.column("book_id").take(pa.array(kept, pa.int32()))
+            yield pa.RecordBatch.from_arrays([ids, many.string_lists([made[i] for i in kept])], ["book_id", name])
+
+    schema = StructType([rows.schema["book_id"], StructField(name, ArrayType(StringType()))])
+    return rows.select("book_id", value).mapInArrow(run, schema)
+
+
+def _letters(books: DataFrame) -> DataFrame:
+    """``book_id, letters``: ``text.alphabet_only`` as bytes, as Arrow maps read it."""
+    return books.select("book_id", text.alphabet_only(F.col("content")).cast("binary").alias("letters"))
+
+
 def tokenize(books: DataFrame, stop_words: Sequence[str] = ENGLISH_STOP_WORDS) -> DataFrame:
     """``(book_id, content)`` to ``(book_id, tokens)``; documents without tokens are dropped."""
-    tokens = text.index_tokens(F.col("content"), stop_words)
-    return with_computed(books, "tokens", tokens).where(F.size("tokens") > 0).select(
-        "book_id", "tokens"
-    )
+    stops = many.as_bytes(stop_words)
+
+    def words(texts: pa.Array) -> list[list[bytes]]:
+        return [many.index_words(t, stops) for t in texts.to_pylist()]
+
+    return _lists(_letters(books), "letters", "tokens", 1, words)
 
 
 def generate_shingles(tokens: DataFrame, k: int = DEV.shingle_k) -> DataFrame:
     """``(book_id, tokens)`` to ``(book_id, shingles)``; fewer than ``k`` tokens drop the row."""
-    return _shingled(tokens, word_shingles(F.col("tokens"), k))
+
+    def shingles(lists: pa.Array) -> list[list[bytes]]:
+        return [many.shingles_of(words, k) for words in many.elements(lists)]
+
+    return _lists(tokens, "tokens", "shingles", 1, shingles)
 
 
 def _shingled(books: DataFrame, shingles: Column) -> DataFrame:
@@ -86,16 +114,21 @@ def shingle_texts(
 ) -> DataFrame:
     """``(book_id, content)`` straight to ``(book_id, shingles)``."""
     words = words_of(F.col("content"), analyzer, stop_words)
-    return _shingled(books, word_shingles(words, k))
+    if analyzer != "index":
+        return _shingled(books, word_shingles(words, k))
+    return _lists(_letters(books), "letters", "shingles", 1, _shingles_of_texts(k, stop_words))
+
+
+def _shingles_of_texts(k: int, stop_words: Sequence[str]) -> Callable[[pa.Array], list[list[bytes]]]:
+    stops = many.as_bytes(stop_words)
+    return lambda texts: [many.shingles_of(many.index_words(t, stops), k) for t in texts.to_pylist()]
 
 
 def compute_signatures(
     shingled: DataFrame, num_hashes: int = DEV.num_hashes, seed: int = DEV.seed
 ) -> DataFrame:
     """Replace ``shingles`` by ``signature``; an empty or null set gives an empty signature."""
-    kept = [c for c in shingled.columns if c != "shingles"]
-    hashes = stable_hashes(F.col("shingles")).alias("hashes")
-    return sign(shingled.select(*kept, hashes), num_hashes, seed)
+    return sign_sets(shingled, num_hashes, seed)
 
 
 def signatures_by_grouping(
@@ -133,6 +166,12 @@ def text_signatures(
     Documents too short for one shingle are dropped, as ``generate_shingles`` drops them.
     """
     words = words_of(F.col("content"), analyzer, stop_words)
-    hashes = let(words, lambda w: stable_hashes(word_shingles(w, params.shingle_k)))
-    hashed = books.select("book_id", hashes.alias("hashes"))
-    return sign(hashed, params.num_hashes, params.seed).where(F.size("signature") > 0)
+    if analyzer == "index":
+        shingles = _shingles_of_texts(params.shingle_k, stop_words)
+        signed = sign_by(
+            _letters(books), "letters", lambda texts: hashes_of(shingles(texts)), params.num_hashes, params.seed
+        )
+    else:
+        hashes = let(words, lambda w: stable_hashes(word_shingles(w, params.shingle_k)))
+        signed = sign(books.select("book_id", hashes.alias("hashes")), params.num_hashes, params.seed)
+    return signed.where(F.size("signature") > 0)

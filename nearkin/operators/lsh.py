@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from nearkin.functions.hashing import band_bucket
+from nearkin.functions.batches import digests, few_rows, mod_prime
 from nearkin.operators.pairing import BLOCK_ROWS, join_counted, key_sizes, pairs_sharing_key
 from nearkin.params import DEV, LshParams, check_banding
 from nearkin.session import stored
@@ -13,36 +18,37 @@ from nearkin.session import stored
 BUCKET = ("band_id", "bucket_hash")
 
 
-def _bands(signature: Column, bands: int, rows: int) -> Column:
-    """``array<struct<band_id, bucket_hash>>``; signatures too short for the banding raise."""
-    enough = F.size(signature) >= bands * rows
-    return F.transform(
-        F.when(F.size(signature) == 0, F.array().cast("array<int>")).otherwise(
-            F.when(enough, F.sequence(F.lit(0), F.lit(bands - 1))).otherwise(
-                F.raise_error(F.lit(f"signature shorter than {bands} bands of {rows} rows"))
-            )
-        ),
-        lambda band: F.struct(
-            band.alias("band_id"),
-            band_bucket(F.slice(signature, band * rows + 1, rows)).alias("bucket_hash"),
-        ),
-    )
-
-
 def build_lsh_index(
     signatures: DataFrame, bands: int = DEV.bands, rows: int = DEV.rows
 ) -> DataFrame:
     """Replace ``signature`` by ``band_id, bucket_hash``: one row per document and band.
 
-    Values beyond ``bands * rows`` are not used; an empty signature gives no row.
+    Values beyond ``bands * rows`` are not used; an empty signature gives no row, one too short
+    for the banding raises. ``band_bucket`` of all bands is taken in one Arrow pass.
     """
     check_banding(bands * rows, bands, rows)
-    kept = [c for c in signatures.columns if c != "signature"]
-    # The outer form keeps Spark from adding a filter that computes the buckets once more.
-    index = signatures.select(
-        *kept, F.inline_outer(_bands(F.col("signature").cast("array<int>"), bands, rows))
-    )
-    return index.where(F.col("band_id").isNotNull())
+    kept = [field for field in signatures.schema if field.name != "signature"]
+    names = [field.name for field in kept]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_rows(batches):
+            signature = batch.column("signature")
+            lengths = np.asarray(signature.value_lengths().fill_null(-1), dtype=np.int64)
+            if ((lengths != 0) & (lengths < bands * rows)).any():
+                raise ValueError(f"signature shorter than {bands} bands of {rows} rows")
+            filled = np.flatnonzero(lengths)
+            starts = (np.cumsum(lengths) - lengths)[filled]
+            places = starts[:, None] + np.arange(bands * rows)
+            packed = np.asarray(signature.flatten(), dtype=np.int64)[places].astype(">i4").tobytes()
+            buckets = mod_prime(digests(packed[i : i + 4 * rows] for i in range(0, len(packed), 4 * rows)))
+            each = pa.array(np.repeat(filled, bands))
+            columns = [batch.column(name).take(each) for name in names]
+            columns += [pa.array(np.tile(np.arange(bands, dtype=np.int32), len(filled)))]
+            columns += [pa.array(buckets.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *BUCKET])
+
+    schema = StructType([*kept, *[StructField(name, IntegerType()) for name in BUCKET]])
+    return signatures.mapInArrow(run, schema)
 
 
 def find_candidate_pairs(index: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:

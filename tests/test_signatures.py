@@ -6,6 +6,7 @@ import pytest
 from definitions import h31, shingle_set, signature
 from pyspark.sql import functions as F
 
+from nearkin.functions import text
 from nearkin.functions.hashing import band_bucket, hash_family, stable_hash, stable_hashes
 from nearkin.functions.minhash import estimate_jaccard
 from nearkin.functions.shingles import exact_jaccard
@@ -137,3 +138,14 @@ def test_parameters_are_checked():
         DEV.but(top_k=0)
     with pytest.raises(ValueError):
         d.words_of(F.lit("x"), "other", [])
+
+
+def test_index_texts_are_signed_in_one_arrow_pass(spark):
+    """No digest, split or shingle per element on the JVM; the tokens are those of ``text.index_tokens``."""
+    odd = ["Kelvin İstanbul café\x1cone two three", "A\x0bb\x0c THE the\r\nxy zz", "", None, "   ", "aa bb cc aa bb cc"]
+    books = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "book_id int, content string")
+    for made in (d.text_signatures(books, DEV), d.shingle_texts(books, 3, "index")):
+        plan = made._jdf.queryExecution().executedPlan().toString().lower()
+        assert "mapinarrow" in plan and "md5" not in plan and "lambda" not in plan
+    on_jvm = books.select("book_id", text.index_tokens(F.col("content")).alias("tokens")).where(F.size("tokens") > 0)
+    assert sorted(d.tokenize(books).collect()) == sorted(on_jvm.collect())
