@@ -143,3 +143,24 @@ def test_body_of_a_marked_file_is_tokenised(spark):
 def test_files_without_tokens_give_no_row(spark):
     some_stop_words = " ".join([w for w in ENGLISH_STOP_WORDS if w.isalpha()][::9])
     assert preprocess(spark, some_stop_words, None, "", "1 2 3 - x") == {}
+
+
+def test_cleaning_effect_counts_what_clean_text_leaves(spark):
+    """Counted in one Arrow pass, and equal to the column functions on odd texts."""
+    from nearkin.plans import explore
+
+    many_lines = "\n".join(["line %d" % i for i in range(120)])
+    odd = [
+        None, "", " \t ", "a\r\nb\x0bc\x1cd\x85e f", "  *** start of it\nbody “x”—‘y’\n" + many_lines + "\n End of the Projeﬀ\nend of the project\nz",
+        many_lines + "\n***ſtart of\n***end of it", "\n" * 601 + "*** START OF\nx", "*** START PROJECT\n" + "\r" * 99 + "END OF PROJECT\r\ntail",
+        "ß　Σ퟿ 𝒳𝒴 ​ z",
+    ]
+    books = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "book_id int, content string")
+    found = explore.cleaning_effect(books)
+    assert "regexp" not in found._jdf.queryExecution().executedPlan().toString()
+    cleaned = text.clean_text(F.col("content"))
+    wanted = books.select(
+        "book_id", F.length("content").alias("raw_chars"), F.length(cleaned).alias("cleaned_chars"),
+        text.word_count(F.col("content")).alias("raw_words"), text.word_count(cleaned).alias("cleaned_words"),
+    )
+    assert sorted(map(tuple, found.drop("reduction_pct").collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)

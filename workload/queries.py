@@ -414,7 +414,9 @@ def cleaning_effect(spark, folder):
 
 def longest_cleaned(spark, folder):
     cleaned = explore.cleaning_effect(_wrapped(spark, folder)).select("book_id", "cleaned_words")
-    joined = cleaned.join(_books(spark, folder), "book_id")
+    # Every row meets a text, so the first ten need no others; texts stay where they are.
+    longest = explore.top_by(cleaned.where(F.col("book_id").isNotNull()), "cleaned_words")
+    joined = _books(spark, folder).join(F.broadcast(longest), "book_id")
     return explore.top_by(joined, "cleaned_words").select("book_id", "cleaned_words", "content")
 
 
