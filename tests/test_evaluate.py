@@ -238,3 +238,18 @@ def test_best_of_several_experiments(spark):
     rows = [("TN2", "a", 100, 20, 0.5), ("TN1", "a", 100, 20, 0.5), ("TN1", "b", 50, 10, 0.4)]
     table = spark.createDataFrame(rows, "experiment string, config string, n int, b int, f1 double")
     assert ev.best_config(table).first().experiment == "TN1"
+
+
+def test_shingles_that_the_same_documents_hold_meet_once(spark):
+    shared = [f"s{i}" for i in range(30)]
+    frame = spark.createDataFrame([("a", [*shared, "x"]), ("b", [*shared, "y"])], "book_id string, shingles array<string>")
+    assert similarity._prefixes(similarity.ranked_sets(frame), 0.5).count() == 2
+    (row,) = similarity.similar_sets(frame, 0.5).collect()
+    assert tuple(row) == ("a", "b", 30 / 32)
+
+
+def test_sizes_are_counted_without_copies_of_the_sets(monkeypatch, shingled):
+    grown, replicate = [], ev.replicate
+    monkeypatch.setattr(ev, "replicate", lambda books, n: grown.append(books.columns) or replicate(books, n))
+    rows = ev.scaling_counts(shingled, (1, 2), 40, 20, 2).collect()
+    assert grown == [["book_id", "copy_key"]] * 2 and [r.size_actual for r in rows] == [r.size_target for r in rows]
