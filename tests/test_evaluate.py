@@ -253,3 +253,42 @@ def test_sizes_are_counted_without_copies_of_the_sets(monkeypatch, shingled):
     monkeypatch.setattr(ev, "replicate", lambda books, n: grown.append(books.columns) or replicate(books, n))
     rows = ev.scaling_counts(shingled, (1, 2), 40, 20, 2).collect()
     assert grown == [["book_id", "copy_key"]] * 2 and [r.size_actual for r in rows] == [r.size_target for r in rows]
+
+
+def test_sets_that_share_little_are_left_out_before_pairs_meet(spark, monkeypatch):
+    """Strangers that hold one common shingle met each other on it in a table of pairs."""
+    written, stored = {}, similarity.stored
+    rows = [(f"s{i}", ["common", f"a{i}", f"b{i}"]) for i in range(30)] + [("x", ["p", "q", "common"]), ("y", ["p", "q", "r"])]
+    frame = spark.createDataFrame(rows, "book_id string, shingles array<string>")
+
+    def counted(df, name):
+        table = stored(df, name)
+        written.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(similarity, "stored", counted)
+    assert [tuple(r) for r in similarity.similar_sets(frame, 0.5).collect()] == [("x", "y", 0.5)]
+    assert written["able-sets"] == [2, 2] and written["similar-numbers"] == [1]
+
+
+def test_overlaps_in_parts_are_overlaps(monkeypatch):
+    from itertools import product
+
+    import numpy as np
+
+    from nearkin.functions import overlaps
+
+    rng = random.Random(4)
+    sides = [[sorted({rng.randrange(60) for _ in range(rng.choice([0, 3, 20, 40]))}) for _ in range(n)] for n in (23, 31)]
+    blocks = [
+        overlaps.block_of(*(np.array(v, np.int64) for v in ([len(s) for s in side], [len(s) for s in side], sum(side, []))))
+        for side in sides
+    ]
+    for cells, hits in ((1 << 22, 1 << 22), (40, 7), (1, 1), (500, 100000)):
+        monkeypatch.setattr(overlaps, "CELLS_AT_ONCE", cells)
+        monkeypatch.setattr(overlaps, "HITS_AT_ONCE", hits)
+        for a, b in ((0, 1), (1, 0), (1, 1)):
+            got = [t for part in overlaps.similar_between(blocks[a], blocks[b], 0.3) for t in zip(*map(list, part))]
+            pairs = product(enumerate(sides[a]), enumerate(sides[b]))
+            scored = [(i, j, jaccard(set(x), set(y))) for (i, x), (j, y) in pairs if (x or y) and (a != b or i < j)]
+            assert sorted(got) == [t for t in scored if t[2] >= 0.3]
