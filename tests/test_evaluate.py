@@ -292,3 +292,12 @@ def test_overlaps_in_parts_are_overlaps(monkeypatch):
             pairs = product(enumerate(sides[a]), enumerate(sides[b]))
             scored = [(i, j, jaccard(set(x), set(y))) for (i, x), (j, y) in pairs if (x or y) and (a != b or i < j)]
             assert sorted(got) == [t for t in scored if t[2] >= 0.3]
+
+
+def test_configs_of_one_width_share_an_index(prepared, books, monkeypatch):
+    built, build = [], ev.build_lsh_index
+    monkeypatch.setattr(ev, "build_lsh_index", lambda s, b, r: built.append((b, r)) or build(s, b, r))
+    rows = ev.sweep(prepared, [(10, 5, 2), (40, 20, 2), (40, 10, 4)]).collect()
+    assert built == [(20, 2), (10, 4)]
+    for row in rows:
+        Flags(books, row.n, row.b, row.r).check(row, 4)
