@@ -149,3 +149,35 @@ def test_index_texts_are_signed_in_one_arrow_pass(spark):
         assert "mapinarrow" in plan and "md5" not in plan and "lambda" not in plan
     on_jvm = books.select("book_id", text.index_tokens(F.col("content")).alias("tokens")).where(F.size("tokens") > 0)
     assert sorted(d.tokenize(books).collect()) == sorted(on_jvm.collect())
+
+
+def test_sets_and_signatures_come_out_of_texts_in_one_pass(spark):
+    """Without lists of strings on the way."""
+    from nearkin.operators import copies, documents
+
+    odd = [None, "", "ab", "Kelvin İstanbul CAFÉ ǅ straße", "One\x0btwo\x1cthree four\x85five six\tseven", "a b c " * 50]
+    texts = [*odd, *[" ".join(f"w{chr(97 + i)}{chr(97 + (i * j) % 26)}" for i in range(26)) for j in range(1, 9)]]
+    books = spark.createDataFrame(list(enumerate(texts)), "book_id bigint, content string")
+    want = copies.hashed_sets(documents.shingle_texts(books, 3, "index"), 7)
+    got = copies.text_sets(books, 3, 7)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) != []
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert copies.hashed_sets(got) is got
+
+
+def test_minima_in_parts_are_minima(monkeypatch):
+    import numpy as np
+
+    from nearkin.functions import minhash
+    from nearkin.functions.hashing import PRIME, hash_family
+
+    rng = np.random.default_rng(3)
+    lengths = np.array([0, 1, 5, 0, 40, 3, 0])
+    values = np.concatenate([[0, PRIME - 1, PRIME - 1, 1], rng.integers(0, PRIME, lengths.sum() - 4)])
+    family = [*hash_family(20), (1, 0), (PRIME - 1, PRIME - 1), (1, 1)]
+    sets = np.split(values.tolist(), np.cumsum(lengths)[:-1])
+    want = [[min((a * int(v) + b) % PRIME for v in s) for a, b in family] if len(s) else [] for s in sets]
+    for at_once in (1, 6, 1 << 15):
+        monkeypatch.setattr(minhash, "VALUES_AT_ONCE", at_once)
+        assert minhash.minima(lengths, values, family).to_pylist() == want
