@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from nearkin.functions.hashing import PRIME
 from nearkin.functions.minhash import estimate_jaccard
 from nearkin.functions.shingles import exact_jaccard
 from nearkin.functions.stopwords import ENGLISH_STOP_WORDS
@@ -108,11 +109,12 @@ def in_buckets(index: DataFrame, signed: DataFrame, params: LshParams) -> DataFr
     asked = index_of(signed, params).select(*BUCKET).distinct().collect()
     if not asked:
         return index.where(F.lit(False)).select("book_id")
-    by_value = reduce(or_, [F.col("bucket_hash") == v for v in sorted({r.bucket_hash for r in asked})])
-    exact = reduce(
-        or_, [(F.col("band_id") == r.band_id) & (F.col("bucket_hash") == r.bucket_hash) for r in asked]
-    )
-    return index.where(by_value & exact).select("book_id").distinct()
+    by_value = _any([F.col("bucket_hash") == v for v in sorted({r.bucket_hash for r in asked})])
+    # One number for band and bucket is looked up in a set; nearly all rows end there, and a comparison
+    # for each band would make code that the JVM does not compile.
+    number = F.col("band_id").cast("bigint") * (PRIME + 1) + F.col("bucket_hash")
+    exact = number.isin([r.band_id * (PRIME + 1) + r.bucket_hash for r in asked])
+    return index.where(exact & by_value).select("book_id").distinct()
 
 
 def _estimates(signatures: DataFrame, query: DataFrame) -> DataFrame:

@@ -63,6 +63,22 @@ def test_buckets_are_pushed_to_the_stored_index(spark, tmp_path):
     assert all(f"EqualTo(bucket_hash,{value})" in pushed for _, value in buckets(clustered()["b007"], 2, 5))
 
 
+def test_many_bands_are_looked_up_in_one_set(spark, tmp_path):
+    wide = LshParams(num_hashes=40, bands=20, rows=2)
+    asked = list(range(40))
+    moved = [*range(2, 40), 0, 1]  # every pair of values, each in the band beside its own
+    shared = [*range(100, 138), 38, 39]
+    sigs = sigs_frame(spark, {"asked": asked, "moved": moved, "shared": shared})
+    index_tables.write_search_tables(sigs, str(tmp_path), wide)
+    _, index = index_tables.read_search_tables(spark, str(tmp_path))
+    found = lookup.in_buckets(index, sigs.where("book_id = 'asked'").select("signature"), wide)
+    assert sorted(r.book_id for r in found.collect()) == ["asked", "shared"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    condition = next(x for x in plan.split("\n") if "Filter" in x and "INSET" in x)
+    # One look into the set comes before the comparisons that the row groups are asked with.
+    assert condition.index("INSET") < condition.index(" OR ") and condition.count("band_id") == 1
+
+
 def test_ids_that_repeat_are_listed_once(spark):
     rows = [("", [1] * 10), ("", [1] * 10), ("pg1", [1] * 10), ("", [1] * 5 + [2] * 5)]
     sigs = spark.createDataFrame(rows, "book_id string, signature array<bigint>")
