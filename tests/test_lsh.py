@@ -4,8 +4,10 @@ import pytest
 from definitions import buckets, candidate_pairs
 from pyspark.sql import functions as F
 
-from nearkin.operators import copies, lsh
+from nearkin.operators import copies, lookup, lsh
 from nearkin.operators.pairing import join_counted, key_sizes, matches_on_key, pairs_sharing_key
+from nearkin.params import LshParams
+from nearkin.plans import similar
 from nearkin.session import stored
 
 
@@ -93,6 +95,32 @@ def test_blocked_join_is_the_join(spark, block_rows):
     assert got == sorted(tuple(r) for r in left.join(right, "k").collect())
 
 
+@pytest.mark.parametrize("block_rows", [1, 7, 4096])
+@pytest.mark.parametrize("pairs_of", [lookup.group_pairs, lsh.pairs_of_signatures])
+def test_pairs_come_from_their_first_band_and_are_not_held(spark, pairs_of, block_rows):
+    books = clustered()
+    pairs = pairs_of(sigs_frame(spark, books), LshParams(num_hashes=10, bands=5, rows=2), block_rows)
+    got = [(r.book_id_1, r.book_id_2) for r in pairs.collect()]
+    assert set(got) == candidate_pairs(books, 5, 2) and len(got) == len(set(got))
+    assert "Aggregate" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_of_ids_that_repeat_are_listed_once(spark):
+    rows = [("a", LOW), ("b", LOW), ("b", [*LOW[:5], *HIGH[5:]]), ("b", LOW)]
+    sigs = spark.createDataFrame(rows, "book_id string, signature array<int>")
+    params = LshParams(num_hashes=10, bands=2, rows=5)
+    for pairs in (lsh.pairs_of_signatures(sigs, params), similar.candidate_pairs(sigs, params)):
+        assert [tuple(r) for r in pairs.collect()] == [("a", "b")]
+
+
+def test_earlier_buckets_are_those_of_the_bands_before(spark):
+    sigs = sigs_frame(spark, {"a": LOW, "e": [], "c": HIGH})
+    rows = lsh.build_lsh_index(sigs, 5, 2, earlier=True).orderBy("book_id", "band_id").collect()
+    for book_id in ("a", "c"):
+        own = [r for r in rows if r.book_id == book_id]
+        assert [r.earlier for r in own] == [[r.bucket_hash for r in own[:band]] for band in range(5)]
+
+
 @pytest.mark.parametrize("block_rows", [2, 4096])
 def test_pairs_by_way_of_copy_groups_are_all_pairs(spark, block_rows):
     books = clustered()
