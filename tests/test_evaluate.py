@@ -301,3 +301,76 @@ def test_configs_of_one_width_share_an_index(prepared, books, monkeypatch):
     assert built == [(20, 2), (10, 4)]
     for row in rows:
         Flags(books, row.n, row.b, row.r).check(row, 4)
+
+
+def kinds_left(spark):
+    """Names of the tables that are in the shared folder now, without owners' folders."""
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    return {name[:-33] for name in os.listdir(folder) if not name.startswith("owned-")}, [
+        name for name in os.listdir(folder) if name.startswith("owned-")
+    ]
+
+
+@pytest.mark.parametrize("values", [150])
+def test_similar_sets_in_steps_are_complete(shingled, books, monkeypatch, values):
+    """All pairs of blocks were shuffled at one time, which grew with the square of the sets."""
+    monkeypatch.setattr(similarity, "STEP_VALUES", values)
+    written, stored = [], similarity.stored
+    monkeypatch.setattr(similarity, "stored", lambda df, name: written.append(name) or stored(df, name))
+    rows = similarity.similar_sets(shingled, 0.3, 3).collect()
+    assert {(r.book_id_1, r.book_id_2): r.jaccard for r in rows} == true_pairs(books, 0.3)
+    assert len(rows) == len(true_pairs(books, 0.3))
+    assert written.count("similar-numbers") > 2 and written.count("shingle-counts") > 2
+
+
+def test_listed_pairs_leave_no_table_of_sets(spark, shingled, books, monkeypatch):
+    from nearkin.plans import similar
+
+    monkeypatch.setattr(similarity, "STEP_VALUES", 150)
+    before, owned = kinds_left(spark)
+    rows = similar.exact_pairs_above(shingled, 0.3).collect()
+    assert {(r.book_id_1, r.book_id_2): r.jaccard for r in rows} == true_pairs(books, 0.3)
+    after, owned_after = kinds_left(spark)
+    assert not (after - before) & {"keyed", "groups", "able-sets", "shingle-counts"} and owned_after == owned
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from nearkin.session import FREE_SHUFFLES, stored
+
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = files.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    conf, before = spark.conf.get(FREE_SHUFFLES, None), shuffles()
+    table = stored(spark.range(1000).withColumn("key", F.xxhash64("id")).groupBy("key").count(), "grouped")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffles() - before and table.count() == 1000
+    assert spark.conf.get(FREE_SHUFFLES, None) == conf
+
+
+@pytest.mark.parametrize("values", [30, 1 << 27])
+def test_candidate_errors_take_sets_of_pairs_only(spark, shingled, books, monkeypatch, values):
+    """All shingles of all sets were ranked and moved; the sets of the pairs are enough."""
+    from nearkin.params import LshParams
+    from nearkin.plans import similar
+
+    monkeypatch.setattr(similarity, "STEP_VALUES", values)
+    monkeypatch.setattr(similarity, "ranked_sets", None)
+    before, owned = kinds_left(spark)
+    rows = similar.candidate_errors(shingled, LshParams(num_hashes=40, bands=10, rows=4)).collect()
+    signed = {k: signature(v, 40) for k, v in books.items()}
+    assert sorted((r.book_id_1, r.book_id_2) for r in rows) == sorted(candidate_pairs(signed, 10, 4))
+    for r in rows:
+        assert r.jaccard == pytest.approx(jaccard(books[r.book_id_1], books[r.book_id_2]))
+        assert r.similarity == pytest.approx(estimate(signed[r.book_id_1], signed[r.book_id_2]))
+        assert r.error == pytest.approx(abs(r.jaccard - r.similarity))
+    after, owned_after = kinds_left(spark)
+    assert not (after - before) & {"keyed", "groups", "ranked-sets"} and owned_after == owned
