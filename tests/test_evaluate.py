@@ -374,3 +374,28 @@ def test_candidate_errors_take_sets_of_pairs_only(spark, shingled, books, monkey
         assert r.error == pytest.approx(abs(r.jaccard - r.similarity))
     after, owned_after = kinds_left(spark)
     assert not (after - before) & {"keyed", "groups", "ranked-sets"} and owned_after == owned
+
+
+@pytest.mark.parametrize("values", [1, 2000])
+def test_metrics_by_steps_of_bands(prepared, books, monkeypatch, values):
+    """Every meeting of two sets was shuffled; now weights are added up where pairs meet, some bands at a time."""
+    monkeypatch.setattr(ev, "INDEX_STEP_VALUES", values)
+    steps, weights = [], ev._band_steps
+    monkeypatch.setattr(ev, "_band_steps", lambda n, b: steps.append(weights(n, b)) or steps[-1])
+    (row,) = ev.lsh_metrics(prepared, 10, 4).collect()
+    Flags(books, 40, 10, 4).check(row)
+    assert len(steps[0]) > 1 and [b for low, high in steps[0] for b in range(low, high)] == list(range(10))
+
+
+def test_scalability_stores_no_sets(spark, shingled, monkeypatch):
+    """Sets of all replicas were stored to be compared with a few probes."""
+    import os
+
+    written, stored_at = {}, ev.stored_at
+    monkeypatch.setattr(ev, "stored_at", lambda df, path: written.setdefault(os.path.basename(path)[:-33], df.columns) and stored_at(df, path))
+    before, owned = kinds_left(spark)
+    ev.scalability(shingled, (1, 2), 40, 20, 2, probes=3).collect()
+    assert written["grown"] == ["book_id", "replica", "signature", "similar"]
+    assert [name for name, columns in written.items() if "shingles" in columns] == ["probe-sets"]
+    after, owned_after = kinds_left(spark)
+    assert not (after - before) & {"shingles", "groups", "bucket-lists", "key-blocks"} and owned_after == owned
